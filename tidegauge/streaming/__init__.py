@@ -1,0 +1 @@
+"""Empty on purpose: the workload is a daily batch, it has no streaming queries."""
