@@ -28,12 +28,12 @@ def _month_distance(stamp: Column) -> Column:
     return F.abs(F.month(stamp) - 6)
 
 
-def raw_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_prices(spark: SparkSession, sf_dir: str, symbol: str = "l_suppkey") -> DataFrame:
     shipped = F.col("l_shipdate").cast("timestamp")
     price = 100 + 3 * _month_distance(shipped) + F.col("l_extendedprice") / 50000
     ingested = _hours_after(shipped, F.col("l_linenumber"))
     return table(spark, sf_dir, "lineitem").select(
-        F.concat(F.col("l_suppkey").cast("string"), F.lit(".US")).alias("symbol"),
+        F.concat(F.col(symbol).cast("string"), F.lit(".US")).alias("symbol"),
         F.when(F.col("l_quantity") == 50, F.lit(None))
         .when((F.col("l_linenumber") == 7) & (F.col("l_discount") == 0), price * 1e10)
         .otherwise(price)
