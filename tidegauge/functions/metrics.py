@@ -39,11 +39,8 @@ def as_exact(value: Column, digits: int) -> Column:
 def exact_avg(value: Column, digits: int) -> Column:
     """Mean of a metric that is rounded to ``digits`` decimals.
 
-    The sum runs in decimal, so the mean does not depend on the order in which
-    partial sums meet. Values too large for the decimal are added as doubles.
+    Sums the metric in units of its last decimal: whole numbers, whose sum as a
+    double is exact up to 2^53 whatever the order in which partial sums meet.
     """
-    exact = as_exact(value, digits)
-    total = F.coalesce(F.sum(exact).cast("double"), F.lit(0.0)) + F.coalesce(
-        F.sum(F.when(exact.isNull(), value)), F.lit(0.0)
-    )
-    return F.try_divide(total, F.count(value))
+    units = float(10**digits)
+    return F.try_divide(F.sum(F.rint(value * units)) / units, F.count(value))

@@ -20,9 +20,13 @@ class MarketStress:
     drawdown_pct: float = -10.0
 
 
-def daily_closes(silver: DataFrame) -> DataFrame:
-    """Last price per symbol and day."""
-    dated = silver.withColumns(
+def daily_closes(prices: DataFrame) -> DataFrame:
+    """Last price per symbol and day, of one time stamp the last ingested one.
+
+    Takes Silver rows or typed raw rows: copies of a time stamp fall to the same
+    rule as in Silver, so a build straight from raw needs one collapse, not two.
+    """
+    dated = prices.withColumns(
         {"snapshot_date": F.to_date("market_time"), "latest_price": F.col("price").cast("double")}
     ).filter(F.col("snapshot_date").isNotNull())
     return dedupe_latest(
@@ -30,7 +34,7 @@ def daily_closes(silver: DataFrame) -> DataFrame:
     )
 
 
-def market_snapshot(silver: DataFrame, stress: MarketStress = MarketStress()) -> DataFrame:
+def market_snapshot(prices: DataFrame, stress: MarketStress = MarketStress()) -> DataFrame:
     """One row per symbol and day; offsets count observed days, not calendar days.
 
     Only daily closes reach the windows per symbol, so a series is at most as long
@@ -44,7 +48,7 @@ def market_snapshot(silver: DataFrame, stress: MarketStress = MarketStress()) ->
 
     previous = F.lag(close, 1).over(series)
     return (
-        daily_closes(silver)
+        daily_closes(prices)
         .withColumns(
             {
                 "open_price": previous,

@@ -22,16 +22,20 @@ def _present(*columns: str) -> Column:
     return reduce(and_, [F.col(c).isNotNull() for c in columns])
 
 
-def clean_market(bronze: DataFrame, price_type: str = "decimal(12,4)") -> DataFrame:
-    """Typed prices, the last ingested one per symbol and time.
-
-    A price that does not fit the type is dropped like a missing one.
-    """
-    typed = bronze.withColumn("price", F.col("price").try_cast(price_type)).filter(
+def typed_prices(bronze: DataFrame, price_type: str = "decimal(12,4)") -> DataFrame:
+    """Usable prices; one that does not fit the type is dropped like a missing one."""
+    return bronze.withColumn("price", F.col("price").try_cast(price_type)).filter(
         _present(*MARKET_KEY, "price")
     )
+
+
+def clean_market(bronze: DataFrame, price_type: str = "decimal(12,4)") -> DataFrame:
+    """Typed prices, the last ingested one per symbol and time."""
     return dedupe_latest(
-        typed, MARKET_KEY, ["ingested_at"], ["price", "currency", "_source", "_ingest_date"]
+        typed_prices(bronze, price_type),
+        MARKET_KEY,
+        ["ingested_at"],
+        ["price", "currency", "_source", "_ingest_date"],
     ).select(*columns_of("market_prices"))
 
 
@@ -56,17 +60,24 @@ def clean_fx(
     )
 
 
-def clean_macro(bronze: DataFrame) -> DataFrame:
-    """Dated observations, the last ingested one per series and date.
+def typed_indicators(bronze: DataFrame) -> DataFrame:
+    """Usable observations.
 
     A bare year is its first of January; a text that is no date drops the row.
     """
-    typed = bronze.withColumns(
+    return bronze.withColumns(
         {
             "observation_date": F.col("observation_date").try_cast("date"),
             "observation_value": F.col("observation_value").cast("double"),
         }
     ).filter(_present(*MACRO_KEY, "observation_value"))
+
+
+def clean_macro(bronze: DataFrame) -> DataFrame:
+    """Dated observations, the last ingested one per series and date."""
     return dedupe_latest(
-        typed, MACRO_KEY, ["ingest_ts"], ["observation_value", "raw_payload", "_source", "_ingest_date"]
+        typed_indicators(bronze),
+        MACRO_KEY,
+        ["ingest_ts"],
+        ["observation_value", "raw_payload", "_source", "_ingest_date"],
     ).select(*columns_of("macro_indicators"))

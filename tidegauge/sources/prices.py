@@ -17,6 +17,9 @@ from tidegauge.sources.schemas import CANDLES_JSON, QUOTE_JSON, columns_of
 
 MARKET_COLUMNS = columns_of("market_prices_raw")
 
+# Fixed value: what the CSV feed writes for a missing field.
+NOT_QUOTED = "N/D"
+
 
 def _stamped(df: DataFrame, source: str | Column, ingested_at: Column | None) -> DataFrame:
     stamp = F.current_timestamp() if ingested_at is None else ingested_at
@@ -33,18 +36,27 @@ def _midnight(day: Column) -> Column:
 def parse_price_csv(payloads: DataFrame, schema: str, text: str = "payload") -> DataFrame:
     """CSV texts to typed rows, next to the other columns of their payload.
 
-    Blank lines are dropped, the first line left is the header. A field that does
+    Blank lines are dropped, the first line left is the header. A number that does
     not parse (``N/D``) becomes null.
     """
-    lines = F.filter(F.split(F.col(text), r"\r\n|\r|\n"), lambda line: F.trim(line) != "")
-    rows = F.filter(F.col("_lines"), lambda line: line != F.col("_lines")[0])
     others = [c for c in payloads.columns if c != text]
+    fields = [column.split() for column in schema.split(", ")]
+    as_text = ", ".join(f"{name} string" for name, _ in fields)
+
+    def typed(name: str, kind: str) -> Column:
+        field = F.col(f"_row.{name}")
+        if kind != "string":
+            # The feed's placeholder is so common that a failing parse is too dear.
+            field = F.nullif(field, F.lit(NOT_QUOTED)).try_cast(kind)
+        return field.alias(name)
+
+    lines = F.split(F.translate(text, "\r", "\n"), "\n")
+    rows = F.filter(F.col("_lines"), lambda line: line != F.col("_lines")[0])
     return (
-        payloads.withColumn("_lines", lines)
-        .filter(F.size("_lines") > 1)
+        payloads.withColumn("_lines", F.filter(lines, lambda line: F.trim(line) != ""))
         .select(*others, F.explode(rows).alias("_line"))
-        .select(*others, F.from_csv("_line", schema).alias("_row"))
-        .select(*others, "_row.*")
+        .select(*others, F.from_csv("_line", as_text).alias("_row"))
+        .select(*others, *[typed(name, kind) for name, kind in fields])
     )
 
 

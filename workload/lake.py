@@ -8,6 +8,9 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 
 from tidegauge.plans import jobs
+from tidegauge.plans.macro import macro_trends
+from tidegauge.plans.market import market_snapshot
+from tidegauge.plans.silver import typed_indicators, typed_prices
 from tidegauge.session import stage
 from workload import bindings
 
@@ -22,6 +25,13 @@ BUILDERS = jobs.SILVER | jobs.GOLD
 _written: dict[tuple[str, str, str], DataFrame] = {}
 
 
+# Gold tables that collapse copies themselves read the typed raw rows directly.
+FROM_RAW = {
+    "daily_market_snapshot": lambda t: market_snapshot(typed_prices(t["market_prices_raw"])),
+    "macro_indicator_trends": lambda t: macro_trends(typed_indicators(t["macro_indicators_raw"])),
+}
+
+
 class Lazy(Mapping[str, DataFrame]):
     """Tables as plans from the given files on."""
 
@@ -31,6 +41,8 @@ class Lazy(Mapping[str, DataFrame]):
     def __getitem__(self, table: str) -> DataFrame:
         if table in RAW:
             return RAW[table](self.spark, self.sf_dir)
+        if table in FROM_RAW:
+            return FROM_RAW[table](self)
         inputs, build = BUILDERS[table]
         return build(*[self[name] for name in inputs])
 
@@ -57,5 +69,6 @@ class Written(Lazy):
             return super().__getitem__(table)
         key = (self._application, self.sf_dir, table)
         if key not in _written:
-            _written[key] = stage(super().__getitem__(table), table)
+            inputs, build = BUILDERS[table]
+            _written[key] = stage(build(*[self[name] for name in inputs]), table)
         return _written[key]

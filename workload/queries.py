@@ -11,7 +11,7 @@ from tidegauge.functions.symbols import history_variants, map_ticker, suffix_or_
 from tidegauge.operators.latest import latest_rows
 from tidegauge.plans import briefing, checks, cross, dashboards, macro, measures
 from tidegauge.plans.market import market_snapshot
-from tidegauge.plans.silver import MARKET_KEY, clean_market
+from tidegauge.plans.silver import MARKET_KEY, typed_prices
 from tidegauge.session import configure
 from tidegauge.sinks.export import EXPORTS, json_ready, recent
 from tidegauge.sinks.tables import enrich
@@ -106,7 +106,7 @@ def _primitives() -> dict[str, Query]:
         # Parts ship less often than suppliers; asked of every series, whatever its
         # history, so that the short ones show up.
         "short_series": lambda s, d: checks.incomplete_series(
-            market_snapshot(clean_market(bindings.raw_prices(s, d, "l_partkey"))),
+            market_snapshot(typed_prices(bindings.raw_prices(s, d, "l_partkey"))),
             "symbol",
             "snapshot_date",
             {"return_90d_pct": 1, "return_30d_pct": 1, "return_7d_pct": 1},
