@@ -56,17 +56,16 @@ def shared_folder(spark: SparkSession) -> str | None:
     return None
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
-    """Write a frame that several readers share and hand back its scan.
+def stage(df: DataFrame, name: str) -> str | None:
+    """Write a frame that several readers share and return its path.
 
     The copy is Parquet in the cluster's shared folder, so it outlives lost
-    executors and its readers still prune columns and push filters. Without such
-    a folder the frame comes back as it is and readers recompute it.
+    executors and its readers still prune columns and push filters. None without
+    such a folder; readers then recompute the frame.
     """
-    spark = df.sparkSession
-    folder = shared_folder(spark)
+    folder = shared_folder(df.sparkSession)
     if folder is None:
-        return df
+        return None
     path = f"{folder}/tidegauge/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return path

@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
-from functools import cached_property
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from tidegauge.plans import jobs
@@ -21,8 +21,8 @@ RAW = {
 }
 BUILDERS = jobs.SILVER | jobs.GOLD
 
-# Written tables, per application, folder and table.
-_written: dict[tuple[str, str, str], DataFrame] = {}
+# Paths of written tables, per application, folder and table.
+_paths: dict[tuple[str, str, str], str] = {}
 
 
 # Gold tables that collapse copies themselves read the typed raw rows directly.
@@ -58,17 +58,23 @@ class Written(Lazy):
 
     The reports read each Gold table several times, as they do in the daily jobs.
     Recomputing a table from the raw rows for every read would multiply the work.
+    The given files are taken as unchanged for the life of the application.
     """
 
-    @cached_property
-    def _application(self) -> str:
-        return self.spark.sparkContext.applicationId
-
     def __getitem__(self, table: str) -> DataFrame:
         if table in RAW:
             return super().__getitem__(table)
-        key = (self._application, self.sf_dir, table)
-        if key not in _written:
-            inputs, build = BUILDERS[table]
-            _written[key] = stage(build(*[self[name] for name in inputs]), table)
-        return _written[key]
+        key = (self.spark.sparkContext.applicationId, self.sf_dir, table)
+        if key in _paths:
+            try:
+                return self.spark.read.parquet(_paths[key])
+            except AnalysisException:
+                # Somebody cleaned the shared folder.
+                del _paths[key]
+        inputs, build = BUILDERS[table]
+        built = build(*[self[name] for name in inputs])
+        path = stage(built, table)
+        if path is None:
+            return built
+        _paths[key] = path
+        return self.spark.read.parquet(path)
