@@ -10,11 +10,12 @@ from tidegauge.sources.schemas import MACRO_META_JSON, MACRO_ROW_JSON
 BAD_SHAPE = "Macro page is not a JSON array of metadata and rows."
 
 
-def _page_parts(text: str) -> Column:
-    """``[metadata, rows]`` as raw JSON texts; fails the job on another shape."""
-    parts = F.from_json(text, "array<string>")
-    return F.when(F.size(parts) >= 2, parts).otherwise(
-        F.raise_error(F.lit(BAD_SHAPE)).cast("array<string>")
+def _page_parts(pages: DataFrame, text: str) -> DataFrame:
+    """``_parts``: metadata and rows as raw JSON texts; fails on another shape."""
+    others = [c for c in pages.columns if c != text]
+    bad = F.raise_error(F.lit(BAD_SHAPE)).cast("array<string>")
+    return pages.select(*others, F.from_json(text, "array<string>").alias("_array")).select(
+        *others, F.when(F.size("_array") >= 2, F.col("_array")).otherwise(bad).alias("_parts")
     )
 
 
@@ -33,7 +34,7 @@ def parse_macro_pages(pages: DataFrame, text: str = "payload") -> DataFrame:
     raw_rows = F.from_json(F.element_at("_parts", 2), "array<string>")
     row = F.from_json("raw_payload", MACRO_ROW_JSON)
     return (
-        pages.select(*others, _page_parts(text).alias("_parts"))
+        _page_parts(pages, text)
         .select(*others, F.explode(raw_rows).alias("raw_payload"))
         .filter(F.startswith(F.ltrim("raw_payload"), F.lit("{")))
         .withColumn("_row", row)
@@ -56,6 +57,6 @@ def page_counts(pages: DataFrame, text: str = "payload") -> DataFrame:
     """The page count every page announces; 1 when its metadata has none."""
     others = [c for c in pages.columns if c != text]
     meta = F.from_json(F.element_at("_parts", 1), MACRO_META_JSON)
-    return pages.select(*others, _page_parts(text).alias("_parts")).select(
+    return _page_parts(pages, text).select(
         *others, F.coalesce(meta["pages"], F.lit(1)).alias("page_count")
     )

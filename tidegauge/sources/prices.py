@@ -55,7 +55,8 @@ def parse_price_csv(payloads: DataFrame, schema: str, text: str = "payload") ->
     return (
         payloads.withColumn("_lines", F.filter(lines, lambda line: F.trim(line) != ""))
         .select(*others, F.explode(rows).alias("_line"))
-        .select(*others, F.from_csv("_line", as_text).alias("_row"))
+        # Filters on the fields stay above a generator; they would parse lines again.
+        .select(*others, F.explode(F.array(F.from_csv("_line", as_text))).alias("_row"))
         .select(*others, *[typed(name, kind) for name, kind in fields])
     )
 
@@ -64,10 +65,9 @@ def standardize_prices(
     rows: DataFrame, source: str | Column, ingested_at: Column | None = None
 ) -> DataFrame:
     """Snapshot rows (``Symbol, Date, Time, ..., Close``) to market rows."""
-    stamp = F.coalesce(
-        F.try_to_timestamp(F.concat_ws(" ", "Date", "Time"), F.lit("yyyy-MM-dd HH:mm:ss")),
-        F.try_to_timestamp("Date", F.lit("yyyy-MM-dd")),
-    )
+    day = F.try_to_timestamp("Date", F.lit("yyyy-MM-dd"))
+    moment = F.try_to_timestamp(F.concat_ws(" ", "Date", "Time"), F.lit("yyyy-MM-dd HH:mm:ss"))
+    stamp = F.when(F.length("Time") > 0, F.coalesce(moment, day)).otherwise(day)
     market = rows.select(
         "*",
         F.col("Close").alias("price"),
@@ -107,8 +107,13 @@ def parse_candles(
     """Daily-candle JSON ``{s, c[], t[]}`` per symbol to market rows."""
     market = (
         payloads.select("symbol", F.from_json(text, CANDLES_JSON).alias("p"))
-        .filter((F.col("p.s") == "ok") & (F.size("p.c") > 0))
-        .select("symbol", F.explode(F.arrays_zip("p.c", "p.t")).alias("bar"))
+        # A condition inside the generator: a filter would parse the JSON again.
+        .select(
+            "symbol",
+            F.explode(
+                F.when((F.col("p.s") == "ok") & (F.size("p.c") > 0), F.arrays_zip("p.c", "p.t"))
+            ).alias("bar"),
+        )
         .select(
             F.upper("symbol").alias("symbol"),
             F.col("bar.c").alias("price"),
@@ -131,8 +136,8 @@ def parse_quotes(
     """
     now = F.current_timestamp() if ingested_at is None else ingested_at
     market = (
-        payloads.withColumn("_quote", F.from_json(text, QUOTE_JSON))
-        .filter(F.col("_quote.c") != 0)
+        payloads.withColumn("_parsed", F.array(F.from_json(text, QUOTE_JSON)))
+        .withColumn("_quote", F.explode(F.filter("_parsed", lambda q: q["c"] != 0)))
         .withColumns(
             {
                 "price": F.col("_quote.c"),
