@@ -13,6 +13,7 @@ from helpers import rows
 from tidegauge.plans import jobs
 from tidegauge.sinks import audit, export
 from tidegauge.sinks.tables import NoData, bootstrap
+from tidegauge.sources import indicators, prices, rates
 from tidegauge.sources.schemas import TABLES, columns_of, qualified
 from tidegauge.sources.tables import empty, scan
 from workload import bindings
@@ -133,3 +134,36 @@ def test_json_values(spark, tmp_path):
     text = "".join(f.read_text() for f in Path(tmp_path, "out").glob("*.json"))
     assert json.loads(text) == {"d": "2024-01-01", "v": None, "s": None}
     assert qualified("pipeline_runs") == "audit.pipeline_runs"
+
+
+def test_payloads_reach_gold(lake, spark):
+    """One payload per feed, from text to signals."""
+
+    def landed(text, **columns):
+        names = ", ".join(f"{n} string" for n in [*columns, "payload"])
+        return spark.createDataFrame([(*columns.values(), text)], names)
+
+    candles = json.dumps({"s": "ok", "c": [100.0, 97.0], "t": [1735689600, 1735776000]})
+    latest = json.dumps({"base": "GBP", "date": "2025-01-02", "rates": {"USD": 1.25, "EUR": None}})
+    row = {"country": {"id": "GB"}, "countryiso3code": "GBR", "indicator": {"id": "CPI"}, "date": "2024",
+           "value": 3.2}
+    page = json.dumps([{"pages": 1}, [row, row | {"date": "2025", "value": 3.0}]])
+    jobs.ingest(prices.parse_candles(landed(candles, symbol="new.us")), "market_prices_raw")
+    jobs.ingest(rates.parse_fx_latest(landed(latest, source_url="u"), "run"), "fx_rates_raw")
+    macro = indicators.standardize_indicators(indicators.parse_macro_pages(landed(page)))
+    assert jobs.ingest(macro, "macro_indicators_raw") == 2
+    jobs.rebuild_silver(lake)
+    jobs.rebuild_gold(lake)
+
+    snapshot = scan(lake, "daily_market_snapshot").filter("symbol = 'NEW.US'")
+    assert rows(snapshot, "snapshot_date", "day_change_pct", "stress_flag") == [
+        (date(2025, 1, 1), None, False), (date(2025, 1, 2), -3.0, True)
+    ]
+    pair = scan(lake, "fx_trend_signals").filter("base_currency = 'GBP'")
+    assert rows(pair, "currency_pair", "rate") == [("GBPUSD", 1.25)]
+    trend = scan(lake, "macro_indicator_trends").filter("country_code = 'GBR'")
+    assert rows(trend, "observation_date", "trend_direction") == [
+        (date(2024, 1, 1), "flat"), (date(2025, 1, 1), "down")
+    ]
+    newest = scan(lake, "top_movers_why").first()
+    assert newest["as_of_date"] == date(2025, 1, 2) and newest["symbol"] == "NEW.US"

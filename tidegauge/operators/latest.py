@@ -32,6 +32,15 @@ def latest_rows(df: DataFrame, date_column: str) -> DataFrame:
     return df.filter(F.col(date_column) == latest_value(df, date_column))
 
 
+def ascending(column: str) -> Column:
+    """Nulls first, as Spark sorts by default; said, because engines differ."""
+    return F.col(column).asc_nulls_first()
+
+
+def descending(column: str | Column) -> Column:
+    return (F.col(column) if isinstance(column, str) else column).desc_nulls_last()
+
+
 def top_rows(df: DataFrame, k: int, *order: Column) -> DataFrame:
     """First ``k`` rows by ``order``; every task forwards at most ``k`` rows."""
     return df.orderBy(*order).limit(k)

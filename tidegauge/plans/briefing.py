@@ -9,8 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidegauge.functions.metrics import exact_avg
-from tidegauge.operators.latest import latest_rows, top_rows
-from tidegauge.sources.schemas import columns_of
+from tidegauge.operators.latest import ascending, descending, latest_rows, top_rows
 
 Gold = Mapping[str, DataFrame]
 
@@ -18,14 +17,6 @@ TOP = 10
 MACRO_TOP = 15
 
 
-def _asc(column: str) -> Column:
-    return F.col(column).asc_nulls_first()
-
-
-def _desc(column: str | Column) -> Column:
-    return (F.col(column) if isinstance(column, str) else column).desc_nulls_last()
-
-
 def latest_dates(gold: Gold) -> DataFrame:
     """Newest date of four Gold tables, side by side."""
     dates = {
@@ -67,12 +58,12 @@ REGIME_COLUMNS = (
 
 
 def regime(gold: Gold) -> DataFrame:
-    return top_rows(gold["cross_signal_summary"].select(*REGIME_COLUMNS), 1, _desc("as_of_date"))
+    return top_rows(gold["cross_signal_summary"].select(*REGIME_COLUMNS), 1, descending("as_of_date"))
 
 
 def top_movers(gold: Gold) -> DataFrame:
     newest = latest_rows(gold["top_movers_why"], "as_of_date")
-    return top_rows(newest, TOP, _asc("return_30d_pct"), _asc("symbol"))
+    return top_rows(newest, TOP, ascending("return_30d_pct"), ascending("symbol"))
 
 
 def market_breadth(gold: Gold) -> DataFrame:
@@ -109,10 +100,10 @@ def market_stress(gold: Gold) -> DataFrame:
     return top_rows(
         newest,
         TOP,
-        _desc("stress_flag"),
-        _asc("drawdown_from_90d_high_pct"),
-        _desc("rolling_30d_volatility"),
-        _asc("symbol"),
+        descending("stress_flag"),
+        ascending("drawdown_from_90d_high_pct"),
+        descending("rolling_30d_volatility"),
+        ascending("symbol"),
     )
 
 
@@ -134,10 +125,10 @@ def fx_watchlist(gold: Gold) -> DataFrame:
     return top_rows(
         newest,
         TOP,
-        _desc("stress_flag"),
-        _desc(F.abs("return_30d_pct")),
-        _desc("rolling_30d_volatility"),
-        _asc("currency_pair"),
+        descending("stress_flag"),
+        descending(F.abs("return_30d_pct")),
+        descending("rolling_30d_volatility"),
+        ascending("currency_pair"),
     )
 
 
@@ -155,7 +146,7 @@ MACRO_COLUMNS = (
 def macro_trends(gold: Gold) -> DataFrame:
     newest = latest_rows(gold["macro_indicator_trends"], "observation_date").select(*MACRO_COLUMNS)
     return top_rows(
-        newest, MACRO_TOP, _desc("observation_date"), _asc("country_code"), _asc("indicator_name")
+        newest, MACRO_TOP, descending("observation_date"), ascending("country_code"), ascending("indicator_name")
     )
 
 
@@ -203,9 +194,9 @@ def fx_history_summary(gold: Gold) -> DataFrame:
     top = top_rows(
         per_pair,
         TOP,
-        _desc("observations"),
-        _desc("avg_rolling_30d_volatility"),
-        _asc("currency_pair"),
+        descending("observations"),
+        descending("avg_rolling_30d_volatility"),
+        ascending("currency_pair"),
     )
     rounded = ("avg_abs_daily_change_pct", "avg_rolling_30d_volatility", "max_abs_return_30d_pct")
     return top.withColumns({c: F.round(c, 4) for c in rounded})

@@ -8,8 +8,14 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidegauge.operators.latest import dedupe_latest, latest_rows, top_rows
-from tidegauge.plans.briefing import FX_COLUMNS, MACRO_COLUMNS, _asc, _desc
+from tidegauge.operators.latest import (
+    ascending,
+    dedupe_latest,
+    descending,
+    latest_rows,
+    top_rows,
+)
+from tidegauge.plans.briefing import FX_COLUMNS, MACRO_COLUMNS
 from tidegauge.plans.checks import DATE_COLUMNS, MIN_HISTORY_DATES
 
 Tables = Mapping[str, DataFrame]
@@ -62,12 +68,12 @@ def trend(tables: Tables, dates: int = 30) -> DataFrame:
         "macro_down_indicators",
         "risk_regime",
     )
-    return top_rows(recent, dates, _desc("as_of_date"))
+    return top_rows(recent, dates, descending("as_of_date"))
 
 
 def movers(tables: Tables, rows: int = 20) -> DataFrame:
     return top_rows(
-        tables["top_movers_why"], rows, _desc("as_of_date"), _asc("return_30d_pct"), _asc("symbol")
+        tables["top_movers_why"], rows, descending("as_of_date"), ascending("return_30d_pct"), ascending("symbol")
     )
 
 
@@ -76,13 +82,13 @@ def audit_health(audit: DataFrame) -> DataFrame:
     return (
         dedupe_latest(audit, ["pipeline_name"], ["run_timestamp"], ["message", "status", "row_count"])
         .select(*AUDIT_COLUMNS)
-        .orderBy(_desc("run_timestamp"), _asc("pipeline_name"))
+        .orderBy(descending("run_timestamp"), ascending("pipeline_name"))
     )
 
 
 def audit_failures(audit: DataFrame, rows: int = 20) -> DataFrame:
     failed = audit.filter(F.col("status") == "FAILED").select(*AUDIT_COLUMNS)
-    return top_rows(failed, rows, _desc("run_timestamp"), _asc("pipeline_name"), _asc("message"))
+    return top_rows(failed, rows, descending("run_timestamp"), ascending("pipeline_name"), ascending("message"))
 
 
 def layer_counts(tables: Tables) -> DataFrame:
@@ -120,7 +126,7 @@ def history_depth(tables: Tables) -> DataFrame:
 
 
 def recent_regimes(tables: Tables, dates: int = 10) -> DataFrame:
-    return top_rows(tables["cross_signal_summary"], dates, _desc("as_of_date"))
+    return top_rows(tables["cross_signal_summary"], dates, descending("as_of_date"))
 
 
 def stressed_instruments(tables: Tables, rows: int = 10) -> DataFrame:
@@ -137,10 +143,10 @@ def stressed_instruments(tables: Tables, rows: int = 10) -> DataFrame:
     return top_rows(
         newest,
         rows,
-        _desc("stress_flag"),
-        _asc("drawdown_from_90d_high_pct"),
-        _asc("return_30d_pct"),
-        _asc("symbol"),
+        descending("stress_flag"),
+        ascending("drawdown_from_90d_high_pct"),
+        ascending("return_30d_pct"),
+        ascending("symbol"),
     )
 
 
@@ -149,10 +155,10 @@ def fx_signals(tables: Tables, rows: int = 10) -> DataFrame:
     return top_rows(
         newest,
         rows,
-        _desc("stress_flag"),
-        _desc(F.abs("return_30d_pct")),
-        _desc(F.abs("daily_change_pct")),
-        _asc("currency_pair"),
+        descending("stress_flag"),
+        descending(F.abs("return_30d_pct")),
+        descending(F.abs("daily_change_pct")),
+        ascending("currency_pair"),
     )
 
 
@@ -160,9 +166,9 @@ def recent_macro(tables: Tables, rows: int = 15) -> DataFrame:
     return top_rows(
         tables["macro_indicator_trends"].select(*MACRO_COLUMNS),
         rows,
-        _desc("observation_date"),
-        _asc("country_code"),
-        _asc("indicator_name"),
+        descending("observation_date"),
+        ascending("country_code"),
+        ascending("indicator_name"),
     )
 
 
@@ -170,4 +176,4 @@ def recent_movers(tables: Tables, rows: int = 10) -> DataFrame:
     newest = latest_rows(tables["daily_market_snapshot"], "snapshot_date").select(
         "symbol", "snapshot_date", "return_30d_pct", "return_90d_pct", "rolling_30d_volatility"
     )
-    return top_rows(newest, rows, _asc("return_30d_pct"), _asc("return_90d_pct"), _asc("symbol"))
+    return top_rows(newest, rows, ascending("return_30d_pct"), ascending("return_90d_pct"), ascending("symbol"))

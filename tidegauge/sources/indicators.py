@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidegauge.sources.schemas import MACRO_META_JSON, MACRO_ROW_JSON
+from tidegauge.sources.schemas import MACRO_META_JSON, MACRO_ROW_JSON, columns_of
+
+# Fixed value: the source recorded with every observation.
+SOURCE_URI = "https://api.worldbank.org/v2/country/all/indicator"
 
 BAD_SHAPE = "Macro page is not a JSON array of metadata and rows."
 
@@ -53,6 +56,20 @@ def parse_macro_pages(pages: DataFrame, text: str = "payload") -> DataFrame:
     )
 
 
+def standardize_indicators(
+    rows: DataFrame, source: str | Column = SOURCE_URI, ingested_at: Column | None = None
+) -> DataFrame:
+    """Parsed rows with their ingestion columns (those of ``macro_indicators_raw``)."""
+    stamp = F.current_timestamp() if ingested_at is None else ingested_at
+    return rows.withColumns(
+        {
+            "ingest_ts": stamp,
+            "_ingest_date": F.to_date(stamp),
+            "_source": F.lit(source) if isinstance(source, str) else source,
+        }
+    ).select(*columns_of("macro_indicators_raw"))
+
+
 def page_counts(pages: DataFrame, text: str = "payload") -> DataFrame:
     """The page count every page announces; 1 when its metadata has none."""
     others = [c for c in pages.columns if c != text]

@@ -393,6 +393,17 @@ def _source_sql() -> dict[str, str]:
     macro_missing = f"""'{{"country":{{"id":"' || o_orderstatus || '"}},"indicator":{{"id":"'
         || o_orderpriority || '"}},"date":' || {year} || ',"value":null}}'"""
 
+    macro_rows = f"""
+        SELECT o_orderkey AS page_key,
+               CASE WHEN {blank} THEN o_orderstatus ELSE o_orderstatus || 'XX' END AS country_code,
+               CASE WHEN {blank} THEN o_orderpriority ELSE 'Orders, total' END AS indicator_name,
+               {year} AS observation_date, o_totalprice AS observation_value,
+               {macro_raw} AS raw_payload
+        FROM orders {live_page}
+        UNION ALL
+        SELECT o_orderkey, o_orderstatus, o_orderpriority, {year}, NULL, {macro_missing}
+        FROM orders {live_page}"""
+
     choice = """
         SELECT s_suppkey, 'S' || CAST(s_suppkey AS VARCHAR) || '.L.US' AS symbol,
                's' || CAST(s_suppkey AS VARCHAR) AS stem, coalesce(n, 0) AS n
@@ -473,16 +484,11 @@ def _source_sql() -> dict[str, str]:
                 fx_row("o_orderdate + INTERVAL 1 DAY", "o_orderpriority", "CAST(o_orderkey AS DOUBLE)"),
             ]
         ),
-        "parsed_macro_pages": f"""
-            SELECT o_orderkey AS page_key,
-                   CASE WHEN {blank} THEN o_orderstatus ELSE o_orderstatus || 'XX' END AS country_code,
-                   CASE WHEN {blank} THEN o_orderpriority ELSE 'Orders, total' END AS indicator_name,
-                   {year} AS observation_date, o_totalprice AS observation_value,
-                   {macro_raw} AS raw_payload
-            FROM orders {live_page}
-            UNION ALL
-            SELECT o_orderkey, o_orderstatus, o_orderpriority, {year}, NULL, {macro_missing}
-            FROM orders {live_page}""",
+        "parsed_macro_pages": macro_rows,
+        "standardized_indicators": f"""
+            SELECT * EXCLUDE (page_key), {LOADED_AT} AS ingest_ts, '{AS_OF}' AS _ingest_date,
+                   'https://api.worldbank.org/v2/country/all/indicator' AS _source
+            FROM ({macro_rows})""",
         "macro_page_counts": """
             SELECT o_orderkey AS page_key,
                    CASE WHEN o_orderkey % 13 = 0 OR o_orderkey % 17 = 0 THEN 1

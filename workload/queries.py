@@ -172,6 +172,9 @@ def _sources() -> dict[str, Query]:
             payloads.fx_range(s, d), "run-1", loaded_at()
         ),
         "parsed_macro_pages": lambda s, d: indicators.parse_macro_pages(payloads.macro_pages(s, d)),
+        "standardized_indicators": lambda s, d: indicators.standardize_indicators(
+            indicators.parse_macro_pages(payloads.macro_pages(s, d)), ingested_at=loaded_at()
+        ),
         "macro_page_counts": lambda s, d: indicators.page_counts(payloads.macro_pages(s, d)),
         "vendor_tickers": tickers,
         "first_available_source": lambda s, d: prices.first_available_source(
