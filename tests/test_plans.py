@@ -112,6 +112,15 @@ def test_snapshot_offsets_count_rows(spark):
     assert last["drawdown_from_90d_high_pct"] == 0.0
 
 
+def test_drawdown_looks_back_ninety_rows(spark):
+    prices = [200.0] + [150.0 if i == 40 else 100.0 + i % 3 for i in range(1, 140)]
+    got = snapshot(spark, ("A", prices)).orderBy("snapshot_date").collect()
+    for i, row in enumerate(got):
+        high = max(prices[max(0, i - 89) : i + 1])
+        expected = (prices[i] - high) / high * 100
+        assert row["drawdown_from_90d_high_pct"] == pytest.approx(expected, abs=5.1e-5)
+
+
 def test_snapshot_takes_the_last_price_of_a_day(spark):
     raw = [
         ("A", 1.0, "US", noon(0, 9), noon(0, 10), day(0), "f"),

@@ -34,6 +34,10 @@ def daily_closes(prices: DataFrame) -> DataFrame:
     )
 
 
+# The 90-row high is the greatest of nine 10-row highs.
+HIGH_BLOCK, HIGH_BLOCKS = 10, 9
+
+
 def market_snapshot(prices: DataFrame, stress: MarketStress = MarketStress()) -> DataFrame:
     """One row per symbol and day; offsets count observed days, not calendar days.
 
@@ -47,6 +51,11 @@ def market_snapshot(prices: DataFrame, stress: MarketStress = MarketStress()) ->
         return pct_change(close, F.lag(close, rows).over(series), 4)
 
     previous = F.lag(close, 1).over(series)
+    # A sliding frame is evaluated row by row: ten steps and nine look-ups a row
+    # instead of ninety steps. Look-ups ahead of the series are null and ignored.
+    high = F.greatest(
+        *[F.lag("_block_high", i * HIGH_BLOCK).over(series) for i in range(HIGH_BLOCKS)]
+    )
     return (
         daily_closes(prices)
         .withColumns(
@@ -57,14 +66,16 @@ def market_snapshot(prices: DataFrame, stress: MarketStress = MarketStress()) ->
                 "return_7d_pct": change_over(7),
                 "return_30d_pct": change_over(30),
                 "return_90d_pct": change_over(90),
-                "drawdown_from_90d_high_pct": pct_change(
-                    close, F.max(close).over(series.rowsBetween(-89, 0)), 4
-                ),
+                "_block_high": F.max(close).over(series.rowsBetween(1 - HIGH_BLOCK, 0)),
             }
         )
-        .withColumn(
-            "rolling_30d_volatility",
-            rolling_volatility(F.col("day_change_pct"), series.rowsBetween(-29, 0), 4),
+        .withColumns(
+            {
+                "rolling_30d_volatility": rolling_volatility(
+                    F.col("day_change_pct"), series.rowsBetween(-29, 0), 4
+                ),
+                "drawdown_from_90d_high_pct": pct_change(close, high, 4),
+            }
         )
         .withColumn(
             "stress_flag",
