@@ -5,9 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tidegauge.llm import perspectives
 from tidegauge.llm.bpe import bpe_digest
 from tidegauge.llm.token_output import read_digests, write_tokens
+from tidegauge.llm.url_filter import Rule, judge_urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -28,12 +31,32 @@ def op1_token_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_digests(spark, path).withColumnRenamed("key", "doc_id")
 
 
+def op5_perspectives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = perspectives.render_perspectives(table(spark, sf_dir, "conversations"))
+    spans = F.transform("mask", lambda s: F.concat_ws("-", s["start"], s["end"]))
+    return found.withColumn("mask", F.array_join(spans, ","))
+
+
 def op7_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_digest(table(spark, sf_dir, "documents"), word_bpe())
 
 
+URL_RULES = (
+    Rule("net", "/", "block"),
+    Rule("example.net", "/en/", "allow"),
+    Rule("example.com", "/de/", "block"),
+    Rule("org", "/fr/", "allow"),
+)
+
+
+def op10_url_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge_urls(table(spark, sf_dir, "pages"), URL_RULES)
+
+
 QUERIES: dict[str, Query] = {
     "op1_token_blocks": op1_token_blocks,
+    "op5_perspectives": op5_perspectives,
     "op7_bpe_codec": op7_bpe_codec,
+    "op10_url_verdicts": op10_url_verdicts,
 }
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op5_perspectives": perspectives.SQL}
