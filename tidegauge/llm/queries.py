@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegauge.llm import perspectives
+from tidegauge.llm import perspectives, quality
 from tidegauge.llm.bpe import bpe_digest
 from tidegauge.llm.token_output import read_digests, write_tokens
 from tidegauge.llm.url_filter import Rule, judge_urls
@@ -41,6 +41,11 @@ def op7_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_digest(table(spark, sf_dir, "documents"), word_bpe())
 
 
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality.judge_quality(docs, quality.train(docs, table(spark, sf_dir, "labels")))
+
+
 URL_RULES = (
     Rule("net", "/", "block"),
     Rule("example.net", "/en/", "allow"),
@@ -57,6 +62,7 @@ QUERIES: dict[str, Query] = {
     "op1_token_blocks": op1_token_blocks,
     "op5_perspectives": op5_perspectives,
     "op7_bpe_codec": op7_bpe_codec,
+    "op8_quality_rules": op8_quality_rules,
     "op10_url_verdicts": op10_url_verdicts,
 }
 ORACLE_SQL: dict[str, str] = {"op5_perspectives": perspectives.SQL}
