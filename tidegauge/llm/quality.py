@@ -114,12 +114,17 @@ def base_counts(texts: pa.Array, words: Words) -> BaseCounts:
 
 
 def word_hashes(vocabulary: pa.Array) -> np.ndarray:
+    """A 64-bit hash of each word's bytes, 0 for an empty one."""
     body, offsets = byte_view(vocabulary)
-    if not len(vocabulary):
-        return np.zeros(0, dtype=np.uint64)
-    place = np.arange(len(body)) - np.repeat(offsets[:-1], np.diff(offsets))
+    sizes = np.diff(offsets)
+    out = np.zeros(len(vocabulary), dtype=np.uint64)
+    if not len(body):
+        return out
+    place = np.arange(len(body)) - np.repeat(offsets[:-1], sizes)
     factor = np.cumprod(np.full(int(place.max()) + 1, 0x9E3779B97F4A7C15, dtype=np.uint64))
-    return np.add.reduceat((body.astype(np.uint64) + np.uint64(1)) * factor[place], offsets[:-1])
+    spread = (body.astype(np.uint64) + np.uint64(1)) * factor[place]
+    out[sizes > 0] = np.add.reduceat(spread, offsets[:-1][sizes > 0])
+    return out
 
 
 def slot(hashes: np.ndarray) -> np.ndarray:

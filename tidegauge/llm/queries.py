@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegauge.llm import perspectives, quality
+from tidegauge.llm import perspectives, quality, toxicity
 from tidegauge.llm.bpe import bpe_digest
 from tidegauge.llm.token_output import read_digests, write_tokens
 from tidegauge.llm.url_filter import Rule, judge_urls
@@ -46,6 +46,20 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge_quality(docs, quality.train(docs, table(spark, sf_dir, "labels")))
 
 
+def op9_toxic_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, fold = table(spark, sf_dir, "documents"), "crc32(CAST({} AS STRING)) % 5 = 0"
+    learned = ~F.expr(fold.format("__key"))
+    field = toxicity.train(docs, table(spark, sf_dir, "labels"), only=learned)
+    spans = F.transform("spans", lambda s: F.concat_ws("-", s["start"], s["end"]))
+    return toxicity.score_toxicity(docs, field).select(
+        "doc_id",
+        F.coalesce(F.expr(fold.format("doc_id")), F.lit(False)).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+        F.array_join(spans, ",").alias("spans"),
+    )
+
+
 URL_RULES = (
     Rule("net", "/", "block"),
     Rule("example.net", "/en/", "allow"),
@@ -63,6 +77,7 @@ QUERIES: dict[str, Query] = {
     "op5_perspectives": op5_perspectives,
     "op7_bpe_codec": op7_bpe_codec,
     "op8_quality_rules": op8_quality_rules,
+    "op9_toxic_spans": op9_toxic_spans,
     "op10_url_verdicts": op10_url_verdicts,
 }
 ORACLE_SQL: dict[str, str] = {"op5_perspectives": perspectives.SQL}
