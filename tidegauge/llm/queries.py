@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegauge.llm import perspectives, quality, toxicity
+from tidegauge.llm import perspectives, quality, reshard, toxicity
 from tidegauge.llm.bpe import bpe_digest
 from tidegauge.llm.token_output import read_digests, write_tokens
 from tidegauge.llm.url_filter import Rule, judge_urls
@@ -31,6 +31,33 @@ def op1_token_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_digests(spark, path).withColumnRenamed("key", "doc_id")
 
 
+OLD_SHARDS = NEW_SHARDS = 8
+
+
+def op4_min_flow_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """From shards by source, which are as uneven as the sources, to even ones."""
+    docs = table(spark, sf_dir, "documents")
+    by_source = F.pmod(F.xxhash64("source"), F.lit(OLD_SHARDS))
+    layout = reshard.write_layout(docs, by_source)
+    even = reshard.reshard(layout, OLD_SHARDS, NEW_SHARDS, reshard.text_size(F.col("text")))
+    read = even.rows.select(
+        "doc_id",
+        reshard.text_size(F.col("text")).alias("size"),
+        F.crc32(F.coalesce(F.col("text"), F.lit("")).cast("binary")).alias("text_crc32"),
+        "__shard",
+        "__block",
+    )
+    return reshard.with_slots(even, read, ["doc_id", "text_crc32", "size"]).select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.lit("bytes").alias("law"),
+        F.col("__shard").alias("shard"),
+        F.col("__slot").alias("slot"),
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
 def op5_perspectives(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = perspectives.render_perspectives(table(spark, sf_dir, "conversations"))
     spans = F.transform("mask", lambda s: F.concat_ws("-", s["start"], s["end"]))
@@ -74,6 +101,7 @@ def op10_url_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_token_blocks": op1_token_blocks,
+    "op4_min_flow_shards": op4_min_flow_shards,
     "op5_perspectives": op5_perspectives,
     "op7_bpe_codec": op7_bpe_codec,
     "op8_quality_rules": op8_quality_rules,
