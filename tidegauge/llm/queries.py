@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegauge.llm import decontaminate, perspectives, quality, reshard, toxicity
+from tidegauge.llm import decontaminate, near_dedup, perspectives, quality, reshard, toxicity
 from tidegauge.llm.bpe import bpe_digest
 from tidegauge.llm.token_output import read_digests, write_tokens
 from tidegauge.llm.url_filter import Rule, judge_urls
@@ -68,6 +68,10 @@ def op5_perspectives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("mask", F.array_join(spans, ","))
 
 
+def op6_near_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_classes(table(spark, sf_dir, "documents"))
+
+
 def op7_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_digest(table(spark, sf_dir, "documents"), word_bpe())
 
@@ -108,6 +112,7 @@ QUERIES: dict[str, Query] = {
     "op3_benchmark_leaks": op3_benchmark_leaks,
     "op4_min_flow_shards": op4_min_flow_shards,
     "op5_perspectives": op5_perspectives,
+    "op6_near_classes": op6_near_classes,
     "op7_bpe_codec": op7_bpe_codec,
     "op8_quality_rules": op8_quality_rules,
     "op9_toxic_spans": op9_toxic_spans,
