@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegauge.llm import decontaminate, near_dedup, perspectives, quality, reshard, toxicity
+from tidegauge.llm import decontaminate, near_dedup, perspectives, quality, reshard, suffix_dedup, toxicity
 from tidegauge.llm.bpe import bpe_digest
 from tidegauge.llm.token_output import read_digests, write_tokens
 from tidegauge.llm.url_filter import Rule, judge_urls
@@ -31,6 +31,10 @@ def op1_token_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_digests(spark, path).withColumnRenamed("key", "doc_id")
 
 
+def op2_repeated_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.dedup_digest(table(spark, sf_dir, "documents"))
+
+
 def op3_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -109,6 +113,7 @@ def op10_url_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_token_blocks": op1_token_blocks,
+    "op2_repeated_strings": op2_repeated_strings,
     "op3_benchmark_leaks": op3_benchmark_leaks,
     "op4_min_flow_shards": op4_min_flow_shards,
     "op5_perspectives": op5_perspectives,
