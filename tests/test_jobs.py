@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import json
-from datetime import date
+from datetime import date, datetime
 from pathlib import Path
 
 import pytest
@@ -12,12 +12,12 @@ from pyspark.sql import functions as F
 from helpers import rows
 from tidegauge.plans import jobs
 from tidegauge.sinks import audit, export
-from tidegauge.sinks.tables import NoData, bootstrap
+from tidegauge.sinks.tables import NoData, bootstrap, replace
 from tidegauge.sources import indicators, prices, rates
 from tidegauge.sources.schemas import TABLES, columns_of, qualified
 from tidegauge.sources.tables import empty, scan
 from workload import bindings
-from workload.lake import RAW, Lazy
+from workload.lake import RAW, Lake
 
 
 @pytest.fixture(scope="module")
@@ -42,7 +42,7 @@ def test_tables_follow_the_contract(lake):
 
 
 def test_tables_equal_lazy_plans(lake, sf_dir):
-    lazy = Lazy(lake, sf_dir)
+    lazy = Lake(lake, sf_dir)
     for table in (*jobs.SILVER, *jobs.GOLD):
         assert rows(scan(lake, table)) == rows(lazy[table])
 
@@ -125,14 +125,44 @@ def test_export(lake, tmp_path):
             assert all(set(json.loads(line)) == set(columns_of(table)) for line in lines)
 
 
+def test_failing_rebuild_keeps_the_table(lake):
+    before = rows(scan(lake, "fx_rates"))
+    boom = scan(lake, "fx_rates_raw").select(F.raise_error(F.lit("half way")).cast("string").alias("currency_pair"))
+    with pytest.raises(Exception, match="half way"):
+        replace(boom, "fx_rates")
+    assert rows(scan(lake, "fx_rates")) == before
+    assert not [t.name for t in lake.catalog.listTables("silver") if "_new_" in t.name or "_old_" in t.name]
+
+
+def test_landed_payloads_are_counted_and_backfilled(lake, spark):
+    landed = spark.createDataFrame(
+        [("q.us", '{"c":3.5,"t":1735689600}'), ("r.us", "<html>")], "symbol string, payload string"
+    )
+    assert jobs.ingest_landed(landed, "quotes", "market_prices_raw", prices.parse_quotes) == 1
+    assert "1 payloads rejected" in last_run(lake, "bronze_market_prices_raw")["message"]
+    requested = spark.createDataFrame([("q.us",), ("none.us",)], "symbol string")
+    nothing = spark.createDataFrame([], "source_symbol string, Date string, Close double")
+    quoted = prices.parse_quotes(landed, on_bad="skip")
+    assert jobs.backfill(requested, nothing, quoted, "2024-01-01", "2025-01-01") == 1
+    message = last_run(lake, "bronze_market_prices_raw")["message"]
+    assert "1 empty, 1 snapshot_fallback" in message and "2024-01-01 to 2025-01-01" in message
+    with pytest.raises(NoData, match=r"none.us=empty\[none.us:0,none:0\]"):
+        jobs.backfill(requested.filter("symbol = 'none.us'"), nothing, quoted, "2024-01-01", "2025-01-01")
+
+
 def test_json_values(spark, tmp_path):
     df = spark.createDataFrame(
-        [(date(2024, 1, 1), float("nan"), None), (date(2022, 1, 1), 1.0, "x")],
-        "d date, v double, s string",
+        [
+            (date(2024, 1, 1), float("nan"), None, datetime(2024, 1, 1, 3, 4, 5, 678901)),
+            (date(2022, 1, 1), 1.0, "x", None),
+        ],
+        "d date, v double, s string, t timestamp",
     )
     export.export_json(df, str(tmp_path / "out"), "d", "2024-06-01")
     text = "".join(f.read_text() for f in Path(tmp_path, "out").glob("*.json"))
-    assert json.loads(text) == {"d": "2024-01-01", "v": None, "s": None}
+    assert json.loads(text) == {
+        "d": "2024-01-01", "v": None, "s": None, "t": "2024-01-01 03:04:05.678901",
+    }
     assert qualified("pipeline_runs") == "audit.pipeline_runs"
 
 

@@ -16,6 +16,7 @@ from tidegauge.functions.metrics import any_of, exact_avg, pct_change
 from tidegauge.functions.symbols import history_variants, map_ticker, suffix_or_us
 from tidegauge.operators.latest import dedupe_latest, latest_rows, top_rows
 from tidegauge.operators.series import over_long_series
+from tidegauge.plans import checks
 from tidegauge.plans.cross import macro_asof_summary
 
 FEW = settings(
@@ -125,15 +126,21 @@ def test_asof_summary_survives_extreme_metrics(spark):
         "country_code string, indicator_name string, observation_date date,"
         " trend_direction string, period_change_pct double, year_over_year_pct double"
     )
+    inf, nan = float("inf"), float("nan")
     data = [
-        ("a", "i", day(0), "up", 1.5, 1.0),
-        ("b", "i", day(1), "up", 1e30, float("nan")),
-        ("b", "i", day(2), "up", 2.5, 2.0),
+        ("a", "i", day(0), "up", inf, 1.0),
+        ("a", "i", day(1), "up", 1.0, -inf),
+        ("b", "i", day(2), "up", 3e20, nan),
+        ("b", "i", day(3), "up", 2.5, inf),
+        ("a", "i", day(4), "up", 1.5, 2.0),
+        ("b", "i", day(5), "up", 0.5, 4.0),
     ]
-    dates = spark.createDataFrame([(day(n),) for n in range(3)], "as_of_date date")
+    dates = spark.createDataFrame([(day(n),) for n in range(6)], "as_of_date date")
     got = rows(macro_asof_summary(dates, spark.createDataFrame(data, schema)))
-    assert [r[3] for r in got] == [1.5, pytest.approx(5e29), 2.0]
-    assert got[1][4] != got[1][4] and got[2][4] == 1.5
+    assert [r[3] for r in got] == [inf, 1.0, pytest.approx(1.5e20), 1.75, 2.0, 1.0]
+    yearly = [r[4] for r in got]
+    assert yearly[:2] == [1.0, -inf] and yearly[2] != yearly[2] and yearly[3] != yearly[3]
+    assert yearly[4:] == [inf, 3.0]
 
 
 def test_pct_change_needs_a_base(spark):
@@ -159,6 +166,22 @@ def test_exact_avg_ignores_order_and_nulls(spark):
     assert empty.agg(exact_avg(F.col("v"), 4)).first()[0] is None
 
 
+def test_exact_avg_cuts_no_digits(spark):
+    df = spark.createDataFrame([(0.00012345,), (0.00012345,), (None,)], "v double")
+    assert df.agg(exact_avg(F.col("v"), 5)).first()[0] == pytest.approx(0.00012345, rel=1e-12)
+    rates = df.select(F.col("v").cast("decimal(18,8)").alias("v"))
+    assert rates.agg(exact_avg(F.col("v"), 5)).first()[0] == pytest.approx(0.00012345, rel=1e-12)
+
+
+def test_completeness_ignores_row_order(spark):
+    data = [("p", day(n), 1.0) for n in range(40)] + [("p", day(39), None)]
+    for rows_ in (data, data[::-1]):
+        df = spark.createDataFrame(rows_, "k string, d date, m double").coalesce(1)
+        assert checks.incomplete_series(df, "k", "d", {"m": 31}).count() == 0
+    late = spark.createDataFrame([*data, ("p", day(40), None)], "k string, d date, m double")
+    assert rows(checks.incomplete_series(late, "k", "d", {"m": 31})) == [("p", 42, ["m"])]
+
+
 def test_symbol_rules(spark):
     symbols = ["VIX.US", "DXY.US", "aapl.us", "SPOT", " A.B.US "]
     df = spark.createDataFrame([(s,) for s in symbols], "s string")

@@ -9,13 +9,15 @@ import pytest
 
 import __spark_entry__
 from tidegauge.plans import briefing
-from workload.lake import Lazy, Written
+from workload.lake import Lake
+from workload.oracle import all_sql
+from workload.queries import all_queries
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages"
     " benchmark labels conversations"
 ).split()
-QUERIES, SQL = __spark_entry__.queries(), __spark_entry__.oracle_sql()
+QUERIES, SQL = all_queries(), all_sql()
 
 
 @pytest.fixture(scope="module")
@@ -30,9 +32,8 @@ def ordered(data):
     return sorted(data, key=lambda r: [(v is None, str(v)) for v in r])
 
 
-def test_only_the_briefing_text_has_no_sql():
-    assert set(QUERIES) - set(SQL) == {"briefing_json"}
-    assert set(SQL) <= set(QUERIES)
+def test_every_reference_query_has_sql():
+    assert set(all_queries()) == set(all_sql())
 
 
 @pytest.mark.parametrize("name", list(SQL))
@@ -53,10 +54,11 @@ def test_entry(spark):
 
 
 def test_briefing_json_holds_its_sections(spark, sf_dir):
-    payload = json.loads(QUERIES["briefing_json"](spark, sf_dir).first()["payload"])
+    whole = briefing.briefing_json(Lake(spark, sf_dir), include_heavy=True)
+    payload = json.loads(whole.first()["payload"])
     assert set(payload) == {*briefing.SECTIONS, "heavy"}
     assert set(payload["heavy"]) == set(briefing.HEAVY_SECTIONS)
-    gold = Written(spark, sf_dir)
+    gold = Lake(spark, sf_dir)
 
     def plain(section):
         return json.loads(json.dumps([r.asDict() for r in section(gold).collect()], default=str))
@@ -69,7 +71,7 @@ def test_briefing_json_holds_its_sections(spark, sf_dir):
 
 
 def test_briefing_json_of_empty_gold(spark, sf_dir):
-    gold = {name: df.limit(0) for name, df in Written(spark, sf_dir).items()}
+    gold = {name: df.limit(0) for name, df in Lake(spark, sf_dir).items()}
     payload = json.loads(briefing.briefing_json(gold).first()["payload"])
     assert payload["regime"] == [] and payload["latest_dates"]["fx_rate_date"] is None
 
@@ -81,17 +83,17 @@ def _plan(df) -> str:
 
 
 def test_fx_branches_share_the_shuffle(spark, sf_dir):
-    plan = _plan(Lazy(spark, sf_dir)["fx_trend_signals"])
+    plan = _plan(Lake(spark, sf_dir)["fx_trend_signals"])
     assert plan.count("FileScan") == 1 and "ReusedExchange" in plan
 
 
 def test_summary_reads_each_domain_once_without_nested_loops(spark, sf_dir):
-    plan = _plan(Lazy(spark, sf_dir)["cross_signal_summary"])
+    plan = _plan(Lake(spark, sf_dir)["cross_signal_summary"])
     assert "NestedLoop" not in plan and "CartesianProduct" not in plan
     assert plan.count("l_extendedprice") > 0 and plan.count("lineitem.parquet") == 1
 
 
 def test_scans_are_pruned_and_filtered(spark, sf_dir):
-    plan = _plan(Written(spark, sf_dir)["daily_market_snapshot"].filter("symbol = '1.US'").select("latest_price"))
+    plan = _plan(Lake(spark, sf_dir)["daily_market_snapshot"].filter("symbol = '1.US'").select("latest_price"))
     assert "EqualTo(symbol,1.US)" in plan
     assert "ReadSchema: struct<symbol:string,latest_price:double>" in plan

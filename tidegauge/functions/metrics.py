@@ -33,14 +33,17 @@ def any_of(*conditions: Column) -> Column:
 
 def as_exact(value: Column, digits: int) -> Column:
     """A metric rounded to ``digits`` as a decimal; null if it does not fit."""
-    return value.try_cast(DecimalType(20 + digits, digits))
+    return value.try_cast(DecimalType(26 + digits, digits))
 
 
 def exact_avg(value: Column, digits: int) -> Column:
-    """Mean of a metric that is rounded to ``digits`` decimals.
+    """Mean of a metric that has ``digits`` decimals, as a rule.
 
     Sums the metric in units of its last decimal: whole numbers, whose sum as a
-    double is exact up to 2^53 whatever the order in which partial sums meet.
+    double is exact up to 2^53 whatever the order in which partial sums meet. What
+    a value has beyond its decimals is summed beside them, so nothing is cut.
     """
     units = float(10**digits)
-    return F.try_divide(F.sum(F.rint(value * units)) / units, F.count(value))
+    scaled = value.cast("double") * units
+    rest = F.when(F.abs(scaled - F.rint(scaled)) > 1e-6, scaled - F.rint(scaled)).otherwise(F.lit(0.0))
+    return F.try_divide((F.sum(F.rint(scaled)) + F.sum(rest)) / units, F.count(value))

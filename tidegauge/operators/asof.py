@@ -34,6 +34,7 @@ def changes_by_date(
     ``counts`` maps a name to a condition on the current observation; ``means``
     maps a name to a metric and the decimals it is rounded to. Needs one row per
     series and date. A series window then holds at most one row per calendar day.
+    A metric of 1e26 or more counts as infinite.
     """
     series = Window.partitionBy(*keys).orderBy(date_column)
     steps = {
@@ -43,12 +44,14 @@ def changes_by_date(
     for name, (metric, digits) in means.items():
         value = F.col(metric)
         exact = as_exact(value, digits)
-        wide = value.isNotNull() & exact.isNull()
+        endless = value.isNotNull() & exact.isNull() & ~F.isnan(value)
         steps[f"{name}__n"] = _step(value.isNotNull().cast("long"), series)
-        steps[f"{name}__sum"] = _step(F.coalesce(exact, F.lit(0).cast(f"decimal({20 + digits},{digits})")), series)
-        # Beyond the decimal (NaN, infinities, above 1e20): rare, kept as doubles.
-        steps[f"{name}__wide_n"] = _step(wide.cast("long"), series)
-        steps[f"{name}__wide_sum"] = _step(F.when(wide, value).otherwise(F.lit(0.0)), series)
+        # A decimal sum: a value that is replaced leaves nothing behind.
+        steps[f"{name}__sum"] = _step(F.coalesce(exact, F.lit(0).cast(f"decimal({26 + digits},{digits})")), series)
+        # No number can be added to these, so they are counted.
+        steps[f"{name}__nan"] = _step(F.coalesce(F.isnan(value), F.lit(False)).cast("long"), series)
+        steps[f"{name}__up"] = _step(F.coalesce(endless & (value > 0), F.lit(False)).cast("long"), series)
+        steps[f"{name}__down"] = _step(F.coalesce(endless & (value < 0), F.lit(False)).cast("long"), series)
     return (
         df.select(F.col(date_column).alias("as_of_date"), *[c.alias(n) for n, c in steps.items()])
         .groupBy("as_of_date")
@@ -75,8 +78,14 @@ def read_as_of(
     )
 
     def mean(name: str) -> Column:
-        wide = F.when(F.col(f"{name}__wide_n") > 0, F.col(f"{name}__wide_sum")).otherwise(F.lit(0.0))
-        return F.try_divide(F.col(f"{name}__sum").cast("double") + wide, F.col(f"{name}__n"))
+        nan, up, down = (F.col(f"{name}__{kind}") > 0 for kind in ("nan", "up", "down"))
+        plain = F.try_divide(F.col(f"{name}__sum").cast("double"), F.col(f"{name}__n"))
+        return (
+            F.when(nan | (up & down), F.lit(float("nan")))
+            .when(up, F.lit(float("inf")))
+            .when(down, F.lit(float("-inf")))
+            .otherwise(plain)
+        )
 
     return running.select(
         *spine.columns, *counts, *[mean(name).alias(name) for name in means]

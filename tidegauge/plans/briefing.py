@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidegauge.functions.metrics import exact_avg
@@ -57,13 +57,39 @@ REGIME_COLUMNS = (
 )
 
 
+def order_of(section: str) -> list[Column]:
+    """The order of a section's rows; empty for sections of one row."""
+    return {
+        "regime": [descending("as_of_date")],
+        "top_movers": [ascending("return_30d_pct"), ascending("symbol")],
+        "market_stress": [
+            descending("stress_flag"),
+            ascending("drawdown_from_90d_high_pct"),
+            descending("rolling_30d_volatility"),
+            ascending("symbol"),
+        ],
+        "fx_watchlist": [
+            descending("stress_flag"),
+            descending(F.abs("return_30d_pct")),
+            descending("rolling_30d_volatility"),
+            ascending("currency_pair"),
+        ],
+        "macro_trends": [descending("observation_date"), ascending("country_code"), ascending("indicator_name")],
+        "fx_history_summary": [
+            descending("observations"),
+            descending("avg_rolling_30d_volatility"),
+            ascending("currency_pair"),
+        ],
+    }.get(section, [])
+
+
 def regime(gold: Gold) -> DataFrame:
-    return top_rows(gold["cross_signal_summary"].select(*REGIME_COLUMNS), 1, descending("as_of_date"))
+    return top_rows(gold["cross_signal_summary"].select(*REGIME_COLUMNS), 1, *order_of("regime"))
 
 
 def top_movers(gold: Gold) -> DataFrame:
     newest = latest_rows(gold["top_movers_why"], "as_of_date")
-    return top_rows(newest, TOP, ascending("return_30d_pct"), ascending("symbol"))
+    return top_rows(newest, TOP, *order_of("top_movers"))
 
 
 def market_breadth(gold: Gold) -> DataFrame:
@@ -97,14 +123,7 @@ def market_stress(gold: Gold) -> DataFrame:
         "stress_flag",
         "currency",
     )
-    return top_rows(
-        newest,
-        TOP,
-        descending("stress_flag"),
-        ascending("drawdown_from_90d_high_pct"),
-        descending("rolling_30d_volatility"),
-        ascending("symbol"),
-    )
+    return top_rows(newest, TOP, *order_of("market_stress"))
 
 
 FX_COLUMNS = (
@@ -122,14 +141,7 @@ FX_COLUMNS = (
 
 def fx_watchlist(gold: Gold) -> DataFrame:
     newest = latest_rows(gold["fx_trend_signals"], "rate_date").select(*FX_COLUMNS)
-    return top_rows(
-        newest,
-        TOP,
-        descending("stress_flag"),
-        descending(F.abs("return_30d_pct")),
-        descending("rolling_30d_volatility"),
-        ascending("currency_pair"),
-    )
+    return top_rows(newest, TOP, *order_of("fx_watchlist"))
 
 
 MACRO_COLUMNS = (
@@ -145,9 +157,7 @@ MACRO_COLUMNS = (
 
 def macro_trends(gold: Gold) -> DataFrame:
     newest = latest_rows(gold["macro_indicator_trends"], "observation_date").select(*MACRO_COLUMNS)
-    return top_rows(
-        newest, MACRO_TOP, descending("observation_date"), ascending("country_code"), ascending("indicator_name")
-    )
+    return top_rows(newest, MACRO_TOP, *order_of("macro_trends"))
 
 
 def _coverage(df: DataFrame, day: str, first: str, last: str, **distinct: str) -> DataFrame:
@@ -191,13 +201,7 @@ def fx_history_summary(gold: Gold) -> DataFrame:
         exact_avg(F.col("rolling_30d_volatility"), 6).alias("avg_rolling_30d_volatility"),
         F.max(F.abs("return_30d_pct")).alias("max_abs_return_30d_pct"),
     )
-    top = top_rows(
-        per_pair,
-        TOP,
-        descending("observations"),
-        descending("avg_rolling_30d_volatility"),
-        ascending("currency_pair"),
-    )
+    top = top_rows(per_pair, TOP, *order_of("fx_history_summary"))
     rounded = ("avg_abs_daily_change_pct", "avg_rolling_30d_volatility", "max_abs_return_30d_pct")
     return top.withColumns({c: F.round(c, 4) for c in rounded})
 
@@ -234,9 +238,9 @@ HEAVY_SECTIONS: dict[str, Callable[[Gold], DataFrame]] = {
 def _rows_as_json(name: str, section: DataFrame) -> DataFrame:
     """One row per section row: its place, and the row as JSON with nulls kept."""
     row = F.to_json(F.struct("*"), {"ignoreNullFields": "false"})
-    return section.select(
-        F.lit(name).alias("section"), F.monotonically_increasing_id().alias("place"), row.alias("row")
-    )
+    # At most fifteen rows, so one task may number them.
+    place = F.row_number().over(Window.orderBy(*(order_of(name) or [F.lit(1)]))) - 1
+    return section.select(F.lit(name).alias("section"), place.cast("long").alias("place"), row.alias("row"))
 
 
 def briefing_rows(gold: Gold, include_heavy: bool = False) -> DataFrame:
@@ -272,3 +276,27 @@ def briefing_json(gold: Gold, include_heavy: bool = False) -> DataFrame:
     return lists.agg(
         F.concat(F.lit("{"), F.concat_ws(",", *fields), F.lit("}")).alias("payload")
     )
+
+
+def briefing_fields(briefing: DataFrame) -> DataFrame:
+    """A briefing text parsed back: ``section, place, field``, and the value as a
+    ``number``, or as a ``text`` where it is none."""
+    names = [*SECTIONS, *(f"heavy.{name}" for name in HEAVY_SECTIONS)]
+
+    def rows(name: str) -> Column:
+        body = F.get_json_object("payload", f"$.{name}")
+        listed = F.concat(F.lit("["), body, F.lit("]")) if name == "latest_dates" else body
+        return F.struct(
+            F.lit(name.removeprefix("heavy.")).alias("section"),
+            F.from_json(listed, "array<map<string,string>>").alias("rows"),
+        )
+
+    number = F.col("value").try_cast("double")
+    return (
+        briefing.select(F.inline(F.array(*[rows(n) for n in names])))
+        .select("section", F.posexplode("rows").alias("place", "row"))
+        .select("section", F.col("place").cast("long").alias("place"), F.explode("row").alias("field", "value"))
+        .select(
+            "section", "place", "field", number.alias("number"), F.when(number.isNull(), F.col("value")).alias("text")
+        )
+    )

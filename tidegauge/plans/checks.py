@@ -83,18 +83,21 @@ def duplicate_keys(df: DataFrame, keys) -> DataFrame:
 def incomplete_series(
     df: DataFrame, key: str, date_column: str, metric_rows: Mapping[str, int]
 ) -> DataFrame:
-    """Series whose newest row lacks a metric that its history allows."""
-    newest = F.max_by(F.struct(*metric_rows), date_column).alias("newest")
-    due = [
-        (F.col("history") >= rows) & F.col(f"newest.{metric}").isNull()
-        for metric, rows in metric_rows.items()
-    ]
+    """Series whose newest date lacks a metric that its history allows.
+
+    Several rows may share the newest date; a metric that one of them has is there,
+    so the answer does not depend on their order.
+    """
+    seen = df.groupBy(key, date_column).agg(
+        F.count(F.lit(1)).alias("rows"), *[F.max(F.col(m).isNotNull()).alias(m) for m in metric_rows]
+    )
+    due = [(F.col("history") >= rows) & ~F.col(f"newest.{metric}") for metric, rows in metric_rows.items()]
     lacking = F.filter(
         F.array(*[F.when(d, m) for d, m in zip(due, metric_rows)]), lambda m: m.isNotNull()
     )
     return (
-        df.groupBy(key)
-        .agg(F.count(F.lit(1)).alias("history"), newest)
+        seen.groupBy(key)
+        .agg(F.sum("rows").alias("history"), F.max(F.struct(date_column, *metric_rows)).alias("newest"))
         .select(key, "history", lacking.alias("lacking"))
         .filter(F.size("lacking") > 0)
     )

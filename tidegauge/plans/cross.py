@@ -23,8 +23,10 @@ class RegimeThresholds:
 
 
 def market_breadth_by_date(market: DataFrame) -> DataFrame:
+    """Breadth per date; the snapshot's contract is one row per symbol and date, so
+    symbols are counted as rows, which combine ahead of the shuffle."""
     return market.groupBy(F.col("snapshot_date").alias("as_of_date")).agg(
-        F.count_distinct("symbol").alias("market_symbols_count"),
+        F.count("symbol").alias("market_symbols_count"),
         exact_avg(F.col("day_change_pct"), 4).alias("market_avg_day_change_pct"),
         exact_avg(F.col("return_30d_pct"), 4).alias("market_avg_return_30d_pct"),
         exact_avg(F.col("return_90d_pct"), 4).alias("market_avg_return_90d_pct"),

@@ -17,6 +17,8 @@ from tidegauge.plans.silver import clean_fx, clean_macro, clean_market
 from tidegauge.sinks.audit import audited, log_run, try_log_run, write_counted
 from tidegauge.sinks.export import EXPORTS, export_json, export_parquet
 from tidegauge.sinks.tables import append, replace, require_rows
+from tidegauge.sources.payloads import rejected
+from tidegauge.sources.prices import first_available_source, load_report, report_counts
 from tidegauge.sources.schemas import TABLES
 from tidegauge.sources.tables import scan
 
@@ -41,13 +43,23 @@ GOLD: dict[str, tuple[tuple[str, ...], Callable[..., DataFrame]]] = {
 }
 
 
-def ingest(rows: DataFrame, table: str, keep_history: bool = False) -> int:
-    """Append parsed payloads to a raw table."""
+#: Symbols named in the message of a load that found nothing.
+EXPLAINED = 20
+
+
+def ingest(
+    rows: DataFrame, table: str, keep_history: bool = False, note: str = "", explain: Callable[[], str] | None = None
+) -> int:
+    """Append parsed payloads to a raw table.
+
+    ``note`` goes into the audit message, say what was asked for or how many
+    payloads were rejected; ``explain`` says why, where nothing was loaded.
+    """
     spark = rows.sparkSession
     name = f"bronze_{table}"
     try:
         count = write_counted(rows, lambda df: append(df, table))
-        message = require_rows(spark, count, table, keep_history)
+        message = require_rows(spark, count, table, keep_history, explain) + (f"; {note}" if note else "")
     except Exception as error:
         try_log_run(spark, name, "FAILED", 0, str(error))
         raise
@@ -55,6 +67,30 @@ def ingest(rows: DataFrame, table: str, keep_history: bool = False) -> int:
     return count
 
 
+def ingest_landed(
+    payloads: DataFrame, feed: str, table: str, parse: Callable[..., DataFrame], keep_history: bool = False, **options
+) -> int:
+    """Parse and append a feed's landed payloads; broken ones are left out and counted
+    in the audit message."""
+    bad = rejected(payloads, feed).count()
+    return ingest(parse(payloads, on_bad="skip", **options), table, keep_history, f"{bad} payloads rejected")
+
+
+def backfill(
+    requested: DataFrame, history: DataFrame, snapshots: DataFrame, start: str | date, end: str | date, **options
+) -> int:
+    """Load the best source per symbol; says what was tried if there is none."""
+
+    def explain() -> str:
+        tokens = load_report(requested, history, snapshots).orderBy("symbol").limit(EXPLAINED).collect()
+        return "tried " + "; ".join(r["token"] for r in tokens)
+
+    rows = first_available_source(requested, history, snapshots, start, end, **options)
+    counts = report_counts(load_report(requested, history, snapshots)).orderBy("status").collect()
+    symbols = ", ".join(f"{r['symbols']} {r['status']}" for r in counts)
+    return ingest(rows, "market_prices_raw", note=f"symbols: {symbols}; {start} to {end}", explain=explain)
+
+
 def _rebuild(spark: SparkSession, layer: str, targets) -> int:
     total = 0
     for table, (inputs, build) in targets.items():

@@ -120,7 +120,7 @@ def report_avgs(gold: Gold) -> dict[str, DataFrame]:
             exact_avg(F.col("year_over_year_pct"), 4).alias("avg_year_over_year_pct")
         ),
         "value_by_date_and_indicator": macro.groupBy("observation_date", "indicator_name").agg(
-            F.avg("observation_value").alias("avg_observation_value")
+            exact_avg(F.col("observation_value"), 2).alias("avg_observation_value")
         ),
         "movers_by_symbol_and_flag": gold["top_movers_why"].groupBy("symbol", "stress_flag").agg(
             exact_avg(F.col("return_30d_pct"), 4).alias("avg_return_30d_pct")

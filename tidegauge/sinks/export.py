@@ -33,13 +33,13 @@ def recent(
 
 
 def json_ready(df: DataFrame) -> DataFrame:
-    """Dates and times as ISO texts, NaN as null."""
+    """Dates and times as ISO texts with all their digits, NaN as null."""
 
     def ready(name: str, kind: str):
         if kind == "date":
             return F.date_format(name, "yyyy-MM-dd")
         if kind.startswith("timestamp"):
-            return F.date_format(name, "yyyy-MM-dd HH:mm:ss")
+            return F.col(name).cast("string")
         if kind in ("double", "float"):
             return F.nanvl(name, F.lit(None).cast(kind))
         return F.col(name)

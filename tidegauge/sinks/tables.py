@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,18 +43,40 @@ def append(df: DataFrame, table: str) -> None:
 
 
 def replace(df: DataFrame, table: str) -> None:
-    """Rebuild a table, schema included. The plan must not read that table."""
-    df.write.format("parquet").mode("overwrite").saveAsTable(qualified(table))
+    """Rebuild a table, schema included. The plan must not read that table.
+
+    The new rows are written beside the table and take its name once they are
+    there, so a rebuild that fails leaves the table as it was.
+    """
+    spark, name, tag = df.sparkSession, qualified(table), uuid.uuid4().hex
+    fresh, old = f"{name}_new_{tag}", f"{name}_old_{tag}"
+    try:
+        df.write.format("parquet").saveAsTable(fresh)
+    except BaseException:
+        spark.sql(f"DROP TABLE IF EXISTS {fresh}")
+        raise
+    known = spark.catalog.tableExists(name)
+    if known:
+        spark.sql(f"ALTER TABLE {name} RENAME TO {old}")
+    spark.sql(f"ALTER TABLE {fresh} RENAME TO {name}")
+    if known:
+        spark.sql(f"DROP TABLE {old}")
 
 
 class NoData(RuntimeError):
     """A load delivered no rows and there is no history to keep."""
 
 
-def require_rows(spark: SparkSession, rows: int, table: str, keep_history: bool = False) -> str:
+def require_rows(
+    spark: SparkSession,
+    rows: int,
+    table: str,
+    keep_history: bool = False,
+    explain: Callable[[], str] | None = None,
+) -> str:
     """Message for a load of ``rows`` rows; an empty one passes only with history."""
     if rows:
         return f"{table} loaded"
     if keep_history and has_history(spark, table):
         return f"{table}: zero records; existing history retained."
-    raise NoData(f"{table}: zero records.")
+    raise NoData(f"{table}: zero records." + (f" {explain()}" if explain else ""))

@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 
 from tidegauge.functions.symbols import history_variants, second_part, suffix_or_us
 from tidegauge.operators.latest import dedupe_latest
-from tidegauge.sources.schemas import CANDLES_JSON, QUOTE_JSON, columns_of
+from tidegauge.sources.payloads import read
+from tidegauge.sources.schemas import columns_of
 
 MARKET_COLUMNS = columns_of("market_prices_raw")
 
@@ -55,12 +56,17 @@ def parse_price_csv(payloads: DataFrame, schema: str, text: str = "payload") ->
     return (
         payloads.withColumn("_lines", F.filter(lines, lambda line: F.trim(line) != ""))
         .select(*others, F.explode(rows).alias("_line"))
-        # Filters on the fields stay above a generator; they would parse lines again.
+        # One parse for all fields: read apart, or in filters, each would parse the line.
         .select(*others, F.explode(F.array(F.from_csv("_line", as_text))).alias("_row"))
         .select(*others, *[typed(name, kind) for name, kind in fields])
     )
 
 
+def _generated(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """Add a column that is computed once, however many readers it has."""
+    return df.select("*", F.explode(F.array(value)).alias(name))
+
+
 def standardize_prices(
     rows: DataFrame, source: str | Column, ingested_at: Column | None = None
 ) -> DataFrame:
@@ -68,14 +74,9 @@ def standardize_prices(
     day = F.try_to_timestamp("Date", F.lit("yyyy-MM-dd"))
     moment = F.try_to_timestamp(F.concat_ws(" ", "Date", "Time"), F.lit("yyyy-MM-dd HH:mm:ss"))
     stamp = F.when(F.length("Time") > 0, F.coalesce(moment, day)).otherwise(day)
-    market = rows.select(
-        "*",
-        F.col("Close").alias("price"),
-        second_part(F.col("Symbol")).alias("currency"),
-        stamp.alias("market_time"),
-    ).filter(
-        F.col("Symbol").isNotNull() & F.col("price").isNotNull() & F.col("market_time").isNotNull()
-    )
+    usable = rows.filter(F.col("Symbol").isNotNull() & F.col("Close").isNotNull())
+    market = _generated(usable, "market_time", stamp).filter("market_time is not null")
+    market = market.withColumns({"price": F.col("Close"), "currency": second_part(F.col("Symbol"))})
     return _stamped(market.withColumnRenamed("Symbol", "symbol"), source, ingested_at)
 
 
@@ -87,31 +88,42 @@ def standardize_price_history(
     ingested_at: Column | None = None,
 ) -> DataFrame:
     """Daily history rows (``symbol, Date, ..., Close``) inside a date range."""
-    stamp = F.try_to_timestamp("Date", F.lit("yyyy-MM-dd"))
+    stamped = _generated(rows, "market_time", F.try_to_timestamp("Date", F.lit("yyyy-MM-dd")))
     market = (
-        rows.withColumns(
-            {"symbol": F.upper("symbol"), "price": F.col("Close"), "market_time": stamp}
-        )
-        .filter(F.to_date("market_time").between(F.lit(start).cast("date"), F.lit(end).cast("date")))
+        stamped.withColumns({"symbol": F.upper("symbol"), "price": F.col("Close")})
+        .filter(in_range(F.to_date("market_time"), start, end))
         .withColumn("currency", second_part(F.col("symbol")))
     )
     return _stamped(market, source, ingested_at)
 
 
+def in_range(day: Column, start: str | date | None, end: str | date | None) -> Column:
+    """Whether a date lies in a range; a missing end is open."""
+    found = F.lit(True)
+    if start is not None:
+        found &= day >= F.lit(start).cast("date")
+    if end is not None:
+        found &= day <= F.lit(end).cast("date")
+    return found
+
+
 def parse_candles(
     payloads: DataFrame,
     source: str | Column = "finnhub_backfill",
     ingested_at: Column | None = None,
     text: str = "payload",
+    start: str | date | None = None,
+    end: str | date | None = None,
+    on_bad: str = "raise",
 ) -> DataFrame:
-    """Daily-candle JSON ``{s, c[], t[]}`` per symbol to market rows."""
+    """Daily-candle JSON ``{s, c[], t[]}`` per symbol to market rows of a date range."""
     market = (
-        payloads.select("symbol", F.from_json(text, CANDLES_JSON).alias("p"))
+        read(payloads, "candles", text, on_bad)
         # A condition inside the generator: a filter would parse the JSON again.
         .select(
             "symbol",
             F.explode(
-                F.when((F.col("p.s") == "ok") & (F.size("p.c") > 0), F.arrays_zip("p.c", "p.t"))
+                F.when((F.col("_p.s") == "ok") & (F.size("_p.c") > 0), F.arrays_zip("_p.c", "_p.t"))
             ).alias("bar"),
         )
         .select(
@@ -121,7 +133,7 @@ def parse_candles(
             _midnight(F.timestamp_seconds("bar.t")).alias("market_time"),
         )
     )
-    return _stamped(market, source, ingested_at)
+    return _stamped(market.filter(in_range(F.to_date("market_time"), start, end)), source, ingested_at)
 
 
 def parse_quotes(
@@ -129,6 +141,7 @@ def parse_quotes(
     source: str | Column = "finnhub_snapshot",
     ingested_at: Column | None = None,
     text: str = "payload",
+    on_bad: str = "raise",
 ) -> DataFrame:
     """Quote JSON ``{c, t}`` per symbol to one market row each.
 
@@ -136,8 +149,8 @@ def parse_quotes(
     """
     now = F.current_timestamp() if ingested_at is None else ingested_at
     market = (
-        payloads.withColumn("_parsed", F.array(F.from_json(text, QUOTE_JSON)))
-        .withColumn("_quote", F.explode(F.filter("_parsed", lambda q: q["c"] != 0)))
+        read(payloads, "quotes", text, on_bad)
+        .withColumn("_quote", F.explode(F.filter(F.array("_p"), lambda q: q["c"] != 0)))
         .withColumns(
             {
                 "price": F.col("_quote.c"),
@@ -153,10 +166,14 @@ def parse_quotes(
 
 
 def standardize_bars(
-    bars: DataFrame, source: str | Column = "yfinance_backfill", ingested_at: Column | None = None
+    bars: DataFrame,
+    source: str | Column = "yfinance_backfill",
+    ingested_at: Column | None = None,
+    start: str | date | None = None,
+    end: str | date | None = None,
 ) -> DataFrame:
-    """Daily bars ``(symbol, bar_date, close)`` to market rows."""
-    market = bars.select(
+    """Daily bars ``(symbol, bar_date, close)`` of a date range to market rows."""
+    market = bars.filter(in_range(F.col("bar_date"), start, end)).select(
         "*",
         F.col("close").alias("price"),
         suffix_or_us(F.col("symbol")).alias("currency"),
@@ -179,28 +196,44 @@ def latest_bar(
     return standardize_bars(last, source, ingested_at)
 
 
+def _key(symbol: Column) -> Column:
+    """A symbol's spelling for comparisons: case and outer blanks do not count."""
+    return F.upper(F.trim(symbol))
+
+
 def choose_history_source(requested: DataFrame, history: DataFrame) -> DataFrame:
     """Per requested symbol, the first spelling that has history rows.
 
-    Returns ``symbol, attempts, source_symbol, rows``: the spellings tried in order
-    up to the first with rows, and that spelling (null if none has any).
+    Returns ``symbol, attempts, source_key, source_symbol, rows``: the spellings
+    tried in order up to the first with rows, and that spelling (null if none has
+    any). A symbol asked for more than once, in whatever case, is one request,
+    under its smallest spelling. Only history under one of the spellings is counted.
     """
-    landed = history.groupBy("source_symbol").agg(F.count(F.lit(1)).alias("rows"))
-    tried = (
-        requested.select("symbol", F.posexplode(history_variants(F.col("symbol"))))
-        .withColumnRenamed("col", "source_symbol")
-        .join(landed, "source_symbol", "left")
+    asked = requested.groupBy(_key(F.col("symbol")).alias("_key")).agg(F.min("symbol").alias("symbol"))
+    tried = asked.select("symbol", F.posexplode(history_variants(F.col("symbol")))).select(
+        "symbol", "pos", F.col("col").alias("source_symbol"), _key(F.col("col")).alias("source_key")
+    )
+    landed = (
+        history.select(_key(F.col("source_symbol")).alias("source_key"))
+        .join(tried.select("source_key"), "source_key", "left_semi")
+        .groupBy("source_key")
+        .agg(F.count(F.lit(1)).alias("rows"))
+    )
+    attempts = (
+        tried.join(landed, "source_key", "left")
         .withColumn("rows", F.coalesce("rows", F.lit(0)))
         .groupBy("symbol")
         # At most three spellings per symbol.
-        .agg(F.array_sort(F.collect_list(F.struct("pos", "source_symbol", "rows"))).alias("tried"))
+        .agg(F.array_sort(F.collect_list(F.struct("pos", "source_symbol", "rows", "source_key"))).alias("tried"))
     )
-    return tried.withColumn("hit", F.try_element_at(F.filter("tried", lambda t: t["rows"] > 0), F.lit(1))).select(
+    hit = F.try_element_at(F.filter("tried", lambda t: t["rows"] > 0), F.lit(1))
+    return attempts.withColumn("hit", hit).select(
         "symbol",
         F.transform(
             F.filter("tried", lambda t: F.col("hit").isNull() | (t["pos"] <= F.col("hit.pos"))),
             lambda t: F.concat(t["source_symbol"], F.lit(":"), t["rows"].cast("string")),
         ).alias("attempts"),
+        F.col("hit.source_key").alias("source_key"),
         F.col("hit.source_symbol").alias("source_symbol"),
         F.coalesce("hit.rows", F.lit(0)).alias("rows"),
     )
@@ -218,24 +251,27 @@ def first_available_source(
     """History under the best spelling per symbol, else the symbol's snapshot row.
 
     ``history`` holds raw daily rows with their ``source_symbol``; ``snapshots``
-    holds market rows, which come back tagged as a fallback.
+    holds market rows, which come back tagged as a fallback. Symbols are compared
+    whatever their case; history comes back under the symbol asked for.
     """
     choice = choose_history_source(requested, history)
-    chosen = history.join(
-        choice.filter("source_symbol is not null").select("symbol", "source_symbol"),
-        "source_symbol",
+    chosen = history.withColumn("source_key", _key(F.col("source_symbol"))).join(
+        choice.select("symbol", "source_key"), "source_key"
     )
-    missing = choice.filter("source_symbol is null").select("symbol")
-    fallback = snapshots.join(missing, "symbol", "left_semi").withColumn(
-        "_source", F.lit(f"{source}_snapshot_fallback")
+    missing = choice.filter("source_key is null").select(_key(F.col("symbol")).alias("_key"))
+    fallback = (
+        snapshots.withColumn("_key", _key(F.col("symbol")))
+        .join(missing, "_key", "left_semi")
+        .drop("_key")
+        .withColumn("_source", F.lit(f"{source}_snapshot_fallback"))
     )
     return standardize_price_history(chosen, start, end, source, ingested_at).unionByName(fallback)
 
 
 def load_report(requested: DataFrame, history: DataFrame, snapshots: DataFrame) -> DataFrame:
     """One row per requested symbol: how it was loaded, and a printable token."""
-    choice = choose_history_source(requested, history)
-    has_snapshot = snapshots.select("symbol").distinct().withColumn("_snapshot", F.lit(True))
+    choice = choose_history_source(requested, history).withColumn("_key", _key(F.col("symbol")))
+    has_snapshot = snapshots.select(_key(F.col("symbol")).alias("_key")).distinct().withColumn("_snapshot", F.lit(True))
     status = (
         F.when(F.col("source_symbol").isNotNull(), "ok")
         .when(F.col("_snapshot"), "snapshot_fallback")
@@ -243,7 +279,7 @@ def load_report(requested: DataFrame, history: DataFrame, snapshots: DataFrame)
     )
     fallback = F.col("status") == "snapshot_fallback"
     report = (
-        choice.join(has_snapshot, "symbol", "left")
+        choice.join(has_snapshot, "_key", "left")
         .withColumn("status", status)
         .withColumn("source_symbol", F.when(fallback, F.lower("symbol")).otherwise(F.col("source_symbol")))
         .withColumn("rows", F.when(fallback, F.lit(1)).otherwise(F.col("rows")))
@@ -262,15 +298,6 @@ def load_report(requested: DataFrame, history: DataFrame, snapshots: DataFrame)
     )
 
 
-def summary_line(report: DataFrame) -> DataFrame:
-    """The report as one line for the audit message.
-
-    As long as the caller's own symbol list, so meant for hand-written lists.
-    """
-    tokens = F.array_sort(F.collect_list(F.struct("symbol", "token")))
-    return report.agg(
-        F.concat(
-            F.lit("Backfill symbol summary: "),
-            F.array_join(F.transform(tokens, lambda t: t["token"]), "; "),
-        ).alias("summary")
-    )
+def report_counts(report: DataFrame) -> DataFrame:
+    """Symbols and rows per status."""
+    return report.groupBy("status").agg(F.count(F.lit(1)).alias("symbols"), F.sum("rows").alias("rows"))

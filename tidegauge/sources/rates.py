@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidegauge.sources.schemas import FX_LATEST_JSON, FX_RANGE_JSON, columns_of
+from tidegauge.sources.payloads import read
+from tidegauge.sources.schemas import columns_of
 
 SOURCE_NAME = "frankfurter"
 
@@ -27,9 +28,10 @@ def parse_fx_latest(
     run_id: str | Column,
     ingested_at: Column | None = None,
     text: str = "payload",
+    on_bad: str = "raise",
 ) -> DataFrame:
     """``{base, date, rates: {quote: rate}}`` with its ``source_url``; null rates stay."""
-    rows = payloads.withColumn("_p", F.from_json(text, FX_LATEST_JSON)).select(
+    rows = read(payloads, "fx_latest", text, on_bad).select(
         "*",
         F.col("_p.base").alias("base_currency"),
         F.col("_p.date").alias("_date"),
@@ -43,10 +45,11 @@ def parse_fx_range(
     run_id: str | Column,
     ingested_at: Column | None = None,
     text: str = "payload",
+    on_bad: str = "raise",
 ) -> DataFrame:
     """``{base, rates: {date: {quote: rate}}}`` with its ``source_url``."""
     rows = (
-        payloads.withColumn("_p", F.from_json(text, FX_RANGE_JSON))
+        read(payloads, "fx_range", text, on_bad)
         .select(
             "*",
             F.col("_p.base").alias("base_currency"),

@@ -4,14 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from tidegauge.plans import jobs
-from tidegauge.plans.macro import macro_trends
-from tidegauge.plans.market import market_snapshot
-from tidegauge.plans.silver import typed_indicators, typed_prices
-from tidegauge.session import stage
 from workload import bindings
 
 RAW = {
@@ -21,60 +16,29 @@ RAW = {
 }
 BUILDERS = jobs.SILVER | jobs.GOLD
 
-# Paths of written tables, per application, folder and table.
-_paths: dict[tuple[str, str, str], str] = {}
 
+class Lake(Mapping[str, DataFrame]):
+    """Tables as plans from the given files on, built as the daily jobs build them.
 
-# Gold tables that collapse copies themselves read the typed raw rows directly.
-FROM_RAW = {
-    "daily_market_snapshot": lambda t: market_snapshot(typed_prices(t["market_prices_raw"])),
-    "macro_indicator_trends": lambda t: macro_trends(typed_indicators(t["macro_indicators_raw"])),
-}
-
-
-class Lazy(Mapping[str, DataFrame]):
-    """Tables as plans from the given files on."""
+    Nothing runs while a table is looked up. A query that reads a table several
+    times shares its exchanges, which Spark finds equal.
+    """
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
+        self.built: dict[str, DataFrame] = {}
 
     def __getitem__(self, table: str) -> DataFrame:
-        if table in RAW:
-            return RAW[table](self.spark, self.sf_dir)
-        if table in FROM_RAW:
-            return FROM_RAW[table](self)
-        inputs, build = BUILDERS[table]
-        return build(*[self[name] for name in inputs])
+        if table not in self.built:
+            if table in RAW:
+                self.built[table] = RAW[table](self.spark, self.sf_dir)
+            else:
+                inputs, build = BUILDERS[table]
+                self.built[table] = build(*[self[name] for name in inputs])
+        return self.built[table]
 
     def __iter__(self):
         return iter([*RAW, *BUILDERS])
 
     def __len__(self):
         return len(RAW) + len(BUILDERS)
-
-
-class Written(Lazy):
-    """Silver and Gold tables written once and scanned by their readers.
-
-    The reports read each Gold table several times, as they do in the daily jobs.
-    Recomputing a table from the raw rows for every read would multiply the work.
-    The given files are taken as unchanged for the life of the application.
-    """
-
-    def __getitem__(self, table: str) -> DataFrame:
-        if table in RAW:
-            return super().__getitem__(table)
-        key = (self.spark.sparkContext.applicationId, self.sf_dir, table)
-        if key in _paths:
-            try:
-                return self.spark.read.parquet(_paths[key])
-            except AnalysisException:
-                # Somebody cleaned the shared folder.
-                del _paths[key]
-        inputs, build = BUILDERS[table]
-        built = build(*[self[name] for name in inputs])
-        path = stage(built, table)
-        if path is None:
-            return built
-        _paths[key] = path
-        return self.spark.read.parquet(path)

@@ -494,6 +494,18 @@ def _source_sql() -> dict[str, str]:
                    CASE WHEN o_orderkey % 13 = 0 OR o_orderkey % 17 = 0 THEN 1
                         ELSE CAST(o_orderkey % 7 + 1 AS INTEGER) END AS page_count
             FROM orders""",
+        "rejected_payloads": " UNION ALL ".join(
+            f"""SELECT '{feed}' AS feed, reason, count(*) AS payloads, CAST(sum(key) AS BIGINT) AS key_sum
+                FROM (SELECT {key} AS key, CASE WHEN {key} % 20 = 2 THEN '{odd}'
+                             ELSE 'not the JSON object expected' END AS reason
+                      FROM {rows} WHERE {key} % 20 < 4) GROUP BY reason"""
+            for feed, rows, key, odd in (
+                ("candles", "lineitem", "l_partkey", "prices and times differ in number"),
+                ("quotes", "lineitem", "l_partkey", "not the JSON object expected"),
+                ("fx_latest", "orders", "o_custkey", "a date that is none"),
+                ("fx_range", "orders", "o_custkey", "a date that is none"),
+            )
+        ),
         "vendor_tickers": """
             SELECT part_key, symbol,
                    CASE symbol WHEN 'VIX.US' THEN '^VIX' WHEN 'DXY.US' THEN 'DX-Y.NYB'
@@ -530,19 +542,17 @@ def _source_sql() -> dict[str, str]:
                        CASE {status} WHEN 'ok' THEN n WHEN 'empty' THEN 0 ELSE 1 END AS rows
                 FROM ({choice})
             )""",
-        "load_summary_line": """
-            SELECT 'Backfill symbol summary: ' || string_agg(token, '; ' ORDER BY symbol) AS summary
+        "load_report_counts": """
+            SELECT status, count(*) AS symbols, CAST(sum(rows) AS BIGINT) AS rows
             FROM (
-                SELECT symbol, symbol || CASE
-                    WHEN key % 3 = 2 OR n = 0 THEN '=empty[' || stem || '.us:0,' || stem || ':0]'
-                    WHEN key % 3 = 1 THEN '=ok[' || stem || '.us;rows=' || CAST(n AS VARCHAR) || ']'
-                    ELSE '=ok[' || stem || ';rows=' || CAST(n AS VARCHAR) || ']' END AS token
+                SELECT CASE WHEN key % 3 < 2 AND n > 0 THEN 'ok'
+                            WHEN key % 2 = 0 THEN 'snapshot_fallback' ELSE 'empty' END AS status,
+                       CASE WHEN key % 3 < 2 AND n > 0 THEN n WHEN key % 2 = 0 THEN 1 ELSE 0 END AS rows
                 FROM (
-                    SELECT n_nationkey AS key, 'N' || CAST(n_nationkey AS VARCHAR) || '.US' AS symbol,
-                           'n' || CAST(n_nationkey AS VARCHAR) AS stem, count(c_custkey) AS n
+                    SELECT n_nationkey AS key, count(c_custkey) AS n
                     FROM nation LEFT JOIN customer ON c_nationkey = n_nationkey GROUP BY n_nationkey
                 )
-            )""",
+            ) GROUP BY status""",
     }
 
 
@@ -880,7 +890,7 @@ def _report_sql() -> dict[str, str]:
             FROM macro_indicator_trends GROUP BY indicator_name, trend_direction""",
         "report_value_by_date_and_indicator": f"""
             SELECT {_text('observation_date')}, indicator_name,
-                   {_round('avg(observation_value)', 6)} AS avg_observation_value
+                   {_avg('observation_value', 2)} AS avg_observation_value
             FROM macro_indicator_trends
             GROUP BY macro_indicator_trends.observation_date, indicator_name""",
         "report_movers_by_symbol_and_flag": f"""
@@ -908,5 +918,27 @@ def _report_sql() -> dict[str, str]:
     return sql
 
 
+def _briefing_sql(reports: dict[str, str]) -> str:
+    """All sections, row by row and field by field."""
+    parts = []
+    for name, sql in reports.items():
+        if name.startswith("briefing_"):
+            # The sections come sorted and limited; their order is kept.
+            parts.append(
+                f"""SELECT '{name.removeprefix("briefing_")}' AS section, place, field.key AS field, field.atom AS value
+                    FROM (SELECT row_number() OVER () - 1 AS place, to_json(r) AS body FROM ({sql}) r) s,
+                         json_each(s.body) AS field"""
+            )
+    return f"""
+        SELECT section, place, field, number, CASE WHEN number IS NULL THEN value END AS text
+        FROM (
+            SELECT section, place, field, trim(CAST(value AS VARCHAR), '"') AS value,
+                   TRY_CAST(trim(CAST(value AS VARCHAR), '"') AS DOUBLE) AS number
+            FROM ({" UNION ALL ".join(parts)})
+        )"""
+
+
 def all_sql() -> dict[str, str]:
-    return {name: _with(sql) for name, sql in (_build_sql() | _source_sql() | _report_sql()).items()}
+    reports = _report_sql()
+    reports["briefing_json"] = _briefing_sql(reports)
+    return {name: _with(sql) for name, sql in (_build_sql() | _source_sql() | reports).items()}

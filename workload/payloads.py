@@ -5,8 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidegauge.sources import prices
+from tidegauge.sources.schemas import PRICE_SNAPSHOT_CSV
 from workload.bindings import AS_OF, table
 
+
 def loaded_at() -> Column:
     return F.lit(f"{AS_OF} 06:30:00").cast("timestamp")
 
@@ -170,21 +173,24 @@ def landed_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _snapshot_rows(rows: DataFrame, symbol: Column, price: Column) -> DataFrame:
+    """Market rows parsed from snapshot CSV; a symbol without a price gives none."""
+    text = _text("Symbol,Date,Time,Open,High,Low,Close,Volume\n", symbol, f",{AS_OF},,1,1,1,", price, ",1\n")
+    landed = prices.parse_price_csv(rows.select(text.alias("payload")), PRICE_SNAPSHOT_CSV)
+    return prices.standardize_prices(landed, "stooq_snapshot", loaded_at())
+
+
 def landed_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One market row for half of the symbols without history."""
-    return (
-        table(spark, sf_dir, "supplier")
-        .filter(F.col("s_suppkey") % 8 != 7)
-        .select(
-            _supplier_symbol("s_suppkey").alias("symbol"),
-            F.col("s_acctbal").alias("price"),
-            F.lit("L").alias("currency"),
-            F.lit(AS_OF).cast("timestamp").alias("market_time"),
-            loaded_at().alias("ingested_at"),
-            F.to_date(loaded_at()).alias("_ingest_date"),
-            F.lit("stooq_snapshot").alias("_source"),
-        )
-    )
+    """One market row per supplier; an eighth of them is quoted without a price."""
+    price = F.when(F.col("s_suppkey") % 8 == 7, "N/D").otherwise(F.col("s_acctbal").cast("string"))
+    return _snapshot_rows(table(spark, sf_dir, "supplier"), _supplier_symbol("s_suppkey"), price)
+
+
+def nation_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One market row per nation, every other one quoted without a price."""
+    key = F.col("n_nationkey")
+    price = F.when(key % 2 == 1, "N/D").otherwise("1.5")
+    return _snapshot_rows(table(spark, sf_dir, "nation"), _text("n", key, ".us"), price)
 
 
 def nation_request(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -211,3 +217,28 @@ def vendor_symbols(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(_text("p", key, ".us"))
         .alias("symbol"),
     )
+
+
+def broken(spark: SparkSession, sf_dir: str, feed: str) -> DataFrame:
+    """A feed's payloads, some of them cut off, an error page, or out of shape."""
+    key, rows, odd = {
+        "candles": (F.col("l_partkey"), "lineitem", '{"s":"ok","c":[1.0,2.0],"t":[1]}'),
+        "quotes": (F.col("l_partkey"), "lineitem", "[1.5]"),
+        "fx_latest": (F.col("o_custkey"), "orders", '{"base":"A","date":"02.01.2024","rates":{"B":1.0}}'),
+        "fx_range": (F.col("o_custkey"), "orders", '{"base":"A","rates":{"02.01.2024":{"B":1.0}}}'),
+    }[feed]
+    whole = {
+        "candles": '{"s":"ok","c":[1.0],"t":[1]}', "quotes": '{"c":1.5}',
+        "fx_latest": '{"base":"A","date":"2024-01-02","rates":{"B":1.0}}',
+        "fx_range": '{"base":"A","rates":{}}',
+    }[feed]
+    kind = key % 20
+    text = (
+        F.when(kind == 0, whole[:-3])
+        .when(kind == 1, "<html>busy</html>")
+        .when(kind == 2, odd)
+        .when(kind == 3, F.lit(None).cast("string"))
+        .when(kind == 4, "{}")
+        .otherwise(whole)
+    )
+    return table(spark, sf_dir, rows).select(key.alias("landed_key"), text.alias("payload"))

@@ -16,10 +16,11 @@ from tidegauge.session import configure
 from tidegauge.sinks.export import EXPORTS, json_ready, recent
 from tidegauge.sinks.tables import enrich
 from tidegauge.sources import indicators, prices, rates
+from tidegauge.sources.payloads import FEEDS, rejected
 from tidegauge.sources.schemas import PRICE_HISTORY_CSV, PRICE_SNAPSHOT_CSV
 from workload import bindings, payloads
 from workload.bindings import AS_OF
-from workload.lake import BUILDERS, Lazy, Written
+from workload.lake import Lake
 from workload.payloads import loaded_at
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -61,18 +62,12 @@ def _builds() -> dict[str, Query]:
         "cross_signal_summary": "gold_cross_signal_summary",
         "top_movers_why": "gold_top_movers_why",
     }
-    # The movers read the snapshot twice, for its newest date and for its rows.
-    reads_twice = {"top_movers_why"}
-
     def build(table: str) -> Query:
-        if table in reads_twice:
-            inputs, builder = BUILDERS[table]
-            return lambda s, d: builder(*[Written(s, d)[name] for name in inputs])
-        return lambda s, d: Lazy(s, d)[table]
+        return lambda s, d: Lake(s, d)[table]
 
     return {name: build(table) for table, name in names.items()} | {
         "gold_macro_trends_legacy": lambda s, d: macro.macro_trends_legacy(
-            Lazy(s, d)["macro_indicators"]
+            Lake(s, d)["macro_indicators"]
         ),
         "bronze_market_prices": bindings.raw_prices,
         "bronze_enriched_events": lambda s, d: enrich(
@@ -89,16 +84,16 @@ def _primitives() -> dict[str, Query]:
             for name, column in (("lineitem", "l_shipdate"), ("orders", "o_orderdate"))
         ]
         dates = days[0].unionByName(days[1]).dropDuplicates(["as_of_date"])
-        return cross.macro_asof_summary(dates, Lazy(s, d)["macro_indicator_trends"])
+        return cross.macro_asof_summary(dates, Lake(s, d)["macro_indicator_trends"])
 
     return {
         "market_breadth_by_date": lambda s, d: cross.market_breadth_by_date(
-            Lazy(s, d)["daily_market_snapshot"]
+            Lake(s, d)["daily_market_snapshot"]
         ),
-        "fx_breadth_by_date": lambda s, d: cross.fx_breadth_by_date(Lazy(s, d)["fx_trend_signals"]),
+        "fx_breadth_by_date": lambda s, d: cross.fx_breadth_by_date(Lake(s, d)["fx_trend_signals"]),
         "macro_asof_by_date": asof,
         "latest_market_rows": lambda s, d: latest_rows(
-            Written(s, d)["daily_market_snapshot"], "snapshot_date"
+            Lake(s, d)["daily_market_snapshot"], "snapshot_date"
         ),
         "duplicate_raw_prices": lambda s, d: checks.duplicate_keys(
             bindings.raw_prices(s, d), MARKET_KEY
@@ -130,12 +125,21 @@ def _sources() -> dict[str, Query]:
             payloads.landed_snapshots(s, d),
         )
 
-    def nation_summary(s: SparkSession, d: str) -> DataFrame:
-        nothing = payloads.landed_snapshots(s, d).filter(F.lit(False))
+    def nation_counts(s: SparkSession, d: str) -> DataFrame:
         report = prices.load_report(
-            payloads.nation_request(s, d), payloads.nation_history(s, d), nothing
+            payloads.nation_request(s, d), payloads.nation_history(s, d), payloads.nation_snapshots(s, d)
         )
-        return prices.summary_line(report)
+        return prices.report_counts(report)
+
+    def rejects(s: SparkSession, d: str) -> DataFrame:
+        found = None
+        for feed in FEEDS:
+            rows = rejected(payloads.broken(s, d, feed), feed)
+            part = rows.groupBy(F.lit(feed).alias("feed"), "reason").agg(
+                F.count(F.lit(1)).alias("payloads"), F.sum("landed_key").alias("key_sum")
+            )
+            found = part if found is None else found.unionByName(part)
+        return found
 
     def tickers(s: SparkSession, d: str) -> DataFrame:
         symbol = F.col("symbol")
@@ -176,33 +180,32 @@ def _sources() -> dict[str, Query]:
             indicators.parse_macro_pages(payloads.macro_pages(s, d)), ingested_at=loaded_at()
         ),
         "macro_page_counts": lambda s, d: indicators.page_counts(payloads.macro_pages(s, d)),
+        "rejected_payloads": rejects,
         "vendor_tickers": tickers,
         "first_available_source": lambda s, d: prices.first_available_source(
             *landed(s, d), *HISTORY_RANGE, ingested_at=loaded_at()
         ),
         "load_report": lambda s, d: prices.load_report(*landed(s, d)),
-        "load_summary_line": nation_summary,
+        "load_report_counts": nation_counts,
     }
 
 
 def _reports() -> dict[str, Query]:
-    """Readers of the written tables."""
+    """Readers of Silver and Gold."""
 
-    def over_tables(build: Callable[[Written], DataFrame]) -> Query:
-        return lambda s, d: build(Written(s, d))
+    def over_tables(build: Callable[[Lake], DataFrame]) -> Query:
+        return lambda s, d: build(Lake(s, d))
 
     def over_audit(build: Callable[[DataFrame], DataFrame]) -> Query:
         return lambda s, d: build(bindings.audit_runs(s, d))
 
-    def rounded_value_avg(tables: Written) -> DataFrame:
-        avgs = measures.report_avgs(tables)["value_by_date_and_indicator"]
-        return avgs.withColumn("avg_observation_value", F.round("avg_observation_value", 6))
-
     queries = {
         f"briefing_{name}": over_tables(build)
         for name, build in (briefing.SECTIONS | briefing.HEAVY_SECTIONS).items()
     }
-    queries["briefing_json"] = over_tables(lambda t: briefing.briefing_json(t, include_heavy=True))
+    queries["briefing_json"] = over_tables(
+        lambda t: briefing.briefing_fields(briefing.briefing_json(t, include_heavy=True))
+    )
     queries |= {
         "dashboard_kpis": over_tables(dashboards.kpis),
         "dashboard_trend": over_tables(dashboards.trend),
@@ -241,13 +244,13 @@ def _reports() -> dict[str, Query]:
         "rate_by_date_and_pair",
         "stressed_pairs_card",
         "yoy_by_indicator_and_trend",
+        "value_by_date_and_indicator",
         "movers_by_symbol_and_flag",
     )
     queries |= {
         f"report_{name}": over_tables(lambda t, name=name: measures.report_avgs(t)[name])
         for name in report_names
     }
-    queries["report_value_by_date_and_indicator"] = over_tables(rounded_value_avg)
     queries |= {
         f"view_{table}": over_tables(lambda t, table=table: measures.bi_view(t, table))
         for table in measures.VIEW_OMITS
