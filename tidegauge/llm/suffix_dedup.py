@@ -20,8 +20,8 @@ are judged on the input.
 4. The strings found at one trigger all cover it, so they are one stretch; the
    stretches of a text are merged and cut out.
 
-Only hashes and the contexts in question are shuffled by trigger; text is joined
-by row twice. Every shuffle is aggregated ahead or spread over row numbers, and
+Texts are shuffled once, into buckets of their row; after that only hashes and the
+contexts in question are. Every shuffle is aggregated ahead or spread over row numbers, and
 intermediate tables lie in the shared folder.
 
 Edge cases: a null text counts as empty; texts shorter than ``length`` lose
@@ -42,7 +42,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidegauge.llm.shared import written
+from tidegauge.llm.shared import bucketed, written
 from tidegauge.llm.text_batches import byte_view, pieces, plain_texts
 
 LENGTH = 200
@@ -181,12 +181,18 @@ def _parsed(place: int, names: list[str], length: int, gram: int):
 
 
 def parsed(docs: DataFrame, text: str, length: int, gram: int) -> DataFrame:
-    """The rows with ``__row`` and their triggers, written to the shared folder."""
+    """The rows with ``__row`` and their triggers, written to the shared folder in
+    buckets of ``__row``, so that no later join by row shuffles the texts."""
+    spark = docs.sparkSession
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     numbered = docs.withColumn("__row", F.monotonically_increasing_id())
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in numbered.schema)
     struct = "struct<" + ANCHOR.replace(" ", ":").replace(",:", ",") + ">"
     run = _parsed(numbered.columns.index(text), [*numbered.columns, "__anchors"], length, gram)
-    return written(numbered.mapInArrow(run, f"{schema}, __anchors array<{struct}>"), "parsed", compression="zstd")
+    found = numbered.repartition(buckets, "__row").mapInArrow(run, f"{schema}, __anchors array<{struct}>")
+    table = bucketed(found, "parsed", "__row", buckets)
+    _release(spark)
+    return table
 
 
 def _contexts(length: int):
@@ -320,24 +326,25 @@ def repeated(table: DataFrame, text: str, length: int, gram: int) -> DataFrame:
     hits = written(anchors.join(shared.filter("n > 1").drop("n"), "gram"), "triggers")
     _release(table.sparkSession)
 
-    own = ["gram", "context"]
-    contexts = hits.groupBy(*own).agg(
-        F.count(F.lit(1)).alias("copies"),
-        F.min(F.struct("__row", "place", "most", "least")).alias("first"),
-        F.min("one").alias("one"),
-    )
-    # A context met twice: every string in it is repeated, wherever it stands.
-    twice = contexts.filter("copies > 1").select(*own)
-    whole = hits.join(twice, own).select(
-        "__row", (F.col("place") - F.col("most")).alias("start"), (F.col("place") - F.col("least") + length).alias("end")
+    def stretch(found: DataFrame) -> DataFrame:
+        start, end = F.col("place") - F.col("most"), F.col("place") - F.col("least") + length
+        return found.select("__row", start.alias("start"), end.alias("end"))
+
+    # Where all occurrences of a trigger have one context, every string is repeated;
+    # so it is for any context met twice.
+    own, mixed = ["gram", "context"], hits.filter("NOT one")
+    asked = mixed.groupBy(*own).agg(
+        F.count(F.lit(1)).alias("copies"), F.min(F.struct("__row", "place", "most", "least")).alias("first")
     )
+    asked = written(asked.select(*own, "copies", "first.*"), "contexts")
+    twice = mixed.join(asked.filter("copies > 1").select(*own), own)
+    whole = stretch(hits.filter("one")).unionByName(stretch(twice))
 
-    asked = contexts.filter("NOT one").select(*own, "first.*")
     wanted = asked.groupBy("__row").agg(F.collect_list(F.struct(*own, "place", "most", "least")).alias("wanted"))
     texts = table.select("__row", F.col(text).alias("__text")).join(wanted, "__row")
     schema = "gram bigint, context bigint, __row bigint, place bigint, left binary, right binary"
     fetched = texts.select("__row", "__text", "wanted").mapInArrow(_contexts(length), schema)
-    sizes = contexts.filter("NOT one").groupBy("gram").agg(F.count(F.lit(1)).alias("n"))
+    sizes = asked.groupBy("gram").agg(F.count(F.lit(1)).alias("n"))
     many = sizes.filter(F.col("n") > CHUNK).select("gram", F.ceil(F.col("n") / CHUNK).cast("int").alias("chunks"))
     chunked = fetched.join(many, "gram", "left").withColumn("chunks", F.coalesce("chunks", F.lit(1)))
     chunk = F.pmod(F.xxhash64("context"), F.col("chunks")).cast("int")
