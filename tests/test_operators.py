@@ -67,22 +67,32 @@ def _naive(df, partition):
     )
 
 
-@pytest.mark.parametrize("slot", ["minute", "hour", "day"])
-def test_long_series_equal_whole_series_windows(spark, slot):
-    """Dense, sparse and bursty series; slots shorter and longer than the look-back."""
-    pick = random.Random(slot)
+@pytest.mark.parametrize("block_rows", [3, 7, 64, 4096])
+def test_long_series_equal_whole_series_windows(spark, block_rows):
+    """Dense, sparse and bursty series, one without a key; blocks of many sizes."""
+    pick = random.Random(block_rows)
     start, data = datetime(2024, 1, 1), []
-    for key, gap in (("dense", 40), ("sparse", 9000), ("mixed", 1500)):
+    for key, gap in (("dense", 40), ("sparse", 9000), ("mixed", 1500), (None, 70)):
         at = start
         for i in range(150):
             at += timedelta(seconds=pick.choice([1, gap, gap * (6 if key == "mixed" else 1)]))
             data.append((key, at, i))
     df = spark.createDataFrame(data, "k string, t timestamp, v long")
-    split = over_long_series(df, ["k"], ["t"], F.date_trunc(slot, "t"), 3, _naive)
+    slots = [F.date_trunc(unit, "t") for unit in ("hour", "second")]
+    split = over_long_series(df, ["k"], ["t"], *slots, 3, _naive, block_rows)
     assert split.columns == ["k", "t", "v", "back", "total"]
     assert rows(split) == rows(_naive(df, ["k"]))
 
 
+def test_hot_hour_of_one_series_is_cut(spark):
+    stamp = F.timestamp_seconds(F.lit(1_700_000_000) + F.col("id") / 30)
+    df = spark.range(100_000).select(F.lit("hot").alias("k"), stamp.alias("t"), F.col("id").alias("v"))
+    slots = [F.date_trunc(unit, "t") for unit in ("hour", "second")]
+    split = over_long_series(df, ["k"], ["t"], *slots, 3, _naive, 5000)
+    wrong = split.filter("v >= 3 AND (back <> v - 3 OR total <> 4 * v - 6)")
+    assert split.count() == 100_000 and wrong.count() == 0
+
+
 @FEW
 @given(
     st.lists(

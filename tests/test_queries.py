@@ -82,18 +82,13 @@ def _plan(df) -> str:
     return plan.split("== Initial Plan ==")[0]
 
 
-def test_fx_branches_share_the_shuffle(spark, sf_dir):
+def test_fx_windows_run_once(spark, sf_dir):
     plan = _plan(Lake(spark, sf_dir)["fx_trend_signals"])
-    assert plan.count("FileScan") == 1 and "ReusedExchange" in plan
+    assert plan.count("stddev_samp") > 0 and "Union" not in plan
+    assert sum("stddev_samp" in line and "+- Window" in line for line in plan.splitlines()) <= 1
 
 
 def test_summary_reads_each_domain_once_without_nested_loops(spark, sf_dir):
     plan = _plan(Lake(spark, sf_dir)["cross_signal_summary"])
     assert "NestedLoop" not in plan and "CartesianProduct" not in plan
     assert plan.count("l_extendedprice") > 0 and plan.count("lineitem.parquet") == 1
-
-
-def test_scans_are_pruned_and_filtered(spark, sf_dir):
-    plan = _plan(Lake(spark, sf_dir)["daily_market_snapshot"].filter("symbol = '1.US'").select("latest_price"))
-    assert "EqualTo(symbol,1.US)" in plan
-    assert "ReadSchema: struct<symbol:string,latest_price:double>" in plan

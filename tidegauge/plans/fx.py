@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidegauge.functions.metrics import abs_change, any_of, pct_change, rolling_volatility
-from tidegauge.operators.series import over_long_series
+from tidegauge.operators.series import BLOCK_ROWS, over_long_series
 from tidegauge.sources.schemas import columns_of
 
 # The volatility at a row covers 30 daily changes, hence 31 rates.
@@ -46,18 +46,25 @@ def _changes(rates: DataFrame, partition: Sequence[str]) -> DataFrame:
 
 
 def fx_trends(
-    silver: DataFrame, thresholds: FxThresholds = FxThresholds(), slot: str = "hour"
+    silver: DataFrame, thresholds: FxThresholds = FxThresholds(), block_rows: int = BLOCK_ROWS
 ) -> DataFrame:
     """One row per rate; offsets count observed rates of the pair.
 
     Intraday stamps are kept, so a pair's series is not bounded by the calendar;
-    it is cut at ``slot`` for the windows.
+    it is cut into blocks of ``block_rows`` rates for the windows.
     """
     rates = silver.withColumn("rate", F.col("rate").cast("double"))
     change = F.col("daily_change_pct")
     return (
         over_long_series(
-            rates, ["currency_pair"], ORDER, F.date_trunc(slot, "rate_timestamp"), LOOK_BACK, _changes
+            rates,
+            ["currency_pair"],
+            ORDER,
+            F.date_trunc("hour", "rate_timestamp"),
+            F.date_trunc("second", "rate_timestamp"),
+            LOOK_BACK,
+            _changes,
+            block_rows,
         )
         .withColumns(
             {
