@@ -159,7 +159,8 @@ def signed(docs: DataFrame, text: str = "text") -> DataFrame:
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in numbered.schema)
     names = [*numbered.columns, "__node", "__bands"]
     run = _signed(numbered.columns.index(text), names)
-    return written(numbered.mapInArrow(run, schema + ", __node string, __bands array<bigint>"), "near-signed")
+    table = numbered.mapInArrow(run, schema + ", __node string, __bands array<bigint>")
+    return written(table, "near-signed", compression="zstd")
 
 
 def buckets(table: DataFrame) -> DataFrame:

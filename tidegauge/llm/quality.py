@@ -29,7 +29,7 @@ from tidegauge.llm.labelled import labelled_sample
 from tidegauge.llm.text_batches import Words, byte_view, pieces, plain_texts, words_of
 
 #: The fit's bounds: rows of either class, and bytes of one text.
-TRAIN_ROWS, TRAIN_BYTES = 1_500, 1 << 16
+TRAIN_ROWS, TRAIN_BYTES = 1_000, 1 << 14
 SLOTS = 1 << 18
 THRESHOLD = 0.5
 MIN_WORDS, MAX_REPEATED_PERCENT = 50, 50
@@ -218,9 +218,9 @@ def fit_quality(texts: pa.Array, labels: np.ndarray) -> QualityModel | None:
     for (features, bounds), reach in zip(found, (0, 1, 2), strict=True):
         for text, (i, j) in enumerate(zip(*spans(bounds, len(features), reach), strict=True)):
             own, counts = np.unique(features[i:j], return_counts=True)
-            rows.append(np.full(len(own), text))
-            slots.append(own)
-            shares.append(counts / max(1, j - i))
+            rows.append(np.full(len(own), text, dtype=np.int32))
+            slots.append(own.astype(np.int32))
+            shares.append((counts / max(1, j - i)).astype(np.float32))
     rows, slots, shares = (np.concatenate(part) for part in (rows, slots, shares))
     held = np.arange(len(labels)) % 5 == 4
     if len(set(labels[~held].tolist())) < 2 or len(set(labels[held].tolist())) < 2:
