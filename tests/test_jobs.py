@@ -10,12 +10,13 @@ import pytest
 from pyspark.sql import functions as F
 
 from helpers import rows
-from tidegauge.plans import jobs
+from tidegauge.operators.latest import latest_rows
+from tidegauge.plans import briefing, jobs
 from tidegauge.sinks import audit, export
 from tidegauge.sinks.tables import NoData, bootstrap, replace
 from tidegauge.sources import indicators, prices, rates
 from tidegauge.sources.schemas import TABLES, columns_of, qualified
-from tidegauge.sources.tables import empty, scan
+from tidegauge.sources.tables import Catalog, empty, scan
 from workload import bindings
 from workload.lake import RAW, Lake
 
@@ -47,6 +48,24 @@ def test_tables_equal_lazy_plans(lake, sf_dir):
         assert rows(scan(lake, table)) == rows(lazy[table])
 
 
+def test_newest_date_reads_one_month(lake, sf_dir):
+    gold = Catalog(lake)
+    for table, day in (("daily_market_snapshot", "snapshot_date"), ("fx_trend_signals", "rate_date")):
+        newest = latest_rows(gold[table], day)
+        assert rows(newest.select(*columns_of(table))) == rows(latest_rows(scan(lake, table), day))
+        newest.collect()
+        plan = newest._jdf.queryExecution().executedPlan().toString()
+        assert "PartitionFilters: [isnotnull(_month" in plan
+    assert rows(briefing.top_movers(gold)) == rows(briefing.top_movers(Lake(lake, sf_dir)))
+    assert len(gold) == len(TABLES) == len(list(gold))
+
+
+def test_raw_rows_lie_by_day(lake):
+    raw = lake.read.table(qualified("market_prices_raw")).filter("_ingest_date = '1998-01-02'")
+    raw.collect()
+    assert "PartitionFilters: [isnotnull(_ingest_date" in raw._jdf.queryExecution().executedPlan().toString()
+
+
 def test_runs_are_counted_while_written(lake):
     for layer, targets in (("silver", jobs.SILVER), ("gold", jobs.GOLD)):
         for table in targets:
@@ -131,7 +150,23 @@ def test_failing_rebuild_keeps_the_table(lake):
     with pytest.raises(Exception, match="half way"):
         replace(boom, "fx_rates")
     assert rows(scan(lake, "fx_rates")) == before
-    assert not [t.name for t in lake.catalog.listTables("silver") if "_new_" in t.name or "_old_" in t.name]
+
+
+def test_failing_switch_keeps_the_table(lake, monkeypatch):
+    before, calls = rows(scan(lake, "fx_rates")), []
+    sql = type(lake).sql
+
+    def once(self, text, *args, **kwargs):
+        if text.startswith("CREATE TABLE silver.fx_rates ") and not calls:
+            calls.append(text)
+            raise RuntimeError("catalog is away")
+        return sql(self, text, *args, **kwargs)
+
+    monkeypatch.setattr(type(lake), "sql", once)
+    with pytest.raises(RuntimeError, match="away"):
+        replace(scan(lake, "fx_rates_raw").selectExpr("base_currency AS currency_pair"), "fx_rates")
+    monkeypatch.undo()
+    assert calls and rows(scan(lake, "fx_rates")) == before
 
 
 def test_landed_payloads_are_counted_and_backfilled(lake, spark):

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidegauge.sources.schemas import MONTH
+
 
 def dedupe_latest(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], tiebreak: Sequence[str] = ()
@@ -28,7 +30,13 @@ def latest_value(df: DataFrame, column: str) -> Column:
 
 
 def latest_rows(df: DataFrame, date_column: str) -> DataFrame:
-    """Rows of the newest date."""
+    """Rows of the newest date.
+
+    A frame that still has its table's month, the partition of its files, is first
+    cut to the newest month, which takes no data but the partitions' names.
+    """
+    if MONTH in df.columns:
+        df = df.filter(F.col(MONTH) == latest_value(df, MONTH)).drop(MONTH)
     return df.filter(F.col(date_column) == latest_value(df, date_column))
 
 

@@ -58,7 +58,7 @@ def ingest(
     spark = rows.sparkSession
     name = f"bronze_{table}"
     try:
-        count = write_counted(rows, lambda df: append(df, table))
+        count = write_counted(lambda seen: append(rows, table, seen))
         message = require_rows(spark, count, table, keep_history, explain) + (f"; {note}" if note else "")
     except Exception as error:
         try_log_run(spark, name, "FAILED", 0, str(error))
@@ -97,7 +97,7 @@ def _rebuild(spark: SparkSession, layer: str, targets) -> int:
 
         def run(table=table, inputs=inputs, build=build) -> int:
             built = build(*[scan(spark, name) for name in inputs])
-            return write_counted(built, lambda df: replace(df, table))
+            return write_counted(lambda seen: replace(built, table, seen))
 
         total += audited(spark, f"{layer}_{table}", run)
     return total

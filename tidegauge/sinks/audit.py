@@ -6,8 +6,7 @@ import logging
 from collections.abc import Callable
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, Observation, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import Observation, SparkSession
 
 from tidegauge.sinks.tables import append
 from tidegauge.sources.schemas import TABLES
@@ -32,10 +31,10 @@ def try_log_run(
         log.warning("audit row for %s skipped: %s", name, error)
 
 
-def write_counted(df: DataFrame, write: Callable[[DataFrame], None]) -> int:
-    """Write a frame and return its row count, counted while it is written."""
+def write_counted(write: Callable[[Observation], None]) -> int:
+    """Write a table and return its row count, counted while it is written."""
     seen = Observation()
-    write(df.observe(seen, F.count(F.lit(1)).alias("rows")))
+    write(seen)
     return seen.get["rows"]
 
 

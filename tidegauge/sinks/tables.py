@@ -5,10 +5,10 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from tidegauge.sources.schemas import LAYERS, TABLES, qualified
+from tidegauge.sources.schemas import INGEST_DAY, LAYERS, MONTH, MONTH_OF, TABLES, qualified
 from tidegauge.sources.tables import has_history
 
 
@@ -17,7 +17,29 @@ def bootstrap(spark: SparkSession) -> None:
     for layer in LAYERS:
         spark.sql(f"CREATE SCHEMA IF NOT EXISTS {layer}")
     for table, (_, columns) in TABLES.items():
-        spark.sql(f"CREATE TABLE IF NOT EXISTS {qualified(table)} ({columns}) USING parquet")
+        by = partition_of(table)
+        listed = f"{columns}, {MONTH} string" if by == MONTH else columns
+        layout = f" PARTITIONED BY ({by})" if by else ""
+        folder = f"{_folder(spark, TABLES[table][0])}/{table}-{uuid.uuid4().hex}"
+        name = qualified(table)
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({listed}) USING parquet{layout} LOCATION '{folder}'")
+
+
+def partition_of(table: str) -> str | None:
+    return INGEST_DAY.get(table) or (MONTH if table in MONTH_OF else None)
+
+
+def laid_out(df: DataFrame, table: str, seen: Observation | None = None) -> DataFrame:
+    """The rows with the table's month, gathered by partition, and counted by ``seen``.
+
+    A rebalance splits partitions that are large and joins small ones, so a hot
+    month is written by many tasks and a quiet one makes one file.
+    """
+    if table in MONTH_OF:
+        df = df.withColumn(MONTH, F.date_format(MONTH_OF[table], "yyyy-MM"))
+    by = partition_of(table)
+    df = df.hint("rebalance", F.col(by)) if by else df
+    return df.observe(seen, F.count(F.lit(1)).alias("rows")) if seen else df
 
 
 def enrich(
@@ -35,32 +57,70 @@ def enrich(
     )
 
 
-def append(df: DataFrame, table: str) -> None:
+def append(df: DataFrame, table: str, seen: Observation | None = None) -> None:
     """Append by column name. Replays leave copies, which Silver resolves."""
     name = qualified(table)
     columns = df.sparkSession.read.table(name).columns
-    df.select(*columns).write.insertInto(name)
+    laid_out(df, table, seen).select(*columns).write.insertInto(name)
 
 
-def replace(df: DataFrame, table: str) -> None:
+def replace(df: DataFrame, table: str, seen: Observation | None = None) -> None:
     """Rebuild a table, schema included. The plan must not read that table.
 
-    The new rows are written beside the table and take its name once they are
-    there, so a rebuild that fails leaves the table as it was.
+    The new rows are written to a folder of their own; only when they are there
+    does the table's name move to it, so a rebuild that fails leaves the table as
+    it was. The folder it had is deleted last.
     """
-    spark, name, tag = df.sparkSession, qualified(table), uuid.uuid4().hex
-    fresh, old = f"{name}_new_{tag}", f"{name}_old_{tag}"
+    spark, name, by = df.sparkSession, qualified(table), partition_of(table)
+    folder = f"{_folder(spark, TABLES[table][0])}/{table}-{uuid.uuid4().hex}"
+    rows = laid_out(df, table, seen)
+    rows.write.partitionBy(*([by] if by else [])).parquet(folder)
+    before = _location(spark, name)
+    listed = ", ".join(f"{field} {kind}" for field, kind in rows.dtypes)
+    _point(spark, name, listed, by, folder, before)
+    if before:
+        _delete(spark, before)
+
+
+def _point(spark: SparkSession, name: str, listed: str, by: str | None, folder: str, before: str | None) -> None:
+    """Give the name to a folder of files; back to the one before if that fails."""
+    layout = f" PARTITIONED BY ({by})" if by else ""
+
+    def create(columns: str, location: str) -> None:
+        spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet{layout} LOCATION '{location}'")
+        if by:
+            spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
+
+    kept = None
+    if before:
+        kept = ", ".join(f"{field} {kind}" for field, kind in spark.read.table(name).dtypes)
+        # All tables name a folder, so dropping one leaves its files.
+        spark.sql(f"DROP TABLE {name}")
     try:
-        df.write.format("parquet").saveAsTable(fresh)
-    except BaseException:
-        spark.sql(f"DROP TABLE IF EXISTS {fresh}")
+        create(listed, folder)
+    except Exception:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        if kept:
+            create(kept, before)
         raise
-    known = spark.catalog.tableExists(name)
-    if known:
-        spark.sql(f"ALTER TABLE {name} RENAME TO {old}")
-    spark.sql(f"ALTER TABLE {fresh} RENAME TO {name}")
-    if known:
-        spark.sql(f"DROP TABLE {old}")
+
+
+def _folder(spark: SparkSession, layer: str) -> str:
+    """Where the layer's tables lie."""
+    rows = spark.sql(f"DESCRIBE SCHEMA {layer}").collect()
+    return next(r[1] for r in rows if r[0] == "Location").rstrip("/")
+
+
+def _location(spark: SparkSession, name: str) -> str | None:
+    if not spark.catalog.tableExists(name):
+        return None
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()
+    return next(r[1] for r in rows if r[0] == "Location")
+
+
+def _delete(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 class NoData(RuntimeError):

@@ -83,6 +83,18 @@ TABLES = {
     ),
 }
 
+# How tables lie on disk: raw rows by the day they came in, Gold by the month of its
+# date, in an extra column that the contract does not show.
+INGEST_DAY = {"market_prices_raw": "_ingest_date", "macro_indicators_raw": "_ingest_date"}
+MONTH = "_month"
+MONTH_OF = {
+    "daily_market_snapshot": "snapshot_date",
+    "fx_trend_signals": "rate_date",
+    "macro_indicator_trends": "observation_date",
+    "cross_signal_summary": "as_of_date",
+    "top_movers_why": "as_of_date",
+}
+
 LAYERS = ("bronze", "silver", "gold", "audit")
 
 

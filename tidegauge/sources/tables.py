@@ -2,13 +2,33 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame, SparkSession
 
-from tidegauge.sources.schemas import TABLES, qualified
+from tidegauge.sources.schemas import TABLES, columns_of, qualified
 
 
 def scan(spark: SparkSession, table: str) -> DataFrame:
-    return spark.read.table(qualified(table))
+    """The table with the columns of its contract."""
+    return spark.read.table(qualified(table)).select(*columns_of(table))
+
+
+class Catalog(Mapping[str, DataFrame]):
+    """The written tables, Gold with its month: readers of the newest date
+    (:func:`tidegauge.operators.latest.latest_rows`) read one month's files."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+
+    def __getitem__(self, table: str) -> DataFrame:
+        return self.spark.read.table(qualified(table))
+
+    def __iter__(self):
+        return iter(TABLES)
+
+    def __len__(self):
+        return len(TABLES)
 
 
 def empty(spark: SparkSession, table: str) -> DataFrame:
