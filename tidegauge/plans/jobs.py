@@ -91,7 +91,8 @@ def backfill(
     return ingest(rows, "market_prices_raw", note=f"symbols: {symbols}; {start} to {end}", explain=explain)
 
 
-def _rebuild(spark: SparkSession, layer: str, targets) -> int:
+def rebuild(spark: SparkSession, layer: str, targets) -> int:
+    """Rebuild the tables given, each with an audit row; returns their rows."""
     total = 0
     for table, (inputs, build) in targets.items():
 
@@ -104,11 +105,11 @@ def _rebuild(spark: SparkSession, layer: str, targets) -> int:
 
 
 def rebuild_silver(spark: SparkSession) -> int:
-    return _rebuild(spark, "silver", SILVER)
+    return rebuild(spark, "silver", SILVER)
 
 
 def rebuild_gold(spark: SparkSession) -> int:
-    return audited(spark, "gold_analytics", lambda: _rebuild(spark, "gold", GOLD))
+    return audited(spark, "gold_analytics", lambda: rebuild(spark, "gold", GOLD))
 
 
 def validate(spark: SparkSession, as_of: str | date | None = None) -> int:

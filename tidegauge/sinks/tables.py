@@ -25,6 +25,15 @@ def bootstrap(spark: SparkSession) -> None:
         spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({listed}) USING parquet{layout} LOCATION '{folder}'")
 
 
+def drop(spark: SparkSession, table: str) -> None:
+    """Drop a table with its files."""
+    name = qualified(table)
+    folder = _location(spark, name)
+    if folder:
+        spark.sql(f"DROP TABLE {name}")
+        _delete(spark, folder)
+
+
 def partition_of(table: str) -> str | None:
     return INGEST_DAY.get(table) or (MONTH if table in MONTH_OF else None)
 

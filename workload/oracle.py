@@ -938,7 +938,33 @@ def _briefing_sql(reports: dict[str, str]) -> str:
         )"""
 
 
+def _managed_sql() -> dict[str, str]:
+    exported = [
+        f"CAST({c} AS VARCHAR) || '.678901' AS {c}" if c == "ingested_at" else _text(c) if c == "rate_date" else f"fx_trend_signals.{c}"
+        for c in columns_of("fx_trend_signals")
+    ]
+    loads = "(SELECT count(*) FROM orders)"
+    silver = "(SELECT count(*) FROM fx_rates)"
+    runs = [
+        ("bronze_fx_rates_raw", "SUCCESS", loads, 2), ("silver_fx_rates", "SUCCESS", silver, 1),
+        ("gold_fx_trend_signals", "SUCCESS", silver, 1), ("bronze_fx_rates_raw", "SUCCESS", "0", 1),
+        ("bronze_macro_indicators_raw", "FAILED", "0", 1), ("validation_queries", "FAILED", "0", 1),
+    ]
+    return {
+        "managed_rates": _table("fx_rates", rate="double"),
+        "managed_runs": " UNION ALL ".join(
+            f"SELECT '{name}' AS pipeline_name, '{status}' AS status, CAST({rows} AS BIGINT) AS row_count,"
+            f" CAST({times} AS BIGINT) AS runs"
+            for name, status, rows, times in runs
+        ),
+        "exported_signals": f"""
+            SELECT {", ".join(exported)}, n AS parquet_rows FROM fx_trend_signals
+            JOIN (SELECT currency_pair, count(*) AS n FROM fx_trend_signals GROUP BY 1) USING (currency_pair)
+            WHERE fx_trend_signals.rate_date >= DATE '{AS_OF}' - INTERVAL 365 DAY""",
+    }
+
+
 def all_sql() -> dict[str, str]:
     reports = _report_sql()
     reports["briefing_json"] = _briefing_sql(reports)
-    return {name: _with(sql) for name, sql in (_build_sql() | _source_sql() | reports).items()}
+    return {name: _with(sql) for name, sql in (_build_sql() | _source_sql() | reports | _managed_sql()).items()}

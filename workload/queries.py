@@ -18,7 +18,7 @@ from tidegauge.sinks.tables import enrich
 from tidegauge.sources import indicators, prices, rates
 from tidegauge.sources.payloads import FEEDS, rejected
 from tidegauge.sources.schemas import PRICE_HISTORY_CSV, PRICE_SNAPSHOT_CSV
-from workload import bindings, payloads
+from workload import bindings, managed, payloads
 from workload.bindings import AS_OF
 from workload.lake import Lake
 from workload.payloads import loaded_at
@@ -269,6 +269,15 @@ def _reports() -> dict[str, Query]:
     return queries
 
 
+def _managed() -> dict[str, Query]:
+    """The jobs and sinks, over tables of their own in the session's warehouse."""
+    return {
+        "managed_rates": managed.managed_rates,
+        "managed_runs": managed.managed_runs,
+        "exported_signals": managed.exported_signals,
+    }
+
+
 def all_queries() -> dict[str, Query]:
-    queries = _builds() | _primitives() | _sources() | _reports()
+    queries = _builds() | _primitives() | _sources() | _reports() | _managed()
     return {name: _query(build) for name, build in queries.items()}
