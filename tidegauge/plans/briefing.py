@@ -37,6 +37,7 @@ def latest_dates(gold: Gold) -> DataFrame:
     )
 
 
+# Columns of the briefing sections, here and below.
 REGIME_COLUMNS = (
     "as_of_date",
     "risk_regime",

@@ -12,6 +12,7 @@ from tidegauge.operators.asof import changes_by_date, read_as_of
 from tidegauge.plans.macro import SERIES_KEY
 from tidegauge.sources.schemas import columns_of
 
+# Names of the summary's columns, the regime's thresholds and words.
 MACRO_COUNTS = ("macro_up_indicators", "macro_down_indicators")
 MACRO_MEANS = ("macro_avg_period_change_pct", "macro_avg_year_over_year_pct")
 

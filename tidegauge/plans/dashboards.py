@@ -59,6 +59,7 @@ def kpis(tables: Tables) -> DataFrame:
     )
 
 
+# Columns of the dashboard and demo queries, here and below.
 def trend(tables: Tables, dates: int = 30) -> DataFrame:
     recent = tables["cross_signal_summary"].select(
         "as_of_date",

@@ -11,6 +11,8 @@ from tidegauge.sources.schemas import columns_of
 
 MOVERS_PER_DIRECTION = 5
 
+# The wording of the sentences below, and the returns they turn on.
+
 
 def _sentence(*parts: str | Column) -> Column:
     return F.concat(*[F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts])
