@@ -22,7 +22,7 @@ import hashlib
 import heapq
 import json
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -84,6 +84,47 @@ def byte_alphabet() -> list[str]:
     return [chr(place[b]) for b in range(256)]
 
 
+#: Ids of pre-tokens given as stretches of bytes; and ids of any words.
+Pieces = Callable[[np.ndarray, np.ndarray, np.ndarray], Ragged]
+Odd = Callable[[list[str]], list[list[int]]]
+
+
+def encode_split(words: pa.Array, encode_pieces: Pieces, encode_odd: Odd) -> Ragged:
+    """Ids of many words at once.
+
+    Words of Latin letters that end in punctuation or not, nearly all words of
+    Western text, are split and put in lower case as arrays of bytes. All
+    others go to ``encode_odd``. The results are the same.
+    """
+    body, offsets = byte_view(words)
+    lower, letter, mark = latin(body)
+    count = np.diff(offsets)
+    letters = np.add.reduceat(np.append(letter, 0), offsets[:-1]) * (count > 0) if len(words) else count
+    marks = np.add.reduceat(np.append(mark, 0), offsets[:-1]) * (count > 0) if len(words) else count
+    turned = np.zeros(len(body) + 1, dtype=np.int64)
+    turned[1:-1] = mark[:-1] & letter[1:] if len(body) > 1 else 0
+    turned[offsets[1:-1]] = 0
+    plain = (letters + marks == count) & (np.add.reduceat(turned, offsets[:-1]) == 0) if len(words) else count > 0
+    starts = np.stack([offsets[:-1], offsets[:-1] + letters], axis=1)[plain].ravel()
+    lengths = np.stack([letters, marks], axis=1)[plain].ravel()
+    parts = encode_pieces(lower, starts[lengths > 0], lengths[lengths > 0])
+    held = np.zeros(len(lengths), dtype=np.int64)
+    held[lengths > 0] = np.diff(parts.ends)
+    sizes = np.zeros(len(words), dtype=np.int64)
+    sizes[plain] = held.reshape(-1, 2).sum(axis=1)
+    odd = np.flatnonzero(~plain)
+    slow = encode_odd([words[i].as_py().decode() for i in odd.tolist()])
+    sizes[odd] = [len(ids) for ids in slow]
+    ends = np.concatenate(([0], np.cumsum(sizes)))
+    values = np.empty(ends[-1], dtype=np.uint32)
+    from_parts = np.ones(len(values), dtype=bool)
+    for i, ids in zip(odd.tolist(), slow, strict=True):
+        values[ends[i] : ends[i + 1]] = ids
+        from_parts[ends[i] : ends[i + 1]] = False
+    values[from_parts] = parts.values
+    return Ragged(values, ends)
+
+
 class RankArrayBPE:
     """Encoder and decoder for a word-level BPE vocabulary file (JSON).
 
@@ -214,39 +255,7 @@ class RankArrayBPE:
         return [[i for p in parts for i in (known[p] if isinstance(p, str) else (p,))] for parts in split]
 
     def encode_words(self, words: pa.Array) -> Ragged:
-        """Ids of many words at once.
-
-        Words of Latin letters that end in punctuation or not, nearly all words of
-        Western text, are split and put in lower case as arrays of bytes. All
-        others are split one by one. The results are the same.
-        """
-        body, offsets = byte_view(words)
-        lower, letter, mark = latin(body)
-        count = np.diff(offsets)
-        letters = np.add.reduceat(np.append(letter, 0), offsets[:-1]) * (count > 0) if len(words) else count
-        marks = np.add.reduceat(np.append(mark, 0), offsets[:-1]) * (count > 0) if len(words) else count
-        turned = np.zeros(len(body) + 1, dtype=np.int64)
-        turned[1:-1] = mark[:-1] & letter[1:] if len(body) > 1 else 0
-        turned[offsets[1:-1]] = 0
-        plain = (letters + marks == count) & (np.add.reduceat(turned, offsets[:-1]) == 0) if len(words) else count > 0
-        starts = np.stack([offsets[:-1], offsets[:-1] + letters], axis=1)[plain].ravel()
-        lengths = np.stack([letters, marks], axis=1)[plain].ravel()
-        parts = self.encode_pieces(lower, starts[lengths > 0], lengths[lengths > 0])
-        held = np.zeros(len(lengths), dtype=np.int64)
-        held[lengths > 0] = np.diff(parts.ends)
-        sizes = np.zeros(len(words), dtype=np.int64)
-        sizes[plain] = held.reshape(-1, 2).sum(axis=1)
-        odd = np.flatnonzero(~plain)
-        slow = self.encode_odd([words[i].as_py().decode() for i in odd.tolist()])
-        sizes[odd] = [len(ids) for ids in slow]
-        ends = np.concatenate(([0], np.cumsum(sizes)))
-        values = np.empty(ends[-1], dtype=np.uint32)
-        from_parts = np.ones(len(values), dtype=bool)
-        for i, ids in zip(odd.tolist(), slow, strict=True):
-            values[ends[i] : ends[i + 1]] = ids
-            from_parts[ends[i] : ends[i + 1]] = False
-        values[from_parts] = parts.values
-        return Ragged(values, ends)
+        return encode_split(words, self.encode_pieces, self.encode_odd)
 
     def encode(self, text: str) -> list[int]:
         words = words_of(plain_texts(pa.array([text])))

@@ -26,7 +26,7 @@ MAGIC = b"TGC1"
 HEADER = struct.Struct("<4sIIII")
 #: Ids per lane aimed at, and lanes of a block at most.
 LANE, LANES = 256, 4096
-REFRESH = 16
+REFRESH = 32
 MIX_BITS, ID_BITS = 12, 18
 CONTEXT_BITS = 18
 #: Confidence runs from 0 to this; state = 2 confidences and whether they agree.

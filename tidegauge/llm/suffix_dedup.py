@@ -43,7 +43,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidegauge.llm.shared import bucketed, written
-from tidegauge.llm.text_batches import byte_view, pieces, plain_texts
+from tidegauge.llm.text_batches import byte_view, pieces, plain_texts, stretches
 
 LENGTH = 200
 GRAM = 32
@@ -218,14 +218,6 @@ def _contexts(length: int):
     return run
 
 
-def stretches(body: np.ndarray, start: np.ndarray, end: np.ndarray) -> pa.Array:
-    sizes = (end - start).astype(np.int64)
-    ends = np.cumsum(sizes)
-    at = np.arange(int(ends[-1]) if len(ends) else 0) - np.repeat(ends - sizes - start, sizes)
-    offsets = np.concatenate(([0], ends)).astype(np.int32)
-    return pa.Array.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer(offsets), pa.py_buffer(body[at])])
-
-
 def grid(column: pa.Array, width: int, backwards: bool) -> tuple[np.ndarray, np.ndarray]:
     """Strings as rows of bytes, left-aligned (or from their end on), and lengths."""
     body, offsets = byte_view(column.cast(pa.large_binary()))

@@ -107,13 +107,22 @@ class Ragged:
         )
 
 
+def stretches(body: np.ndarray, start: np.ndarray, end: np.ndarray) -> pa.Array:
+    """The bytes from each start to its end, as strings."""
+    sizes = (end - start).astype(np.int64)
+    ends = np.cumsum(sizes)
+    at = np.arange(int(ends[-1]) if len(ends) else 0) - np.repeat(ends - sizes - start, sizes)
+    offsets = np.concatenate(([0], ends)).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer(offsets), pa.py_buffer(body[at])])
+
+
 class KnownWords:
     """Ids of words already met, so that a worker encodes a common word once.
 
     Holds at most ``limit`` words; later ones are encoded whenever they come.
     """
 
-    def __init__(self, encode: Callable[[pa.Array], Ragged], limit: int = 800_000):
+    def __init__(self, encode: Callable[[pa.Array], Ragged], limit: int):
         self.encode, self.limit = encode, limit
         self.words = pa.array([], type=pa.large_binary())
         self.coded = Ragged(np.zeros(0, dtype=np.uint32), np.zeros(1, dtype=np.int64))
@@ -134,6 +143,6 @@ class KnownWords:
 _known: dict[str, KnownWords] = {}
 
 
-def known_words(name: str, encode: Callable[[pa.Array], Ragged]) -> KnownWords:
+def known_words(name: str, encode: Callable[[pa.Array], Ragged], limit: int = 800_000) -> KnownWords:
     """The worker's own store of this name; tasks that share a worker share it."""
-    return _known.setdefault(name, KnownWords(encode))
+    return _known.setdefault(name, KnownWords(encode, limit))

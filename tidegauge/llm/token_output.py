@@ -9,9 +9,10 @@ A block closes at the end of a document once it holds ``BLOCK_IDS`` ids. A
 document of more than ``CUT_IDS`` ids is cut into blocks of its own; its checksum
 is put together from the parts, each shifted by the ids that follow it.
 
-Each distinct word of a batch goes through the tokenizer library once: every rule
-of a word-level vocabulary (white space dropped) stays within a run of
-non-space characters, so a text's ids are those of its words in turn.
+Each distinct pre-token goes through the tokenizer library once: every rule of a
+word-level vocabulary (white space dropped) stays within a run of non-space
+characters, so a text's ids are those of its words in turn. Words of Latin letters
+and marks are cut into their pre-tokens first; all others go to the library whole.
 
 Edge cases: a null or empty text holds the end id alone. Null keys come first.
 Rows with equal keys are ordered by a hash of their text; equal rows keep both
@@ -25,6 +26,7 @@ import os
 import struct
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -32,33 +34,56 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidegauge.llm.bpe import encode_split
 from tidegauge.llm.range_coder import decode_block, encode_block
 from tidegauge.llm.shared import fresh_path
-from tidegauge.llm.text_batches import Ragged, known_words, pieces, plain_texts, words_of
+from tidegauge.llm.text_batches import Ragged, known_words, pieces, plain_texts, stretches, words_of
 
 BLOCK_IDS = 1 << 20
 CUT_IDS = 1 << 22
+#: Pre-tokens given to the library as one line.
+LINE = 64
+#: Text bytes handled at once, and pre-tokens kept per worker.
+BATCH, KEPT = 12 << 20, 1_000_000
 BLOCK_SCHEMA = "part int, block int, n_ids bigint, ids_before bigint, cut boolean, payload binary"
 DOCUMENT = struct.Struct("<?qqqq")
 
 
-def library_encoder(path: str):
-    """Ids of words by the tokenizer library."""
-    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-    from tokenizers import Tokenizer
+class LibraryEncoder:
+    """Ids of words by the tokenizer library, each distinct pre-token once."""
 
-    tokenizer = Tokenizer.from_file(path)
-    tokenizer.no_truncation()
-    tokenizer.no_padding()
+    def __init__(self, path: str):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+        from tokenizers import Tokenizer
 
-    def encode(words: pa.Array) -> Ragged:
-        found = tokenizer.encode_batch_fast(words.cast(pa.large_string()).to_pylist(), add_special_tokens=False)
-        ids = [e.ids for e in found]
-        ends = np.concatenate(([0], np.cumsum([len(i) for i in ids]))).astype(np.int64)
-        flat = np.fromiter((i for one in ids for i in one), dtype=np.uint32, count=ends[-1])
-        return Ragged(flat, ends)
+        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer.no_truncation()
+        self.tokenizer.no_padding()
+        self.known = known_words(f"library {path}", self.encode_distinct, KEPT)
 
-    return encode
+    def encode_distinct(self, parts: pa.Array) -> Ragged:
+        """Many pre-tokens to a call, apart by blanks; the library numbers them."""
+        spelled = parts.cast(pa.large_string())
+        lines = [" ".join(spelled[i : i + LINE].to_pylist()) for i in range(0, len(spelled), LINE)]
+        found = self.tokenizer.encode_batch(lines, add_special_tokens=False)
+        counts = np.array([len(e) for e in found], dtype=np.int64)
+        total = int(counts.sum())
+        flat = np.fromiter(chain.from_iterable(e.ids for e in found), dtype=np.uint32, count=total)
+        owner = np.fromiter(chain.from_iterable(e.word_ids for e in found), dtype=np.int64, count=total)
+        owner += np.repeat(np.arange(len(found)) * LINE, counts)
+        held = np.bincount(owner, minlength=len(spelled))
+        return Ragged(flat, np.concatenate(([0], np.cumsum(held))).astype(np.int64))
+
+    def encode_pieces(self, spelled: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> Ragged:
+        coded = stretches(spelled, starts, starts + lengths).dictionary_encode()
+        distinct = self.known.ids(coded.dictionary.cast(pa.large_binary()))
+        return distinct.take(coded.indices.to_numpy().astype(np.int64))
+
+    def encode_odd(self, words: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+
+    def encode_words(self, words: pa.Array) -> Ragged:
+        return encode_split(words, self.encode_pieces, self.encode_odd)
 
 
 def pack_block(documents: list[tuple], ids: np.ndarray) -> bytes:
@@ -83,7 +108,7 @@ def unpack_block(payload: bytes) -> tuple[list[tuple], np.ndarray]:
 
 def _write_blocks(path: str, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = known_words(f"library {path}", library_encoder(path))
+        library = LibraryEncoder(path)
         part, block, before = TaskContext.get().partitionId(), 0, 0
         documents: list[tuple] = []
         held: list[np.ndarray] = []
@@ -99,9 +124,9 @@ def _write_blocks(path: str, end_id: int):
             return pa.RecordBatch.from_pylist([row], schema=ARROW_BLOCK)
 
         for batch in batches:
-            for piece in pieces(batch, "__text"):
+            for piece in pieces(batch, "__text", BATCH):
                 words = words_of(plain_texts(piece.column("__text")))
-                coded = known.ids(words.vocabulary).take(words.codes)
+                coded = library.encode_words(words.vocabulary).take(words.codes)
                 bounds = coded.ends[words.bounds].tolist()
                 for key, i, j in zip(piece.column("__key").to_pylist(), bounds, bounds[1:], strict=False):
                     ids = np.append(coded.values[i:j], np.uint32(end_id))
