@@ -59,7 +59,7 @@ def test_flow_needs_room():
 def test_shards_are_even_whole_and_numbered(spark, sf_dir, documents):
     rows = QUERIES["op4_min_flow_shards"](spark, sf_dir).collect()
     texts = {r["doc_id"]: r["text"].encode() for r in documents.collect()}
-    assert Counter(r["doc_id"] for r in rows) == Counter(texts)
+    assert Counter(r["doc_id"] for r in rows) == Counter(list(texts))
     held = defaultdict(list)
     for r in rows:
         assert r["size"] == len(texts[r["doc_id"]]) + 1 and r["text_crc32"] == zlib.crc32(texts[r["doc_id"]])

@@ -198,10 +198,12 @@ def judge_urls(
         found = lexical(F.col("__url"), F.col("host"), F.col("path")) | {"suffix_block_rate": rate}
         return df.withColumns({f"__{name}": found[name] for name in FEATURES})
 
-    shares = [i / BINS for i in range(1, BINS)]
+    shares = [i / BINS for i in range(BINS + 1)]
     learned = featured(sample)
     quantiles = learned.agg(*[F.percentile_approx(f"__{n}", shares, 10_000).alias(n) for n in FEATURES]).first()
-    edges = [sorted(set(quantiles[n] or [])) for n in FEATURES]
+    # Cuts lie half-way between quantiles, so that new values fall to the nearer side.
+    held = [sorted(set(quantiles[n] or [])) for n in FEATURES]
+    edges = [[(a + b) / 2 for a, b in zip(values, values[1:], strict=False)] for values in held]
 
     def bin_of(name: str, cuts: Sequence[float]) -> Column:
         """How many cuts lie below the value."""
