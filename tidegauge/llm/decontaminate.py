@@ -39,8 +39,8 @@ Q, SEGMENT, STEP, EDIT_SHARE = 8, 96, 48, 0.1
 BAND = 16
 TABLE_BITS = 20
 SLICE_BYTES = 8 << 20
-#: Candidates aligned at once.
-ALIGNED = 4096
+#: Candidates aligned at once, and text bytes handled at once.
+ALIGNED, BATCH = 2048, 4 << 20
 
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x09, 0x0A, 0x0B, 0x0C, 0x0D, 0x20]] = True
@@ -284,7 +284,7 @@ def leaks(
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                for piece in pieces(batch, "__text"):
+                for piece in pieces(batch, "__text", BATCH):
                     rows = find_leaks(shared.value, plain_texts(piece.column("__text")))
                     if rows:
                         doc, item, start, end, edits = zip(*rows, strict=True)
@@ -313,7 +313,7 @@ def drop_leaked(docs: DataFrame, items: DataFrame, text: str = "text", item_key:
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 names = [f"c{i}" for i in range(batch.num_columns)]
-                for piece in pieces(pa.RecordBatch.from_arrays(batch.columns, names=names), f"c{place}"):
+                for piece in pieces(pa.RecordBatch.from_arrays(batch.columns, names=names), f"c{place}", BATCH):
                     clean = np.ones(piece.num_rows, dtype=bool)
                     clean[[r[0] for r in find_leaks(shared.value, plain_texts(piece.column(place)))]] = False
                     yield pa.RecordBatch.from_arrays(piece.filter(pa.array(clean)).columns, names=batch.schema.names)

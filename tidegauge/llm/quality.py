@@ -31,6 +31,8 @@ from tidegauge.llm.text_batches import Words, byte_view, pieces, plain_texts, wo
 #: The fit's bounds: rows of either class, and bytes of one text.
 TRAIN_ROWS, TRAIN_BYTES = 1_000, 1 << 14
 SLOTS = 1 << 18
+#: Text bytes handled at once.
+BATCH = 4 << 20
 THRESHOLD = 0.5
 MIN_WORDS, MAX_REPEATED_PERCENT = 50, 50
 SYMBOLS = b"#*$%&|<>"
@@ -255,7 +257,7 @@ def judge_quality(docs: DataFrame, model: QualityModel | None, key: str = "doc_i
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for piece in pieces(batch, "__text"):
+            for piece in pieces(batch, "__text", BATCH):
                 counts, chance, kept = verdicts(plain_texts(piece.column("__text")), shared.value)
                 numbers = [pa.array(getattr(counts, n), pa.int64()) for n in names]
                 rest = [pa.array(counts.failed), pa.array(kept), pa.array(chance, pa.float64())]
@@ -277,7 +279,7 @@ def keep_good(docs: DataFrame, model: QualityModel | None, text: str = "text") -
         for batch in batches:
             names = [f"c{i}" for i in range(batch.num_columns)]
             plain = pa.RecordBatch.from_arrays(batch.columns, names=names)
-            for piece in pieces(plain, f"c{place}"):
+            for piece in pieces(plain, f"c{place}", BATCH):
                 kept = verdicts(plain_texts(piece.column(place)), shared.value)[2]
                 out = piece.filter(pa.array(kept))
                 yield pa.RecordBatch.from_arrays(out.columns, names=batch.schema.names)
