@@ -164,12 +164,14 @@ def signed(docs: DataFrame, text: str = "text") -> DataFrame:
 
 
 def buckets(table: DataFrame) -> DataFrame:
-    """(bucket, chunks, node, row): members of buckets with two nodes or more."""
+    """(band, node, chunks): members of buckets with two nodes or more. A node is
+    named by its first row."""
     nodes = table.groupBy("__node").agg(F.min("__row").alias("__row"), F.min("__bands").alias("__bands"))
-    members = nodes.select("__node", "__row", F.explode("__bands").alias("__band"))
-    mixed = F.xxhash64("__node")
+    members = nodes.select("__row", F.explode("__bands").alias("__band"))
     sets = members.groupBy("__band").agg(
-        F.count(F.lit(1)).alias("n"), F.bit_xor(mixed).alias("x"), F.bit_xor(F.xxhash64("__node", F.lit(1))).alias("y")
+        F.count(F.lit(1)).alias("n"),
+        F.bit_xor(F.xxhash64("__row")).alias("x"),
+        F.bit_xor(F.xxhash64("__row", F.lit(1))).alias("y"),
     )
     kept = (
         sets.filter("n > 1")
@@ -183,7 +185,7 @@ def buckets(table: DataFrame) -> DataFrame:
 def dealt(members: DataFrame) -> DataFrame:
     """One row per member and pair of chunks it belongs to; one pair where a bucket
     is one chunk."""
-    chunk = F.pmod(F.xxhash64("__node", F.lit(2)), F.col("__chunks")).cast("int")
+    chunk = F.pmod(F.xxhash64("__row", F.lit(2)), F.col("__chunks")).cast("int")
     others = F.sequence(F.lit(0), F.col("__chunks") - 1)
     paired = members.withColumn("__chunk", chunk).withColumn("__other", F.explode(others))
     return paired.withColumns(
@@ -225,28 +227,28 @@ def linked(sets: list[np.ndarray]) -> list[tuple[int, int]]:
 
 
 def _links(frame: pd.DataFrame) -> pd.DataFrame:
-    frame = frame.drop_duplicates("__node").sort_values("__node")
+    frame = frame.drop_duplicates("__row").sort_values("__row")
     text, hashes, counts = multisets(*shingles(words_of(plain_texts(pa.array(frame["__text"], pa.string())))))
     copies = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
     # The k-th copy of a shingle is an element of its own: overlap of plain sets.
     elements = mix(np.repeat(hashes, counts) + copies.astype(np.uint64) * _U(0xD1B54A32D192ED03))
     ends = np.searchsorted(np.repeat(text, counts), np.arange(len(frame)), side="right")
-    names = frame["__node"].to_numpy()
+    names = frame["__row"].to_numpy()
     stars = linked(np.split(elements, ends[:-1]))
-    return pd.DataFrame([(names[a], names[b]) for a, b in stars], columns=["u", "v"])
+    return pd.DataFrame([(names[a], names[b]) for a, b in stars], columns=["u", "v"], dtype="int64")
 
 
 def links(table: DataFrame, text: str = "text") -> DataFrame:
     """(u, v): verified links between nodes, a star per cluster and bucket."""
     members = dealt(buckets(table))
     texts = table.select("__row", F.col(text).alias("__text"))
-    held = members.select("__node", "__row", "__band", "__low", "__high").join(texts, "__row")
-    found = held.groupBy("__band", "__low", "__high").applyInPandas(_links, "u string, v string")
+    held = members.select("__row", "__band", "__low", "__high").join(texts, "__row")
+    found = held.groupBy("__band", "__low", "__high").applyInPandas(_links, "u bigint, v bigint")
     return found.distinct()
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """(node, label): the smallest node of each linked node's component."""
+    """(first, label): the smallest node of each linked node's component."""
     current, before = written(edges.select("u", "v"), "near-edges"), None
     for _ in range(MAX_ROUNDS):
         state = current.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
@@ -264,14 +266,15 @@ def components(edges: DataFrame) -> DataFrame:
         current = written(small.filter("u <> v").distinct(), "near-edges")
     else:
         raise RuntimeError("components did not settle")
-    return current.select(F.col("u").alias("__node"), F.col("v").alias("__label"))
+    return current.select(F.col("u").alias("__first"), F.col("v").alias("__label"))
 
 
 def classed(table: DataFrame, text: str = "text") -> DataFrame:
     """The rows of :func:`signed` with the label of their class."""
     labels = components(links(table, text))
-    joined = table.join(labels, "__node", "left")
-    return joined.withColumn("__label", F.coalesce("__label", "__node"))
+    nodes = table.groupBy("__node").agg(F.min("__row").alias("__first"))
+    named = nodes.join(labels, "__first", "left").select("__node", F.coalesce("__label", "__first").alias("__label"))
+    return table.join(named, "__node")
 
 
 def near_classes(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
