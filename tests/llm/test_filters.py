@@ -174,6 +174,51 @@ def test_leaks_equal_brute_force(spark):
     assert len(exact) == 2 and all(texts[804][r["start"] : r["end"]] == passages[3] for r in exact)
 
 
+def edits_of_any_segment(item: bytes, texts: list[bytes], size: int) -> np.ndarray:
+    """For each text, the least edits of ``size`` bytes of the item, from any byte on, to a stretch of it."""
+    own = np.frombuffer(item, np.uint8).astype(np.int16)
+    segments = np.stack([own[at : at + size] for at in range(len(own) - size + 1)])
+    column = np.arange(max(map(len, texts)) + 1)
+    body = np.full((len(texts), 1, len(column) - 1), -1, dtype=np.int16)
+    for i, t in enumerate(texts):
+        body[i, 0, : len(t)] = np.frombuffer(t, np.uint8)
+    row = np.zeros((len(texts), len(segments), len(column)), dtype=np.int16)
+    for j in range(size):
+        new = row + 1
+        new[:, :, 1:] = np.minimum(new[:, :, 1:], row[:, :, :-1] + (body != segments[None, :, j, None]))
+        row = (np.minimum.accumulate(new - column, axis=2) + column).astype(np.int16)
+    return row.min(axis=(1, 2))
+
+
+def test_quotes_from_anywhere_in_an_item(spark):
+    rng = random.Random(8)
+    items = [(0, prose(40, 50)), (1, " ".join([prose(41, 5)] * 9)), (2, prose(42, 12) + " " + "ab " * 50 + prose(43, 9))]
+    docs, quotes = [], []
+    for item, passage in items:
+        for size in (87, 92, 96, 100, 104, 110, 116, 124):
+            for edits in (0, 0, 0, 4, 9, 10):
+                at = rng.randrange(len(passage) - size + 1)
+                letters = list(passage[at : at + size])
+                for place in rng.sample(range(size), edits):
+                    letters[place] = rng.choice(["", "q", letters[place] + "x"])
+                if not edits and size >= decontaminate.SEGMENT:
+                    quotes.append((len(docs), item))
+                docs.append((len(docs), f"{prose(700 + len(docs), 9)} {''.join(letters)} {prose(900 + len(docs), 9)}"))
+    got = decontaminate.leaks(
+        spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame(items, "item_id bigint, text string")
+    ).collect()
+    texts = [" ".join(text.split()).encode() for _, text in docs]
+    few = edits_of_any_segment(items[0][1].encode()[:99], texts[:2], 96)
+    each = [items[0][1].encode()[at : at + 96] for at in range(4)]
+    assert few.tolist() == [min(edit_distance_within(s, t) for s in each) for t in texts[:2]]
+    expected = set()
+    for item, passage in items:
+        edits = edits_of_any_segment(" ".join(passage.split()).encode(), texts, 96)
+        expected |= {(doc, item) for doc in np.flatnonzero(edits <= 9).tolist()}
+    assert set(quotes) <= expected and len(expected) < len(docs)
+    assert {(r["doc_id"], r["item_id"]) for r in got} == expected
+
+
 def test_leaks_in_slices_and_odd_tables(spark, documents, clashing, no_rows, sf_dir, monkeypatch):
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     whole = sorted(map(tuple, decontaminate.leaks(documents, items).collect()))

@@ -1,16 +1,20 @@
 """Benchmark passages in documents, by the q-gram lemma and banded alignment.
 
 Texts are compared in lower case (ASCII and Latin-1 letters) with each run of
-white space as one blank. A benchmark item is searched as overlapping segments of
-``SEGMENT`` bytes, so a passage that holds part of an item is found as well. A
-segment of w bytes within e edits shares at least w + 1 - q (e + 1) of its q-grams
-with the text, all near one diagonal (text position less segment position):
+white space as one blank. A benchmark item is searched as segments of ``SEGMENT``
+bytes, one from each of its bytes on, so a passage that holds any such part of an
+item is found as well. A segment of w bytes within e edits shares at least
+w + 1 - q (e + 1) of its q-grams with the text, all near one diagonal (text
+position less item position):
 
 1. Every position's q-gram is looked up among the benchmark's. Positions with too
    few hits around them for any segment are passed over.
-2. The hits left are counted per segment in overlapping bands of diagonals, each
-   as wide as ``BAND`` plus the edit budget, so that a match lies in one whole.
-3. Bands that meet the lemma's bound are verified by an alignment within the band.
+2. The hits left are dealt per item to overlapping bands of diagonals, each as wide
+   as ``BAND`` plus the edit budget, so that a match lies in one whole. In a band
+   sorted by item position, runs of as many hits as the lemma asks for give the
+   starts of all segments that meet its bound.
+3. Segments found whole, as unbroken runs of hits on one diagonal, are taken as they
+   are; the others are verified by an alignment within the band.
 
 Nothing is shuffled: documents are read once per slice of the benchmark. A slice
 has at most about ``SLICE_BYTES`` of item text, and its index goes to the tasks;
@@ -25,7 +29,7 @@ result. Only keys and texts are read, so other columns cannot clash.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -35,11 +39,12 @@ from pyspark.sql import functions as F
 
 from tidegauge.llm.text_batches import byte_view, pieces, plain_texts
 
-Q, SEGMENT, STEP, EDIT_SHARE = 8, 96, 48, 0.1
+#: A segment starts every STEP bytes: at each.
+Q, SEGMENT, STEP, EDIT_SHARE = 8, 96, 1, 0.1
 BAND = 16
 TABLE_BITS = 20
 SLICE_BYTES = 8 << 20
-#: Candidates aligned at once, and text bytes handled at once.
+#: Segments aligned at once, and text bytes handled at once.
 ALIGNED, BATCH = 2048, 4 << 20
 
 _SPACE = np.zeros(256, dtype=bool)
@@ -89,16 +94,18 @@ def bucket(codes: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Index:
-    """Segments of a benchmark slice and where their q-grams occur."""
+    """Items of a benchmark slice and where their q-grams occur. An item has a
+    number among those searched; ``size`` is that of its segments."""
 
     items: list
     item: np.ndarray
     body: np.ndarray
     start: np.ndarray
+    length: np.ndarray
     size: np.ndarray
     codes: np.ndarray
     first: np.ndarray
-    segment: np.ndarray
+    number: np.ndarray
     place: np.ndarray
     table: np.ndarray
 
@@ -106,29 +113,21 @@ class Index:
 def build_index(items: list[tuple]) -> Index | None:
     texts = plain_texts(pa.array([t for _, t in items], type=pa.string()))
     body, _, offsets = plain(*byte_view(texts))
-    item, start, size = [], [], []
-    for i, (a, b) in enumerate(zip(offsets.tolist(), offsets[1:].tolist(), strict=False)):
-        if b - a < Q:
-            continue
-        last = max(a, b - SEGMENT)
-        for at in sorted({*range(a, last, STEP), last}):
-            item.append(i)
-            start.append(at)
-            size.append(min(SEGMENT, b - at))
-    if not item:
+    item = np.flatnonzero(np.diff(offsets) >= Q)
+    if not len(item):
         return None
-    item, start, size = np.array(item), np.array(start), np.array(size)
-    counts = size - Q + 1
-    segment = np.repeat(np.arange(len(item)), counts)
+    start, length = offsets[item], np.diff(offsets)[item]
+    counts = length - Q + 1
+    number = np.repeat(np.arange(len(item)), counts)
     place = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
-    codes = grams(body)[start[segment] + place]
+    codes = grams(body)[start[number] + place]
     order = np.argsort(codes, kind="stable")
     distinct, first = np.unique(codes[order], return_index=True)
     table = np.zeros(1 << TABLE_BITS, dtype=bool)
     table[bucket(distinct)] = True
     return Index(
-        [k for k, _ in items], item, body, start, size, distinct, np.append(first, len(codes)),
-        segment[order], place[order], table,
+        [k for k, _ in items], item, body, start, length, np.minimum(length, SEGMENT), distinct,
+        np.append(first, len(codes)), number[order], place[order], table,
     )
 
 
@@ -163,71 +162,131 @@ def dense_hits(index: Index, body: np.ndarray, offsets: np.ndarray) -> tuple[np.
     return hits[enough], at[enough]
 
 
-def banded(index: Index, hits: np.ndarray, at: np.ndarray, texts: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """(text, segment, first diagonal of the band, shared q-grams) of each band
-    that meets the lemma's bound. Diagonals count from the text's start."""
-    counts = index.first[at + 1] - index.first[at]
-    which = np.repeat(np.arange(len(hits)), counts)
-    entry = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts) + index.first[at][which]
-    segment, text = index.segment[entry], texts[which]
-    diagonal = hits[which] - offsets[text] - index.place[entry] + SEGMENT
+def per_size(index: Index, rule: Callable[[int], int]) -> np.ndarray:
+    """The rule's value for the segment size of each item."""
+    return np.array([rule(s) for s in range(SEGMENT + 1)])[index.size]
+
+
+def spread(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(i, 0), (i, 1), ... as often as counts[i] says, for each i."""
+    owner = np.repeat(np.arange(len(counts)), counts)
+    return owner, np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+
+
+def candidates(
+    index: Index, hits: np.ndarray, at: np.ndarray, texts: np.ndarray, offsets: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
+    """(text, item number, first diagonal of the band, start in the item) of each
+    segment that meets the lemma's bound and is not found whole, and the stretches
+    of segments found whole as rows of :func:`align`. Diagonals count from the
+    text's start."""
+    which, entry = spread(index.first[at + 1] - index.first[at])
+    entry += index.first[at][which]
+    number, text, place = index.number[entry], texts[which], index.place[entry]
+    need, spare, reach = per_size(index, least_shared), per_size(index, budget), index.size - Q + 1
+    longest = int(index.length.max())
+    diagonal = hits[which] - offsets[text] - place + longest
     band = diagonal // BAND
-    spare = np.array([budget(s) for s in index.size.tolist()])
-    before = np.flatnonzero(diagonal % BAND < spare[segment])
-    key = np.concatenate([band, band[before] - 1])
-    text, segment = np.concatenate([text, text[before]]), np.concatenate([segment, segment[before]])
-    width = int(key.max(initial=0)) + 2
-    joint = (text * len(index.size) + segment) * width + key + 1
-    distinct, shared = np.unique(joint, return_counts=True)
-    owner, key = distinct // width, distinct % width - 1
-    text, segment = owner // len(index.size), owner % len(index.size)
-    need = np.array([least_shared(s) for s in index.size.tolist()])
-    good = shared >= need[segment]
-    return np.stack([text, segment, key * BAND - SEGMENT, shared], axis=1)[good]
-
-
-def align(index: Index, bands: np.ndarray, body: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """(text, segment, start, end, edits) of the bands within their edit budget;
-    start and end are positions in ``body``."""
-    if not len(bands):
+    before = np.flatnonzero(diagonal % BAND < spare[number])
+    hit = np.concatenate([np.arange(len(entry)), before])
+    key = np.concatenate([band, band[before] - 1]) + 1
+    width = int(key.max(initial=0)) + 1
+    joint = (text * len(index.size) + number)[hit] * width + key
+    bands, code, shared = np.unique(joint, return_inverse=True, return_counts=True)
+    full = shared[code] >= need[number[hit]]
+    hit, code = hit[full], code[full]
+    order = np.lexsort((place[hit], code))
+    hit, code = hit[order], code[order]
+    # A q-gram of the item counts once, however often the band's text has it.
+    new = np.ones(len(hit), dtype=bool)
+    new[1:] = (code[1:] != code[:-1]) | (place[hit[1:]] != place[hit[:-1]])
+    near, code = hit[new], code[new]
+    own, spot = number[near], place[near]
+    # Runs of ``need`` hits that fit in a segment, and the starts of such segments.
+    last = np.arange(len(near)) + need[own] - 1
+    last[last >= len(near)] = -1
+    run = np.flatnonzero((last >= 0) & (code[last] == code) & (spot[last] - spot < reach[own]))
+    own, code_of = own[run], code[run]
+    low = np.maximum(spot[last[run]] - reach[own] + 1, 0)
+    high = np.minimum(spot[run], (index.length - index.size)[own])
+    # Neither bound falls within a band: starts of the run before are left out.
+    again = np.flatnonzero(code_of[1:] == code_of[:-1]) + 1
+    low[again] = np.maximum(low[again], high[again - 1] + 1)
+    which, step = spread(np.maximum(high - low + 1, 0))
+    code_of, start = code_of[which], low[which] + step
+
+    # Unbroken runs on one diagonal, as long as a segment.
+    hit = np.unique(hit)
+    pair = text[hit] * len(index.size) + number[hit]
+    hit = hit[np.lexsort((place[hit], diagonal[hit], pair))]
+    broken = np.ones(len(hit) + 1, dtype=bool)
+    broken[1:-1] = (
+        (text[hit[1:]] != text[hit[:-1]]) | (number[hit[1:]] != number[hit[:-1]])
+        | (diagonal[hit[1:]] != diagonal[hit[:-1]]) | (place[hit[1:]] != place[hit[:-1]] + 1)
+    )
+    edges = np.flatnonzero(broken)
+    long = np.flatnonzero(np.diff(edges) >= reach[number[hit[edges[:-1]]]])
+    first, sizes = hit[edges[long]], np.diff(edges)[long]
+    begin = offsets[text[first]] + diagonal[first] - longest + place[first]
+    whole = np.stack([text[first], number[first], begin, begin + sizes + Q - 1, np.zeros_like(begin)], axis=1)
+    which, step = spread(sizes - reach[number[first]] + 1)
+    first = first[which]
+    joint = (text[first] * len(index.size) + number[first]) * width + band[first] + 1
+    starts = place[first] + step
+    early = diagonal[first] % BAND < spare[number[first]]
+    known = np.concatenate([joint, joint[early] - 1]), np.concatenate([starts, starts[early]])
+    rest = np.isin(code_of * longest + start, np.searchsorted(bands, known[0]) * longest + known[1], invert=True)
+
+    joint, start = bands[code_of[rest]], start[rest]
+    owner, key = joint // width, joint % width - 1
+    parts = [owner // len(index.size), owner % len(index.size), key * BAND - longest, start]
+    return np.stack(parts, axis=1), whole
+
+
+def align(index: Index, segments: np.ndarray, body: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """(text, item number, start, end, edits) of the segments within their edit
+    budget; start and end are positions in ``body``."""
+    if not len(segments):
         return np.zeros((0, 5), dtype=np.int64)
     most = budget(SEGMENT)
     width = BAND + 3 * most + 1
-    text, segment = bands[:, 0], bands[:, 1]
-    origin = offsets[text] + bands[:, 2] - most
+    text, number, diagonal, at = segments.T
+    origin = offsets[text] + diagonal + at - most
     low, high = offsets[text], offsets[text + 1]
-    padded = np.append(body, np.uint8(0))
-    scale, k = 1 << 10, np.arange(width)
-    cost = np.broadcast_to(k, (len(bands), width)).astype(np.int64).copy()
-    size = index.size[segment]
-    best = np.full((len(bands), 2), 1 << 40)
+    # A column per segment: the text along its band, nothing outside the text.
+    where = origin + np.arange(width + SEGMENT)[:, None]
+    near = np.full(where.shape, -1, dtype=np.int16)
+    inside = (where >= low) & (where < high)
+    near[inside] = body[where[inside]]
+    spot = index.start[number] + at + np.arange(SEGMENT)[:, None]
+    wanted = index.body[np.minimum(spot, len(index.body) - 1)].astype(np.int16)
+    scale, k = np.int32(1 << 10), np.arange(width, dtype=np.int32)[:, None]
+    cost = np.repeat(k, len(segments), axis=1)
+    size = index.size[number]
+    best = np.full((len(segments), 2), 1 << 40)
     for j in range(SEGMENT + 1):
-        # Extra text bytes move along a row.
-        cost = np.minimum.accumulate(cost - k * scale, axis=1) + k * scale
-        done = size == j
-        if done.any():
-            last = cost[done].argmin(axis=1)
-            best[done, 0], best[done, 1] = cost[done, last], last
-        if j == SEGMENT or done.all():
+        # Extra text bytes move along a column.
+        cost = np.minimum.accumulate(cost - k * scale, axis=0) + k * scale
+        done = np.flatnonzero(size == j)
+        if len(done):
+            last = cost[:, done].argmin(axis=0)
+            best[done, 0], best[done, 1] = cost[last, done], last
+        if j == SEGMENT:
             break
-        where = origin[:, None] + k + j
-        inside = (where >= low[:, None]) & (where < high[:, None])
-        seen = padded[np.where(inside, where, len(body))]
-        wanted = index.body[np.minimum(index.start[segment] + j, len(index.body) - 1)][:, None]
-        step = cost + (seen != wanted) * scale
+        step = cost + (near[j : j + width] != wanted[j]) * scale
         # A segment byte that the text lacks.
-        step[:, :-1] = np.minimum(step[:, :-1], cost[:, 1:] + scale)
+        step[:-1] = np.minimum(step[:-1], cost[1:] + scale)
         cost = step
     edits, first, last = best[:, 0] // scale, best[:, 0] % scale, best[:, 1]
     start = np.clip(origin + first, low, high)
     end = np.clip(origin + last + size, low, high)
-    good = (edits <= np.array([budget(s) for s in size.tolist()])) & (end > start)
-    return np.stack([text, segment, start, end, edits], axis=1)[good]
+    good = (edits <= per_size(index, budget)[number]) & (end > start)
+    return np.stack([text, number, start, end, edits], axis=1)[good]
 
 
 def merged(index: Index, found: np.ndarray) -> list[tuple[int, int, int, int, int]]:
     """(text, item, start, end, fewest edits of a segment): one row per stretch."""
-    rows = sorted((t, int(index.item[s]), a, b, e) for t, s, a, b, e in found.tolist())
+    rows = sorted((t, int(index.item[i]), a, b, e) for t, i, a, b, e in found.tolist())
     out: list[list[int]] = []
     for t, i, a, b, e in rows:
         if out and out[-1][:2] == [t, i] and a <= out[-1][3]:
@@ -245,9 +304,9 @@ def find_leaks(index: Index, texts: pa.Array) -> list[tuple[int, int, int, int,
     if not len(hits):
         return []
     owner = np.searchsorted(offsets, hits, side="right") - 1
-    bands = banded(index, hits, at, owner, offsets)
-    found = [align(index, bands[i : i + ALIGNED], body, offsets) for i in range(0, len(bands), ALIGNED)]
-    rows = merged(index, np.concatenate(found)) if found else []
+    segments, whole = candidates(index, hits, at, owner, offsets)
+    found = [align(index, segments[i : i + ALIGNED], body, offsets) for i in range(0, len(segments), ALIGNED)]
+    rows = merged(index, np.concatenate([whole, *found]))
     if not rows:
         return []
     characters = np.concatenate(([0], np.cumsum((raw & 0xC0) != 0x80)))
