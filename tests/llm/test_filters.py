@@ -219,6 +219,34 @@ def test_quotes_from_anywhere_in_an_item(spark):
     assert {(r["doc_id"], r["item_id"]) for r in got} == expected
 
 
+def test_short_items_with_edits(spark, monkeypatch):
+    items = [(n, prose(300 + n, 20)[: n - 1] + "y") for n in range(8, 42)]
+    docs = []
+    for n, passage in items:
+        e = decontaminate.budget(n)
+        for edits in (e, e + 1):
+            # Evenly spread, so that the pieces between them are as short as can be.
+            letters = list(passage)
+            for i in range(edits):
+                at = (i + 1) * n // (edits + 1)
+                letters[at] = ("#", "", letters[at] + "#")[i % 3]
+            docs.append((len(docs), f"{prose(400 + len(docs), 6)} {''.join(letters)} {prose(500 + len(docs), 6)}"))
+    tables = [
+        spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame(items, "item_id bigint, text string")
+    ]
+    got = sorted(map(tuple, decontaminate.leaks(*tables).collect()))
+    expected = brute_leaks(docs, items)
+    assert {(2 * (n - 8), n) for n, _ in items} <= expected
+    assert {r[:2] for r in got} == expected
+    assert {r["doc_id"] for r in decontaminate.drop_leaked(*tables).collect()} == {d for d, _ in docs} - {d for d, _ in expected}
+    # In smaller parts the same.
+    index = decontaminate.build_index(items, decontaminate.SHORT_Q)
+    texts = plain_texts(pa.array([t for _, t in docs]))
+    whole = decontaminate.find_leaks(index, texts)
+    monkeypatch.setattr(decontaminate, "PAIRS", 3)
+    assert decontaminate.find_leaks(index, texts) == whole and whole
+
+
 def test_leaks_in_slices_and_odd_tables(spark, documents, clashing, no_rows, sf_dir, monkeypatch):
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     whole = sorted(map(tuple, decontaminate.leaks(documents, items).collect()))

@@ -16,6 +16,9 @@ position less item position):
 3. Segments found whole, as unbroken runs of hits on one diagonal, are taken as they
    are; the others are verified by an alignment within the band.
 
+For items of 10-15, 20-23 and 30-31 bytes the lemma asks for no 8-gram at all; they
+have an index of their own, of 5-grams, of which it asks for at least one.
+
 Nothing is shuffled: documents are read once per slice of the benchmark. A slice
 has at most about ``SLICE_BYTES`` of item text, and its index goes to the tasks;
 larger benchmarks take more slices, with the same result.
@@ -40,12 +43,15 @@ from pyspark.sql import functions as F
 from tidegauge.llm.text_batches import byte_view, pieces, plain_texts
 
 #: A segment starts every STEP bytes: at each.
-Q, SEGMENT, STEP, EDIT_SHARE = 8, 96, 1, 0.1
+Q, SHORT_Q, SEGMENT, STEP, EDIT_SHARE = 8, 5, 96, 1, 0.1
 BAND = 16
 TABLE_BITS = 20
 SLICE_BYTES = 8 << 20
 #: Segments aligned at once, and text bytes handled at once.
 ALIGNED, BATCH = 2048, 4 << 20
+#: Pairs of a hit and its place in an item handled at once; those of a single text
+#: that has more are handled alone.
+PAIRS = 2 << 20
 
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x09, 0x0A, 0x0B, 0x0C, 0x0D, 0x20]] = True
@@ -55,9 +61,14 @@ def budget(size: int) -> int:
     return int(size * EDIT_SHARE)
 
 
-def least_shared(size: int) -> int:
-    """The q-gram lemma's bound, and at least one q-gram."""
-    return max(1, size + 1 - Q * (budget(size) + 1))
+def least_shared(size: int, q: int) -> int:
+    """The q-gram lemma's bound."""
+    return size + 1 - q * (budget(size) + 1)
+
+
+def gram_size(size: int) -> int:
+    """The q for segments of this size: the bound is at least 1."""
+    return Q if least_shared(size, Q) >= 1 else SHORT_Q
 
 
 def plain(body: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -77,15 +88,17 @@ def plain(body: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return lower[kept], kept, np.searchsorted(kept, offsets)
 
 
-def grams(body: np.ndarray) -> np.ndarray:
-    """The Q = 8 bytes from each position on, as one number."""
-    if len(body) < Q:
+def grams(body: np.ndarray, q: int) -> np.ndarray:
+    """The q bytes from each position on, at most Q = 8, as one number."""
+    if len(body) < q:
         return np.zeros(0, dtype=np.uint64)
+    if q < Q:
+        body = np.append(body, np.zeros(Q - q, dtype=np.uint8))
     out = np.empty(len(body) - Q + 1, dtype=np.uint64)
     for shift in range(Q):
         count = (len(body) - shift) // Q
         out[shift::Q] = np.frombuffer(body[shift : shift + count * Q].tobytes(), dtype="<u8")
-    return out
+    return out & np.uint64((1 << 8 * q) - 1)
 
 
 def bucket(codes: np.ndarray) -> np.ndarray:
@@ -94,9 +107,10 @@ def bucket(codes: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Index:
-    """Items of a benchmark slice and where their q-grams occur. An item has a
-    number among those searched; ``size`` is that of its segments."""
+    """Items of a benchmark slice that are searched by this q, and where their
+    q-grams occur. An item has a number among them; ``size`` is that of its segments."""
 
+    q: int
     items: list
     item: np.ndarray
     body: np.ndarray
@@ -110,23 +124,25 @@ class Index:
     table: np.ndarray
 
 
-def build_index(items: list[tuple]) -> Index | None:
+def build_index(items: list[tuple], q: int = Q) -> Index | None:
     texts = plain_texts(pa.array([t for _, t in items], type=pa.string()))
     body, _, offsets = plain(*byte_view(texts))
-    item = np.flatnonzero(np.diff(offsets) >= Q)
+    length = np.diff(offsets)
+    fit = np.array([s >= Q and gram_size(s) == q for s in range(SEGMENT + 1)])
+    item = np.flatnonzero(fit[np.minimum(length, SEGMENT)])
     if not len(item):
         return None
-    start, length = offsets[item], np.diff(offsets)[item]
-    counts = length - Q + 1
+    start, length = offsets[item], length[item]
+    counts = length - q + 1
     number = np.repeat(np.arange(len(item)), counts)
     place = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
-    codes = grams(body)[start[number] + place]
+    codes = grams(body, q)[start[number] + place]
     order = np.argsort(codes, kind="stable")
     distinct, first = np.unique(codes[order], return_index=True)
     table = np.zeros(1 << TABLE_BITS, dtype=bool)
     table[bucket(distinct)] = True
     return Index(
-        [k for k, _ in items], item, body, start, length, np.minimum(length, SEGMENT), distinct,
+        q, [k for k, _ in items], item, body, start, length, np.minimum(length, SEGMENT), distinct,
         np.append(first, len(codes)), number[order], place[order], table,
     )
 
@@ -134,11 +150,11 @@ def build_index(items: list[tuple]) -> Index | None:
 def dense_hits(index: Index, body: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Positions of benchmark q-grams with enough of them around, and the q-grams'
     numbers in the index."""
-    codes = grams(body)
+    codes = grams(body, index.q)
     likely = np.flatnonzero(index.table[bucket(codes)])
     # A q-gram that leaves its text is none.
     end = offsets[np.searchsorted(offsets, likely, side="right")]
-    likely = likely[likely + Q <= end]
+    likely = likely[likely + index.q <= end]
     at = np.minimum(np.searchsorted(index.codes, codes[likely]), len(index.codes) - 1)
     true = index.codes[at] == codes[likely]
     hits, at = likely[true], at[true]
@@ -147,7 +163,7 @@ def dense_hits(index: Index, body: np.ndarray, offsets: np.ndarray) -> tuple[np.
     sizes = np.unique(index.size)
     enough = np.zeros(len(hits), dtype=bool)
     for size in sizes.tolist():
-        need, reach = least_shared(size), size - Q + budget(size) + 1
+        need, reach = least_shared(size, index.q), size - index.q + budget(size) + 1
         if need <= 1:
             enough[:] = True
             break
@@ -183,7 +199,8 @@ def candidates(
     which, entry = spread(index.first[at + 1] - index.first[at])
     entry += index.first[at][which]
     number, text, place = index.number[entry], texts[which], index.place[entry]
-    need, spare, reach = per_size(index, least_shared), per_size(index, budget), index.size - Q + 1
+    need, spare = per_size(index, lambda size: least_shared(size, index.q)), per_size(index, budget)
+    reach = index.size - index.q + 1
     longest = int(index.length.max())
     diagonal = hits[which] - offsets[text] - place + longest
     band = diagonal // BAND
@@ -228,7 +245,7 @@ def candidates(
     long = np.flatnonzero(np.diff(edges) >= reach[number[hit[edges[:-1]]]])
     first, sizes = hit[edges[long]], np.diff(edges)[long]
     begin = offsets[text[first]] + diagonal[first] - longest + place[first]
-    whole = np.stack([text[first], number[first], begin, begin + sizes + Q - 1, np.zeros_like(begin)], axis=1)
+    whole = np.stack([text[first], number[first], begin, begin + sizes + index.q - 1, np.zeros_like(begin)], axis=1)
     which, step = spread(sizes - reach[number[first]] + 1)
     first = first[which]
     joint = (text[first] * len(index.size) + number[first]) * width + band[first] + 1
@@ -264,14 +281,14 @@ def align(index: Index, segments: np.ndarray, body: np.ndarray, offsets: np.ndar
     cost = np.repeat(k, len(segments), axis=1)
     size = index.size[number]
     best = np.full((len(segments), 2), 1 << 40)
-    for j in range(SEGMENT + 1):
+    for j in range(int(size.max()) + 1):
         # Extra text bytes move along a column.
         cost = np.minimum.accumulate(cost - k * scale, axis=0) + k * scale
         done = np.flatnonzero(size == j)
         if len(done):
             last = cost[:, done].argmin(axis=0)
             best[done, 0], best[done, 1] = cost[last, done], last
-        if j == SEGMENT:
+        if j == size.max():
             break
         step = cost + (near[j : j + width] != wanted[j]) * scale
         # A segment byte that the text lacks.
@@ -296,6 +313,20 @@ def merged(index: Index, found: np.ndarray) -> list[tuple[int, int, int, int, in
     return [tuple(r) for r in out]
 
 
+def dealt(index: Index, at: np.ndarray, owner: np.ndarray) -> Iterator[slice]:
+    """Slices of the hits, each of whole texts, with at most PAIRS pairs or one text."""
+    ends = np.cumsum(index.first[at + 1] - index.first[at])
+    start = 0
+    while start < len(at):
+        stop = int(np.searchsorted(ends, (ends[start - 1] if start else 0) + PAIRS, side="right"))
+        if stop < len(at):
+            stop = int(np.searchsorted(owner, owner[stop]))
+        if stop <= start:
+            stop = int(np.searchsorted(owner, owner[start], side="right"))
+        yield slice(start, stop)
+        start = stop
+
+
 def find_leaks(index: Index, texts: pa.Array) -> list[tuple[int, int, int, int, int]]:
     """(text, item, start, end, edits): start and end in characters of the text."""
     raw, raw_offsets = byte_view(texts)
@@ -304,9 +335,12 @@ def find_leaks(index: Index, texts: pa.Array) -> list[tuple[int, int, int, int,
     if not len(hits):
         return []
     owner = np.searchsorted(offsets, hits, side="right") - 1
-    segments, whole = candidates(index, hits, at, owner, offsets)
-    found = [align(index, segments[i : i + ALIGNED], body, offsets) for i in range(0, len(segments), ALIGNED)]
-    rows = merged(index, np.concatenate([whole, *found]))
+    found = []
+    for own in dealt(index, at, owner):
+        segments, whole = candidates(index, hits[own], at[own], owner[own], offsets)
+        parts = range(0, len(segments), ALIGNED)
+        found += [whole, *(align(index, segments[i : i + ALIGNED], body, offsets) for i in parts)]
+    rows = merged(index, np.concatenate(found))
     if not rows:
         return []
     characters = np.concatenate(([0], np.cumsum((raw & 0xC0) != 0x80)))
@@ -317,15 +351,15 @@ def find_leaks(index: Index, texts: pa.Array) -> list[tuple[int, int, int, int,
 
 
 def indexes(items: DataFrame, item_key: str, item_text: str) -> Iterator[Index]:
-    """Indexes of the benchmark's slices; none holds much more than SLICE_BYTES."""
+    """Indexes of the benchmark's slices; none holds much more than SLICE_BYTES. Items
+    too short for 8-grams have one of their own."""
     slim = items.select(F.col(item_key).alias("key"), F.col(item_text).alias("text")).filter("text IS NOT NULL")
     total = slim.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     slices = max(1, math.ceil(total / SLICE_BYTES))
     for i in range(slices):
         part = slim if slices == 1 else slim.filter(F.pmod(F.xxhash64("key", "text"), F.lit(slices)) == i)
-        index = build_index([tuple(r) for r in part.collect()])
-        if index is not None:
-            yield index
+        rows = [tuple(r) for r in part.collect()]
+        yield from filter(None, (build_index(rows, q) for q in (Q, SHORT_Q)))
 
 
 def leaks(
