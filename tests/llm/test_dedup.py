@@ -128,6 +128,21 @@ def test_hot_buckets_are_dealt_in_chunks(edited, monkeypatch):
     assert got == brute_classes(edited.collect())
 
 
+def test_buckets_of_long_texts_are_dealt_by_bytes(spark, monkeypatch):
+    monkeypatch.setattr(near_dedup, "CHUNK_BYTES", 40_000)
+    long = prose(77, 2000).split(" ")
+    rows = [(i, " ".join([*long[: 50 * i], f"word{i}", *long[50 * i :]]), "en", "s", 1) for i in range(40)]
+    docs = spark.createDataFrame(rows, DOCS)
+    assert {tuple(r)[1:] for r in near_dedup.near_classes(docs).collect()} == {(0, 40)}
+    members = near_dedup.dealt(near_dedup.buckets(near_dedup.signed(docs))).collect()
+    assert len({r["__row"] for r in members}) == 40
+    groups = Counter()
+    for r in {(r["__band"], r["__low"], r["__high"], r["__row"], r["__bytes"]) for r in members}:
+        groups[r[:3]] += r[4]
+    total = sum(len(r[1]) for r in rows)
+    assert total > 8 * 40_000 and max(groups.values()) <= 4 * 40_000
+
+
 def test_one_of_each_class_stays(edited, clashing, no_rows):
     kept = near_dedup.keep_one(edited)
     assert kept.dtypes == edited.dtypes

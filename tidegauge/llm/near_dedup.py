@@ -16,8 +16,9 @@ connected components of alike texts.
    with the same members count once.
 4. In a bucket the multisets themselves are compared, breadth first, so that a
    node is compared only with nodes not linked yet, and only a star per cluster
-   leaves the task. Buckets of more than ``CHUNK`` nodes are dealt as pairs of
-   chunks, each pair a task of its own: memory is bounded and no link is lost.
+   leaves the task. Buckets of more than ``CHUNK`` nodes or ``CHUNK_BYTES`` bytes of
+   text are dealt by hash as pairs of chunks of about that size, each pair a group of
+   its own: memory is bounded, but for a longer single text, and no link is lost.
 5. Components of the stars by large-star and small-star steps, on tables in the
    shared folder.
 
@@ -46,7 +47,7 @@ from tidegauge.llm.text_batches import Words, pieces, plain_texts, words_of
 SHINGLE, THRESHOLD = 5, 0.8
 BANDS, ROWS = 30, 5
 PARTS = BANDS * ROWS
-CHUNK = 1024
+CHUNK, CHUNK_BYTES = 1024, 4 << 20
 MAX_ROUNDS = 60
 
 _U = np.uint64
@@ -154,8 +155,10 @@ def _signed(place: int, schema_names: list[str]):
 
 
 def signed(docs: DataFrame, text: str = "text") -> DataFrame:
-    """The rows with ``__row``, ``__node`` and ``__bands``, written to the shared folder."""
-    numbered = docs.withColumn("__row", F.monotonically_increasing_id())
+    """The rows with ``__row``, ``__bytes`` (of the text), ``__node`` and ``__bands``,
+    written to the shared folder."""
+    size = F.coalesce(F.octet_length(text), F.lit(0)).cast("bigint")
+    numbered = docs.withColumns({"__row": F.monotonically_increasing_id(), "__bytes": size})
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in numbered.schema)
     names = [*numbered.columns, "__node", "__bands"]
     run = _signed(numbered.columns.index(text), names)
@@ -166,18 +169,21 @@ def signed(docs: DataFrame, text: str = "text") -> DataFrame:
 def buckets(table: DataFrame) -> DataFrame:
     """(band, node, chunks): members of buckets with two nodes or more. A node is
     named by its first row."""
-    nodes = table.groupBy("__node").agg(F.min("__row").alias("__row"), F.min("__bands").alias("__bands"))
-    members = nodes.select("__row", F.explode("__bands").alias("__band"))
+    nodes = table.groupBy("__node").agg(F.min(F.struct("__row", "__bytes", "__bands")).alias("first"))
+    members = nodes.select("first.__row", "first.__bytes", F.explode("first.__bands").alias("__band"))
     sets = members.groupBy("__band").agg(
         F.count(F.lit(1)).alias("n"),
         F.bit_xor(F.xxhash64("__row")).alias("x"),
         F.bit_xor(F.xxhash64("__row", F.lit(1))).alias("y"),
+        F.sum("__bytes").alias("bytes"),
     )
+    # More chunks than nodes part nothing.
+    chunks = F.least("n", F.greatest(F.ceil(F.col("n") / CHUNK), F.ceil(F.col("bytes") / CHUNK_BYTES)))
     kept = (
         sets.filter("n > 1")
-        .groupBy("n", "x", "y")
+        .groupBy("n", "x", "y", "bytes")
         .agg(F.min("__band").alias("__band"))
-        .select("__band", F.ceil(F.col("n") / CHUNK).cast("int").alias("__chunks"))
+        .select("__band", chunks.cast("int").alias("__chunks"))
     )
     return members.join(kept, "__band")
 
@@ -288,6 +294,6 @@ def near_classes(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row of each class, that with the smallest key, with all its columns."""
     table = signed(docs, text)
-    rows = classed(table.select(F.col(key).alias("__key"), "__row", "__node", "__bands", F.col(text).alias("__text")), "__text")
+    rows = classed(table.select(F.col(key).alias("__key"), "__row", "__bytes", "__node", "__bands", F.col(text).alias("__text")), "__text")
     first = rows.groupBy("__label").agg(F.min(F.struct("__key", "__row")).alias("first")).select("first.__row")
     return table.join(first, "__row", "left_semi").select(docs.columns)
