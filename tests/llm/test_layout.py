@@ -165,7 +165,7 @@ def test_perspectives_equal_sql(spark, sf_dir):
 def test_all_are_registered():
     names = set(__spark_entry__.queries())
     assert set(QUERIES) | {"pipeline"} <= names
-    assert {n.split("_")[0] for n in QUERIES} == {f"op{i}" for i in range(1, 11)}
+    assert {n.split("_")[0] for n in QUERIES} == {f"op{i}" for i in range(1, 14)}
     assert [n for n, _ in corpus_pipeline.STAGES] == [
         "quality_rules", "near_duplicates", "repeated_strings", "decontamination", "bpe_codec"
     ]

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegauge.llm import decontaminate, near_dedup, perspectives, quality, reshard, suffix_dedup, toxicity
+from tidegauge.llm import decontaminate, divergence, near_dedup, perspectives, quality, reshard, suffix_dedup, toxicity
 from tidegauge.llm.bpe import bpe_digest
 from tidegauge.llm.token_output import read_digests, write_tokens
 from tidegauge.llm.url_filter import Rule, judge_urls
@@ -111,6 +111,10 @@ def op10_url_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(table(spark, sf_dir, "pages"), URL_RULES)
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.divergence_audit(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_token_blocks": op1_token_blocks,
     "op2_repeated_strings": op2_repeated_strings,
@@ -122,5 +126,6 @@ QUERIES: dict[str, Query] = {
     "op8_quality_rules": op8_quality_rules,
     "op9_toxic_spans": op9_toxic_spans,
     "op10_url_verdicts": op10_url_verdicts,
+    "op11_source_divergence": op11_source_divergence,
 }
-ORACLE_SQL: dict[str, str] = {"op5_perspectives": perspectives.SQL}
+ORACLE_SQL: dict[str, str] = {"op5_perspectives": perspectives.SQL, "op11_source_divergence": divergence.SQL}

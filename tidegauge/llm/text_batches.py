@@ -61,9 +61,10 @@ class Words:
     lengths: np.ndarray
 
 
-def words_of(texts: pa.Array) -> Words:
+def words_of(texts: pa.Array, word_bytes: np.ndarray = _IS_WORD) -> Words:
+    """Runs of the bytes that ``word_bytes`` marks."""
     body, offsets = byte_view(texts)
-    inside = _IS_WORD[body]
+    inside = word_bytes[body]
     before = np.empty_like(inside)
     before[1:] = inside[:-1]
     before[offsets[:-1][offsets[:-1] < len(body)]] = False
