@@ -7,7 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegauge.llm import decontaminate, divergence, near_dedup, perspectives, quality, reshard, suffix_dedup, toxicity
+from tidegauge.llm import (
+    decontaminate,
+    divergence,
+    near_dedup,
+    perspectives,
+    prefix_trie,
+    quality,
+    reshard,
+    suffix_dedup,
+    toxicity,
+)
 from tidegauge.llm.bpe import bpe_digest
 from tidegauge.llm.token_output import read_digests, write_tokens
 from tidegauge.llm.url_filter import Rule, judge_urls
@@ -115,6 +125,10 @@ def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.divergence_audit(table(spark, sf_dir, "documents"))
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_token_blocks": op1_token_blocks,
     "op2_repeated_strings": op2_repeated_strings,
@@ -127,5 +141,10 @@ QUERIES: dict[str, Query] = {
     "op9_toxic_spans": op9_toxic_spans,
     "op10_url_verdicts": op10_url_verdicts,
     "op11_source_divergence": op11_source_divergence,
+    "op12_prefix_trie": op12_prefix_trie,
+}
+ORACLE_SQL: dict[str, str] = {
+    "op5_perspectives": perspectives.SQL,
+    "op11_source_divergence": divergence.SQL,
+    "op12_prefix_trie": prefix_trie.SQL,
 }
-ORACLE_SQL: dict[str, str] = {"op5_perspectives": perspectives.SQL, "op11_source_divergence": divergence.SQL}
