@@ -15,6 +15,7 @@ from tidegauge.llm import (
     prefix_trie,
     quality,
     reshard,
+    sim_hash,
     suffix_dedup,
     toxicity,
 )
@@ -129,6 +130,10 @@ def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"))
 
 
+def op13_sim_components(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sim_hash.sim_classes(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_token_blocks": op1_token_blocks,
     "op2_repeated_strings": op2_repeated_strings,
@@ -142,6 +147,7 @@ QUERIES: dict[str, Query] = {
     "op10_url_verdicts": op10_url_verdicts,
     "op11_source_divergence": op11_source_divergence,
     "op12_prefix_trie": op12_prefix_trie,
+    "op13_sim_components": op13_sim_components,
 }
 ORACLE_SQL: dict[str, str] = {
     "op5_perspectives": perspectives.SQL,
