@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import json
-from datetime import date, datetime
+import uuid
+from datetime import date, datetime, timedelta
 from pathlib import Path
 
 import pytest
@@ -13,7 +14,9 @@ from helpers import rows
 from tidegauge.operators.latest import latest_rows
 from tidegauge.plans import briefing, jobs
 from tidegauge.sinks import audit, export
-from tidegauge.sinks.tables import NoData, bootstrap, replace
+from tidegauge.sinks.loads import LoadConflict, book, load
+from tidegauge.sinks.tables import NoData, bootstrap, loads_of
+from tidegauge.sinks.versions import VersionConflict, collect_versions, current_version, read_version, replace
 from tidegauge.sources import indicators, prices, rates
 from tidegauge.sources.schemas import TABLES, columns_of, qualified
 from tidegauge.sources.tables import Catalog, empty, scan
@@ -60,10 +63,13 @@ def test_newest_date_reads_one_month(lake, sf_dir):
     assert len(gold) == len(TABLES) == len(list(gold))
 
 
-def test_raw_rows_lie_by_day(lake):
-    raw = lake.read.table(qualified("market_prices_raw")).filter("_ingest_date = '1998-01-02'")
-    raw.collect()
-    assert "PartitionFilters: [isnotnull(_ingest_date" in raw._jdf.queryExecution().executedPlan().toString()
+def test_raw_rows_lie_by_load_and_day(lake):
+    raw = lake.read.table(loads_of("market_prices_raw"))
+    part = raw.first()["_load"]
+    one = raw.filter(F.col("_load") == part).filter("_ingest_date = '1998-01-02'")
+    one.collect()
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(_load" in plan and "EqualTo(_ingest_date,1998-01-02)" in plan
 
 
 def test_runs_are_counted_while_written(lake):
@@ -157,16 +163,108 @@ def test_failing_switch_keeps_the_table(lake, monkeypatch):
     sql = type(lake).sql
 
     def once(self, text, *args, **kwargs):
-        if text.startswith("CREATE TABLE silver.fx_rates ") and not calls:
+        if text.startswith("ALTER VIEW silver.fx_rates ") and not calls:
             calls.append(text)
             raise RuntimeError("catalog is away")
         return sql(self, text, *args, **kwargs)
 
     monkeypatch.setattr(type(lake), "sql", once)
     with pytest.raises(RuntimeError, match="away"):
-        replace(scan(lake, "fx_rates_raw").selectExpr("base_currency AS currency_pair"), "fx_rates")
+        replace(scan(lake, "fx_rates_raw").selectExpr("base_currency AS currency_pair", "DATE'2020-01-01' AS rate_date"), "fx_rates")
     monkeypatch.undo()
     assert calls and rows(scan(lake, "fx_rates")) == before
+    jobs.rebuild(lake, "silver", {"fx_rates": jobs.SILVER["fx_rates"]})
+    assert rows(scan(lake, "fx_rates")) == before
+
+
+@pytest.fixture
+def small(spark):
+    """Tables of their own under a prefix."""
+    prefix = f"own{uuid.uuid4().hex[:8]}_"
+    bootstrap(spark, prefix)
+    return prefix
+
+
+def rates_on(spark, *days_and_rates):
+    data = [("A", "B", r, datetime(2024, 1 + m, d), "s", "u", datetime(2024, 6, 1), "run") for m, d, r in days_and_rates]
+    return spark.createDataFrame(data, TABLES["fx_rates_raw"][1])
+
+
+def test_a_prefix_touches_nothing_else(lake, spark, small):
+    before = scan(lake, "pipeline_runs").count()
+    assert jobs.ingest(rates_on(spark, (0, 1, 1.0)), "fx_rates_raw", prefix=small) == 1
+    jobs.rebuild(spark, "silver", {"fx_rates": jobs.SILVER["fx_rates"]}, small)
+    assert scan(spark, "fx_rates", small).count() == 1 and scan(spark, "pipeline_runs", small).count() == 2
+    assert scan(lake, "pipeline_runs").count() == before
+
+
+def test_readers_keep_their_version(spark, small):
+    fx = {"fx_rates": jobs.SILVER["fx_rates"]}
+    jobs.ingest(rates_on(spark, (0, 1, 1.0), (1, 1, 2.0)), "fx_rates_raw", prefix=small)
+    jobs.rebuild(spark, "silver", fx, small)
+    reader, first = scan(spark, "fx_rates", small).select("rate"), current_version(spark, "fx_rates", small)
+    jobs.ingest(rates_on(spark, (1, 2, 3.0)), "fx_rates_raw", prefix=small)
+    jobs.rebuild(spark, "silver", fx, small)
+    assert (reader.count(), scan(spark, "fx_rates", small).count()) == (2, 3)
+    # Kept as long as asked for, then gone, with the files that nobody else has.
+    assert collect_versions(spark, "fx_rates", timedelta(hours=1), small) == []
+    february = read_version(spark, "fx_rates", first + 1, small).filter("_month = '2024-02'").drop("_month")
+    third = replace(february.limit(1), "fx_rates", months=["2024-02"], prefix=small)
+    shared = read_version(spark, "fx_rates", third, small).filter("_month = '2024-01'").inputFiles()
+    assert shared == read_version(spark, "fx_rates", first + 1, small).filter("_month = '2024-01'").inputFiles()
+    assert first in collect_versions(spark, "fx_rates", timedelta(0), small)
+    assert scan(spark, "fx_rates", small).count() == 2
+    assert not Path(shared[0].removeprefix("file:")).parent.with_name("_month=2024-02").exists()
+    with pytest.raises(Exception, match="NOT_FOUND|PATH|does not exist|FileNotFound"):
+        reader.count()
+
+
+def test_an_overtaken_writer_gives_up(spark, small, monkeypatch):
+    from tidegauge.sinks import versions
+
+    rows_now = jobs.SILVER["fx_rates"][1](rates_on(spark, (0, 1, 1.0)))
+    publish = versions._publish
+
+    def late(*args):
+        monkeypatch.setattr(versions, "_publish", publish)
+        replace(rows_now, "fx_rates", prefix=small)
+        return publish(*args)
+
+    monkeypatch.setattr(versions, "_publish", late)
+    with pytest.raises(Exception, match="already exists|ALREADY_EXISTS|was replaced"):
+        replace(rows_now.limit(0), "fx_rates", prefix=small)
+    assert scan(spark, "fx_rates", small).count() == 1
+    assert issubclass(VersionConflict, RuntimeError)
+
+
+def test_a_load_counts_once(spark, small, monkeypatch):
+    from tidegauge.sinks import loads
+
+    first = rates_on(spark, (0, 1, 1.0), (0, 2, 2.0))
+
+    def crash(*_):
+        raise RuntimeError("driver lost")
+
+    # Lost between the rows and the ledger: nothing to be seen, and nothing twice later.
+    monkeypatch.setattr(loads, "book", crash)
+    with pytest.raises(RuntimeError, match="lost"):
+        load(first, "fx_rates_raw", "day-1", small)
+    monkeypatch.undo()
+    assert scan(spark, "fx_rates_raw", small).count() == 0
+    assert jobs.ingest(first, "fx_rates_raw", load_id="day-1", prefix=small) == 2
+    # Lost after the ledger: the same load again adds nothing, in whatever order.
+    assert jobs.ingest(first.orderBy("rate", ascending=False), "fx_rates_raw", load_id="day-1", prefix=small) == 0
+    assert scan(spark, "fx_rates_raw", small).count() == 2
+    assert "there already" in scan(spark, "pipeline_runs", small).filter("row_count = 0").first()["message"]
+    with pytest.raises(LoadConflict):
+        load(first.limit(1), "fx_rates_raw", "day-1", small)
+    # Two runs at once: both write, both book, one is shown.
+    lent = load(first, "fx_rates_raw", "day-2", small)
+    part = spark.read.table(loads_of("fx_rates_raw", small)).filter("_load LIKE 'day-2%'").first()["_load"]
+    copy = spark.read.table(loads_of("fx_rates_raw", small)).filter("_load LIKE 'day-2%'").withColumn("_load", F.lit("day-2.z"))
+    copy.write.insertInto(loads_of("fx_rates_raw", small))
+    book(spark, "fx_rates_raw", "day-2", "day-2.z", 2, 0, small)
+    assert part < "day-2.z" and lent.rows == 2 and scan(spark, "fx_rates_raw", small).count() == 4
 
 
 def test_landed_payloads_are_counted_and_backfilled(lake, spark):

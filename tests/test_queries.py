@@ -9,6 +9,9 @@ import pytest
 
 import __spark_entry__
 from tidegauge.plans import briefing
+from tidegauge.sinks.audit import log_run
+from tidegauge.sinks.tables import bootstrap
+from tidegauge.sources.tables import scan
 from workload.lake import Lake
 from workload.oracle import all_sql
 from workload.queries import all_queries
@@ -92,3 +95,18 @@ def test_summary_reads_each_domain_once_without_nested_loops(spark, sf_dir):
     plan = _plan(Lake(spark, sf_dir)["cross_signal_summary"])
     assert "NestedLoop" not in plan and "CartesianProduct" not in plan
     assert plan.count("l_extendedprice") > 0 and plan.count("lineitem.parquet") == 1
+
+
+def test_reports_read_the_newest_month_only(spark, sf_dir):
+    for name in ("dashboard_kpis", "briefing_market_breadth"):
+        df = QUERIES[name](spark, sf_dir)
+        df.collect()
+        assert "PartitionFilters: [isnotnull(_month" in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_queries_leave_the_sessions_tables_alone(spark, sf_dir):
+    bootstrap(spark)
+    log_run(spark, "somebody else's job", "SUCCESS", 1)
+    for name in ("managed_runs", "managed_rates", "dashboard_kpis"):
+        assert QUERIES[name](spark, sf_dir).count() > 0
+    assert scan(spark, "pipeline_runs").filter("pipeline_name LIKE 'somebody%'").count() == 1

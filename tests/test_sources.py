@@ -243,3 +243,22 @@ def test_a_line_and_its_time_are_parsed_once(spark):
     assert rows(got, "price") == [(4.5,)]
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert plan.count("from_csv(") == 1 and plan.count("gettimestamp(") + plan.count("try_to_timestamp(") <= 1
+
+
+def test_broken_csv_and_pages_are_refused(spark):
+    page, rows_of_page = "<html>\n<body>busy</body></html>", '[{"pages":1},[{"date":"2024","value":1.5}]]'
+    header = "Symbol,Date,Time,Open,High,Low,Close,Volume"
+    row = "A.US,2024-01-02,22:00:00,1,2,0.5,1.5,10"
+    good = [f"\ufeff{header}\n{row}", f'"Symbol","Date",Time,Open,High,Low,Close,Volume\n{row}', "No data", "", " \n"]
+    landed = payloads(spark, *good, page, "garbage", f"{header},More\n{row},1", None)
+    parsed = prices.parse_price_csv(landed, PRICE_SNAPSHOT_CSV, on_bad="skip")
+    assert [r["Symbol"] for r in parsed.collect()] == ["A.US", "A.US"]
+    assert rejected(landed, "price_csv").count() == 4
+    with pytest.raises(Exception, match="not the CSV header expected: garbage"):
+        prices.parse_price_csv(payloads(spark, "garbage"), PRICE_SNAPSHOT_CSV).collect()
+    pages = payloads(spark, rows_of_page, '[{"total":0},null]', '[{"total":0},[]]', "[1,2]", '[{"a":1},5]', page, None)
+    assert indicators.parse_macro_pages(pages, on_bad="skip").count() == 1
+    assert rejected(pages, "macro_pages").count() == 4
+    assert indicators.page_counts(pages, on_bad="skip").count() == 3
+    with pytest.raises(Exception, match="metadata and rows"):
+        indicators.parse_macro_pages(payloads(spark, page)).collect()

@@ -36,14 +36,25 @@ def as_exact(value: Column, digits: int) -> Column:
     return value.try_cast(DecimalType(26 + digits, digits))
 
 
+#: Whole numbers below this are exact as doubles.
+EXACT = float(2**53)
+
+
 def exact_avg(value: Column, digits: int) -> Column:
     """Mean of a metric that has ``digits`` decimals, as a rule.
 
     Sums the metric in units of its last decimal: whole numbers, whose sum as a
     double is exact up to 2^53 whatever the order in which partial sums meet. What
-    a value has beyond its decimals is summed beside them, so nothing is cut.
+    a value has beyond its decimals is summed beside them, unless it is less than a
+    millionth of a unit, as the double nearest to a decimal has. Values too large for
+    units, infinite ones and NaN are summed as they are, as a plain mean would.
     """
     units = float(10**digits)
-    scaled = value.cast("double") * units
-    rest = F.when(F.abs(scaled - F.rint(scaled)) > 1e-6, scaled - F.rint(scaled)).otherwise(F.lit(0.0))
-    return F.try_divide((F.sum(F.rint(scaled)) + F.sum(rest)) / units, F.count(value))
+    plain = value.cast("double")
+    scaled = plain * units
+    fits = F.abs(scaled) < EXACT
+    off = scaled - F.rint(scaled)
+    whole = F.sum(F.when(fits, F.rint(scaled)).otherwise(0.0))
+    rest = F.sum(F.when(fits & (F.abs(off) > 1e-6), off).otherwise(0.0))
+    large = F.sum(F.when(~fits, plain).otherwise(0.0))
+    return F.try_divide((whole + rest) / units + large, F.count(value))

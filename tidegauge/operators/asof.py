@@ -28,13 +28,15 @@ def changes_by_date(
     date_column: str,
     counts: Mapping[str, Column],
     means: Mapping[str, tuple[str, int]],
+    only: Column | None = None,
 ) -> DataFrame:
     """Per date, how the as-of aggregates move.
 
     ``counts`` maps a name to a condition on the current observation; ``means``
     maps a name to a metric and the decimals it is rounded to. Needs one row per
     series and date. A series window then holds at most one row per calendar day.
-    A metric of 1e26 or more counts as infinite.
+    A metric of 1e26 or more counts as infinite. Rows for which ``only`` does not hold
+    are compared with, but move nothing.
     """
     series = Window.partitionBy(*keys).orderBy(date_column)
     steps = {
@@ -52,8 +54,10 @@ def changes_by_date(
         steps[f"{name}__nan"] = _step(F.coalesce(F.isnan(value), F.lit(False)).cast("long"), series)
         steps[f"{name}__up"] = _step(F.coalesce(endless & (value > 0), F.lit(False)).cast("long"), series)
         steps[f"{name}__down"] = _step(F.coalesce(endless & (value < 0), F.lit(False)).cast("long"), series)
+    counted = F.lit(True) if only is None else only
     return (
-        df.select(F.col(date_column).alias("as_of_date"), *[c.alias(n) for n, c in steps.items()])
+        df.select(F.col(date_column).alias("as_of_date"), counted.alias("_counted"), *[c.alias(n) for n, c in steps.items()])
+        .filter("_counted")
         .groupBy("as_of_date")
         .agg(*[F.sum(name).alias(name) for name in steps])
     )

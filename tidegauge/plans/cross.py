@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidegauge.functions.metrics import exact_avg
@@ -47,11 +47,13 @@ def fx_breadth_by_date(fx: DataFrame) -> DataFrame:
     )
 
 
-def _macro_changes(macro: DataFrame) -> DataFrame:
+def macro_changes_by_date(macro: DataFrame, only: Column | None = None) -> DataFrame:
+    """Per date, how the macro aggregates move; of rows that ``only`` holds for."""
     return changes_by_date(
         macro,
         SERIES_KEY,
         "observation_date",
+        only=only,
         counts={
             "macro_up_indicators": F.col("trend_direction") == "up",
             "macro_down_indicators": F.col("trend_direction") == "down",
@@ -65,7 +67,7 @@ def _macro_changes(macro: DataFrame) -> DataFrame:
 
 def macro_asof_summary(base_dates: DataFrame, macro: DataFrame) -> DataFrame:
     """Macro breadth and means as of each date of ``base_dates(as_of_date)``."""
-    return read_as_of(base_dates, _macro_changes(macro), MACRO_COUNTS, MACRO_MEANS)
+    return read_as_of(base_dates, macro_changes_by_date(macro), MACRO_COUNTS, MACRO_MEANS)
 
 
 def risk_regime(thresholds: RegimeThresholds = RegimeThresholds()):
@@ -101,11 +103,23 @@ def cross_signal_summary(
     sides attached, so each Gold table is read once. Table order is no contract;
     readers sort.
     """
-    spine = market_breadth_by_date(market).join(fx_breadth_by_date(fx), "as_of_date", "full")
+    return summary_of(
+        market_breadth_by_date(market), fx_breadth_by_date(fx), macro_changes_by_date(macro), thresholds
+    )
+
+
+def summary_of(
+    market_breadth: DataFrame,
+    fx_breadth: DataFrame,
+    macro_changes: DataFrame,
+    thresholds: RegimeThresholds = RegimeThresholds(),
+) -> DataFrame:
+    """The summary from tables of one row per date."""
+    spine = market_breadth.join(fx_breadth, "as_of_date", "full")
     columns = columns_of("cross_signal_summary")
     counts = [c for c in columns if c.endswith(("_count", "_symbols", "_pairs", "_indicators"))]
     return (
-        macro_asof_summary(spine, macro)
+        read_as_of(spine, macro_changes, MACRO_COUNTS, MACRO_MEANS)
         .fillna(0, subset=counts)
         .withColumn("risk_regime", risk_regime(thresholds))
         .select(*columns)

@@ -17,6 +17,7 @@ from tidegauge.operators.latest import (
 )
 from tidegauge.plans.briefing import FX_COLUMNS, MACRO_COLUMNS
 from tidegauge.plans.checks import DATE_COLUMNS, MIN_HISTORY_DATES
+from tidegauge.sources.schemas import columns_of
 
 Tables = Mapping[str, DataFrame]
 
@@ -73,8 +74,9 @@ def trend(tables: Tables, dates: int = 30) -> DataFrame:
 
 
 def movers(tables: Tables, rows: int = 20) -> DataFrame:
+    found = tables["top_movers_why"].select(*columns_of("top_movers_why"))
     return top_rows(
-        tables["top_movers_why"], rows, descending("as_of_date"), ascending("return_30d_pct"), ascending("symbol")
+        found, rows, descending("as_of_date"), ascending("return_30d_pct"), ascending("symbol")
     )
 
 
@@ -127,7 +129,8 @@ def history_depth(tables: Tables) -> DataFrame:
 
 
 def recent_regimes(tables: Tables, dates: int = 10) -> DataFrame:
-    return top_rows(tables["cross_signal_summary"], dates, descending("as_of_date"))
+    summary = tables["cross_signal_summary"].select(*columns_of("cross_signal_summary"))
+    return top_rows(summary, dates, descending("as_of_date"))
 
 
 def stressed_instruments(tables: Tables, rows: int = 10) -> DataFrame:

@@ -16,10 +16,12 @@ from tidegauge.plans.movers import top_movers_why
 from tidegauge.plans.silver import clean_fx, clean_macro, clean_market
 from tidegauge.sinks.audit import audited, log_run, try_log_run, write_counted
 from tidegauge.sinks.export import EXPORTS, export_json, export_parquet
-from tidegauge.sinks.tables import append, replace, require_rows
+from tidegauge.sinks.loads import booked_parts, load, rows_of
+from tidegauge.sinks.tables import require_rows
+from tidegauge.sinks.versions import current_version, read_version, replace
 from tidegauge.sources.payloads import rejected
 from tidegauge.sources.prices import first_available_source, load_report, report_counts
-from tidegauge.sources.schemas import TABLES
+from tidegauge.sources.schemas import TABLES, columns_of
 from tidegauge.sources.tables import scan
 
 # Target table -> tables it is built from and the function that builds it.
@@ -48,9 +50,15 @@ EXPLAINED = 20
 
 
 def ingest(
-    rows: DataFrame, table: str, keep_history: bool = False, note: str = "", explain: Callable[[], str] | None = None
+    rows: DataFrame,
+    table: str,
+    keep_history: bool = False,
+    note: str = "",
+    explain: Callable[[], str] | None = None,
+    load_id: str | None = None,
+    prefix: str = "",
 ) -> int:
-    """Append parsed payloads to a raw table.
+    """Append parsed payloads to a raw table, each load id once.
 
     ``note`` goes into the audit message, say what was asked for or how many
     payloads were rejected; ``explain`` says why, where nothing was loaded.
@@ -58,26 +66,43 @@ def ingest(
     spark = rows.sparkSession
     name = f"bronze_{table}"
     try:
-        count = write_counted(lambda seen: append(rows, table, seen))
-        message = require_rows(spark, count, table, keep_history, explain) + (f"; {note}" if note else "")
+        done = load(rows, table, load_id, prefix)
+        if done.repeated:
+            message = f"{table}: load {load_id} was there already"
+        else:
+            message = require_rows(spark, done.rows, table, keep_history, explain, prefix)
+        message += f"; {note}" if note else ""
     except Exception as error:
-        try_log_run(spark, name, "FAILED", 0, str(error))
+        try_log_run(spark, name, "FAILED", 0, str(error), prefix)
         raise
-    try_log_run(spark, name, "SUCCESS", count, message)
-    return count
+    try_log_run(spark, name, "SUCCESS", done.rows, message, prefix)
+    return done.rows
 
 
 def ingest_landed(
-    payloads: DataFrame, feed: str, table: str, parse: Callable[..., DataFrame], keep_history: bool = False, **options
+    payloads: DataFrame,
+    feed: str,
+    table: str,
+    parse: Callable[..., DataFrame],
+    keep_history: bool = False,
+    prefix: str = "",
+    **options,
 ) -> int:
     """Parse and append a feed's landed payloads; broken ones are left out and counted
     in the audit message."""
     bad = rejected(payloads, feed).count()
-    return ingest(parse(payloads, on_bad="skip", **options), table, keep_history, f"{bad} payloads rejected")
+    rows = parse(payloads, on_bad="skip", **options)
+    return ingest(rows, table, keep_history, f"{bad} payloads rejected", prefix=prefix)
 
 
 def backfill(
-    requested: DataFrame, history: DataFrame, snapshots: DataFrame, start: str | date, end: str | date, **options
+    requested: DataFrame,
+    history: DataFrame,
+    snapshots: DataFrame,
+    start: str | date,
+    end: str | date,
+    prefix: str = "",
+    **options,
 ) -> int:
     """Load the best source per symbol; says what was tried if there is none."""
 
@@ -88,45 +113,56 @@ def backfill(
     rows = first_available_source(requested, history, snapshots, start, end, **options)
     counts = report_counts(load_report(requested, history, snapshots)).orderBy("status").collect()
     symbols = ", ".join(f"{r['symbols']} {r['status']}" for r in counts)
-    return ingest(rows, "market_prices_raw", note=f"symbols: {symbols}; {start} to {end}", explain=explain)
+    return ingest(rows, "market_prices_raw", note=f"symbols: {symbols}; {start} to {end}", explain=explain, prefix=prefix)
 
 
-def rebuild(spark: SparkSession, layer: str, targets) -> int:
+def rebuild(spark: SparkSession, layer: str, targets, prefix: str = "") -> int:
     """Rebuild the tables given, each with an audit row; returns their rows."""
     total = 0
     for table, (inputs, build) in targets.items():
 
         def run(table=table, inputs=inputs, build=build) -> int:
-            built = build(*[scan(spark, name) for name in inputs])
-            return write_counted(lambda seen: replace(built, table, seen))
-
-        total += audited(spark, f"{layer}_{table}", run)
+            parts, source = [], None
+            if layer == "silver":
+                # The very loads that the version's book names.
+                (raw,) = inputs
+                parts = booked_parts(spark, raw, prefix)
+                built = build(rows_of(spark, raw, parts, prefix))
+            elif len(inputs) == 1:
+                (name,) = inputs
+                source = current_version(spark, name, prefix)
+                built = build(read_version(spark, name, source, prefix).select(*columns_of(name)))
+            else:
+                built = build(*[scan(spark, name, prefix) for name in inputs])
+            return write_counted(lambda seen: replace(built, table, seen, loads=parts, source=source, prefix=prefix))
+
+        total += audited(spark, f"{layer}_{table}", run, prefix)
     return total
 
 
-def rebuild_silver(spark: SparkSession) -> int:
-    return rebuild(spark, "silver", SILVER)
+def rebuild_silver(spark: SparkSession, prefix: str = "") -> int:
+    return rebuild(spark, "silver", SILVER, prefix)
 
 
-def rebuild_gold(spark: SparkSession) -> int:
-    return audited(spark, "gold_analytics", lambda: rebuild(spark, "gold", GOLD))
+def rebuild_gold(spark: SparkSession, prefix: str = "") -> int:
+    return audited(spark, "gold_analytics", lambda: rebuild(spark, "gold", GOLD, prefix), prefix)
 
 
-def validate(spark: SparkSession, as_of: str | date | None = None) -> int:
+def validate(spark: SparkSession, as_of: str | date | None = None, prefix: str = "") -> int:
     """Check all tables; the audit row is part of the result, so it may fail."""
-    tables = {name: scan(spark, name) for name in TABLES if name != "pipeline_runs"}
+    tables = {name: scan(spark, name, prefix) for name in TABLES if name != "pipeline_runs"}
     try:
         passed = require_all(run_checks(tables, as_of))
     except Exception as error:
-        try_log_run(spark, "validation_queries", "FAILED", 0, str(error))
+        try_log_run(spark, "validation_queries", "FAILED", 0, str(error), prefix)
         raise
-    log_run(spark, "validation_queries", "SUCCESS", len(tables), f"{passed} checks passed")
+    log_run(spark, "validation_queries", "SUCCESS", len(tables), f"{passed} checks passed", prefix)
     return passed
 
 
-def export_gold(spark: SparkSession, folder: str, today: str | date | None = None) -> None:
+def export_gold(spark: SparkSession, folder: str, today: str | date | None = None, prefix: str = "") -> None:
     for table, date_column in EXPORTS.items():
-        df = scan(spark, table)
+        df = scan(spark, table, prefix)
         export_parquet(df, f"{folder}/{table}")
         if date_column:
             export_json(df, f"{folder}/dashboard/{table}", date_column, today)

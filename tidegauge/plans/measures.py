@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidegauge.functions.metrics import exact_avg
 from tidegauge.operators.latest import latest_rows
-from tidegauge.sources.schemas import TABLES
+from tidegauge.sources.schemas import TABLES, columns_of
 
 Gold = Mapping[str, DataFrame]
 
@@ -142,4 +142,4 @@ def date_spine_view(gold: Gold, table: str) -> DataFrame:
     spine = gold["cross_signal_summary"].select(
         F.col("as_of_date").alias(day), "risk_regime", "market_avg_return_30d_pct"
     )
-    return gold[table].join(spine, day, "left")
+    return gold[table].select(*columns_of(table)).join(spine, day, "left")

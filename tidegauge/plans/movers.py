@@ -18,20 +18,27 @@ def _sentence(*parts: str | Column) -> Column:
     return F.concat(*[F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts])
 
 
+def _counts(*names: str | Column) -> list[Column]:
+    return [F.col(n) if isinstance(n, str) else n for n in names]
+
+
+def _fx_sentence(*counts: str | Column) -> Column:
+    up, down, stressed = _counts(*counts)
+    return _sentence("FX context: ", up, " strengthening, ", down, " weakening, ", stressed, " stressed pairs.")
+
+
+def _macro_sentence(*counts: str | Column) -> Column:
+    up, down = _counts(*counts)
+    return _sentence("Macro context: ", up, " up indicators, ", down, " down indicators.")
+
+
 def fx_context(fx: DataFrame, as_of: Column) -> DataFrame:
     """One sentence on the pairs quoted exactly on that date."""
     trend = F.col("trend_signal")
-    return fx.filter(F.col("rate_date") == as_of).agg(
-        _sentence(
-            "FX context: ",
-            F.count_if(trend == "strengthening"),
-            " strengthening, ",
-            F.count_if(trend == "weakening"),
-            " weakening, ",
-            F.count_if("stress_flag"),
-            " stressed pairs.",
-        ).alias("fx_context")
+    told = _fx_sentence(
+        F.count_if(trend == "strengthening"), F.count_if(trend == "weakening"), F.count_if("stress_flag")
     )
+    return fx.filter(F.col("rate_date") == as_of).agg(told.alias("fx_context"))
 
 
 def macro_context(macro: DataFrame, as_of: Column) -> DataFrame:
@@ -42,15 +49,7 @@ def macro_context(macro: DataFrame, as_of: Column) -> DataFrame:
         .groupBy(*SERIES_KEY)
         .agg(F.max_by("trend_direction", "observation_date").alias("trend_direction"))
     )
-    return state.agg(
-        _sentence(
-            "Macro context: ",
-            F.count_if(trend == "up"),
-            " up indicators, ",
-            F.count_if(trend == "down"),
-            " down indicators.",
-        ).alias("macro_context")
-    )
+    return state.agg(_macro_sentence(F.count_if(trend == "up"), F.count_if(trend == "down")).alias("macro_context"))
 
 
 def _why() -> Column:
@@ -77,8 +76,23 @@ def top_movers_why(
     by symbol. Table order is no contract; readers sort.
     """
     as_of = latest_value(market, "snapshot_date")
+    today = market.filter(F.col("snapshot_date") == as_of)
+    return _movers(today, fx_context(fx, as_of).scalar(), macro_context(macro, as_of).scalar(), k)
+
+
+def movers_of_summary(today: DataFrame, summary: DataFrame, k: int = MOVERS_PER_DIRECTION) -> DataFrame:
+    """The same from the market's rows of its newest date and the summary, whose row of
+    that date has the counts of both sentences: no detail row is read again."""
+    as_of = latest_value(today, "snapshot_date")
+    row = summary.filter(F.col("as_of_date") == as_of)
+    fx = _fx_sentence("fx_strengthening_pairs", "fx_weakening_pairs", "fx_stress_pairs")
+    macro = _macro_sentence("macro_up_indicators", "macro_down_indicators")
+    return _movers(today, row.select(fx).scalar(), row.select(macro).scalar(), k)
+
+
+def _movers(market: DataFrame, fx_told: Column, macro_told: Column, k: int) -> DataFrame:
     move = F.coalesce("return_30d_pct", "day_change_pct")
-    today = market.filter(F.col("snapshot_date") == as_of).select(
+    today = market.select(
         F.col("snapshot_date").alias("as_of_date"),
         "symbol",
         "latest_price",
@@ -93,8 +107,8 @@ def top_movers_why(
         .dropDuplicates(["as_of_date", "symbol"])
         .withColumns(
             {
-                "fx_context": fx_context(fx, as_of).scalar(),
-                "macro_context": macro_context(macro, as_of).scalar(),
+                "fx_context": fx_told,
+                "macro_context": macro_told,
             }
         )
         .withColumn("why_summary", _why())

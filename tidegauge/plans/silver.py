@@ -29,14 +29,20 @@ def typed_prices(bronze: DataFrame, price_type: str = "decimal(12,4)") -> DataFr
     )
 
 
+def merge_market(typed: DataFrame) -> DataFrame:
+    """The last ingested price per symbol and time. What it leaves of two sets of rows
+    it leaves of their own last ones, so Silver rows and new ones merge by it."""
+    return dedupe_latest(typed, MARKET_KEY, ["ingested_at"], ["price", "currency", "_source", "_ingest_date"])
+
+
 def clean_market(bronze: DataFrame, price_type: str = "decimal(12,4)") -> DataFrame:
     """Typed prices, the last ingested one per symbol and time."""
-    return dedupe_latest(
-        typed_prices(bronze, price_type),
-        MARKET_KEY,
-        ["ingested_at"],
-        ["price", "currency", "_source", "_ingest_date"],
-    ).select(*columns_of("market_prices"))
+    return merge_market(typed_prices(bronze, price_type)).select(*columns_of("market_prices"))
+
+
+def merge_fx(typed: DataFrame) -> DataFrame:
+    """The last ingested rate per pair and time, as :func:`merge_market`."""
+    return dedupe_latest(typed, FX_KEY, ["ingested_at"], ["rate", "source_system"])
 
 
 def clean_fx(
@@ -55,9 +61,7 @@ def clean_fx(
             "source_system": F.coalesce("source_name", F.lit(default_source)),
         }
     )
-    return dedupe_latest(typed, FX_KEY, ["ingested_at"], ["rate", "source_system"]).select(
-        *columns_of("fx_rates")
-    )
+    return merge_fx(typed).select(*columns_of("fx_rates"))
 
 
 def typed_indicators(bronze: DataFrame) -> DataFrame:
@@ -73,11 +77,13 @@ def typed_indicators(bronze: DataFrame) -> DataFrame:
     ).filter(_present(*MACRO_KEY, "observation_value"))
 
 
+def merge_macro(typed: DataFrame) -> DataFrame:
+    """The last ingested observation per series and date, as :func:`merge_market`."""
+    return dedupe_latest(
+        typed, MACRO_KEY, ["ingest_ts"], ["observation_value", "raw_payload", "_source", "_ingest_date"]
+    )
+
+
 def clean_macro(bronze: DataFrame) -> DataFrame:
     """Dated observations, the last ingested one per series and date."""
-    return dedupe_latest(
-        typed_indicators(bronze),
-        MACRO_KEY,
-        ["ingest_ts"],
-        ["observation_value", "raw_payload", "_source", "_ingest_date"],
-    ).select(*columns_of("macro_indicators"))
+    return merge_macro(typed_indicators(bronze)).select(*columns_of("macro_indicators"))

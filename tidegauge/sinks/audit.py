@@ -15,18 +15,18 @@ log = logging.getLogger(__name__)
 
 
 def log_run(
-    spark: SparkSession, name: str, status: str, row_count: int | None, message: str | None = None
+    spark: SparkSession, name: str, status: str, row_count: int | None, message: str | None = None, prefix: str = ""
 ) -> None:
     row = (name, status, row_count, message, datetime.now(timezone.utc))
-    append(spark.createDataFrame([row], TABLES["pipeline_runs"][1]), "pipeline_runs")
+    append(spark.createDataFrame([row], TABLES["pipeline_runs"][1]), "pipeline_runs", prefix)
 
 
 def try_log_run(
-    spark: SparkSession, name: str, status: str, row_count: int | None, message: str | None = None
+    spark: SparkSession, name: str, status: str, row_count: int | None, message: str | None = None, prefix: str = ""
 ) -> None:
     """As :func:`log_run`; a failing audit table must not fail the job."""
     try:
-        log_run(spark, name, status, row_count, message)
+        log_run(spark, name, status, row_count, message, prefix)
     except Exception as error:
         log.warning("audit row for %s skipped: %s", name, error)
 
@@ -38,12 +38,12 @@ def write_counted(write: Callable[[Observation], None]) -> int:
     return seen.get["rows"]
 
 
-def audited(spark: SparkSession, name: str, run: Callable[[], int]) -> int:
+def audited(spark: SparkSession, name: str, run: Callable[[], int], prefix: str = "") -> int:
     """Run a job that returns its row count and record how it went."""
     try:
         rows = run()
     except Exception as error:
-        try_log_run(spark, name, "FAILED", 0, str(error))
+        try_log_run(spark, name, "FAILED", 0, str(error), prefix)
         raise
-    try_log_run(spark, name, "SUCCESS", rows, f"{name} completed")
+    try_log_run(spark, name, "SUCCESS", rows, f"{name} completed", prefix)
     return rows

@@ -1,4 +1,9 @@
-"""Managed tables: creation, append, replacement."""
+"""Managed tables: creation, layout, plain append.
+
+Raw tables are appended to load by load (:mod:`tidegauge.sinks.loads`); Silver, Gold
+and states are replaced version by version (:mod:`tidegauge.sinks.versions`). In both
+the table's own name is a view, so it never goes away while its rows change.
+"""
 
 from __future__ import annotations
 
@@ -8,47 +13,85 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from tidegauge.sources.schemas import INGEST_DAY, LAYERS, MONTH, MONTH_OF, TABLES, qualified
+from tidegauge.sources.schemas import (
+    ALL_TABLES,
+    BOOKS,
+    INGEST_DAY,
+    LAYERS,
+    LOAD,
+    MONTH,
+    MONTH_OF,
+    STATES,
+    TABLES,
+    columns_of,
+    qualified,
+)
 from tidegauge.sources.tables import has_history
 
 
-def bootstrap(spark: SparkSession) -> None:
+def bootstrap(spark: SparkSession, prefix: str = "") -> None:
     """Create schemas and empty tables that do not exist yet."""
     for layer in LAYERS:
-        spark.sql(f"CREATE SCHEMA IF NOT EXISTS {layer}")
-    for table, (_, columns) in TABLES.items():
-        by = partition_of(table)
-        listed = f"{columns}, {MONTH} string" if by == MONTH else columns
-        layout = f" PARTITIONED BY ({by})" if by else ""
-        folder = f"{_folder(spark, TABLES[table][0])}/{table}-{uuid.uuid4().hex}"
-        name = qualified(table)
-        spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({listed}) USING parquet{layout} LOCATION '{folder}'")
+        spark.sql(f"CREATE SCHEMA IF NOT EXISTS {prefix}{layer}")
+    for table in (*BOOKS, *TABLES, *STATES):
+        name, columns = qualified(table, prefix), ALL_TABLES[table][1]
+        if spark.catalog.tableExists(name):
+            continue
+        if table in MONTH_OF:
+            versioned = f"{name}__v0"
+            _create(spark, versioned, f"{columns}, {MONTH} string", MONTH, new_folder(spark, table, prefix))
+            spark.sql(f"CREATE VIEW IF NOT EXISTS {name} AS SELECT * FROM {versioned}")
+        elif TABLES.get(table, ("",))[0] == "bronze":
+            _create(spark, loads_of(table, prefix), f"{columns}, {LOAD} string", LOAD, new_folder(spark, table, prefix))
+            committed = f"SELECT min(part) FROM {qualified('load_ledger', prefix)} WHERE table_name = '{table}' GROUP BY load_id"
+            shown = ", ".join(columns_of(table))
+            spark.sql(
+                f"CREATE VIEW IF NOT EXISTS {name} AS SELECT {shown} FROM {loads_of(table, prefix)}"
+                f" WHERE {LOAD} IN ({committed})"
+            )
+        else:
+            _create(spark, name, columns, None, new_folder(spark, table, prefix))
+
+
+def _create(spark: SparkSession, name: str, columns: str, by: str | None, folder: str) -> None:
+    layout = f" PARTITIONED BY ({by})" if by else ""
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet{layout} LOCATION '{folder}'")
 
 
-def drop(spark: SparkSession, table: str) -> None:
-    """Drop a table with its files."""
-    name = qualified(table)
-    folder = _location(spark, name)
-    if folder:
-        spark.sql(f"DROP TABLE {name}")
-        _delete(spark, folder)
+def loads_of(table: str, prefix: str = "") -> str:
+    """The table under a raw table's name, with the rows of all loads."""
+    return f"{qualified(table, prefix)}__loads"
 
 
-def partition_of(table: str) -> str | None:
-    return INGEST_DAY.get(table) or (MONTH if table in MONTH_OF else None)
+def new_folder(spark: SparkSession, table: str, prefix: str = "") -> str:
+    """A folder where the table's layer lies."""
+    rows = spark.sql(f"DESCRIBE SCHEMA {prefix}{ALL_TABLES[table][0]}").collect()
+    layer = next(r[1] for r in rows if r[0] == "Location").rstrip("/")
+    return f"{layer}/{table}-{uuid.uuid4().hex}"
 
 
-def laid_out(df: DataFrame, table: str, seen: Observation | None = None) -> DataFrame:
+def laid_out(df: DataFrame, table: str, seen: Observation | None = None, *facts: Column) -> DataFrame:
     """The rows with the table's month, gathered by partition, and counted by ``seen``.
 
     A rebalance splits partitions that are large and joins small ones, so a hot
-    month is written by many tasks and a quiet one makes one file.
+    month is written by many tasks and a quiet one makes one file. Raw rows stay
+    where they are, in order of their day, so that readers of some days skip row
+    groups: a load of many days would make as many small files as folders.
     """
     if table in MONTH_OF:
-        df = df.withColumn(MONTH, F.date_format(MONTH_OF[table], "yyyy-MM"))
-    by = partition_of(table)
-    df = df.hint("rebalance", F.col(by)) if by else df
-    return df.observe(seen, F.count(F.lit(1)).alias("rows")) if seen else df
+        column = MONTH_OF[table]
+        month = F.col(column) if column == "month" else F.date_format(column, "yyyy-MM")
+        df = df.withColumn(MONTH, month)
+        df = df.hint("rebalance", F.col(MONTH))
+    elif table in INGEST_DAY:
+        df = df.sortWithinPartitions(INGEST_DAY[table])
+    return df.observe(seen, F.count(F.lit(1)).alias("rows"), *facts) if seen else df
+
+
+def append(df: DataFrame, table: str, prefix: str = "") -> None:
+    """Append to an audit table or a book, by column name."""
+    name = qualified(table, prefix)
+    df.select(*df.sparkSession.read.table(name).columns).write.insertInto(name)
 
 
 def enrich(
@@ -66,72 +109,6 @@ def enrich(
     )
 
 
-def append(df: DataFrame, table: str, seen: Observation | None = None) -> None:
-    """Append by column name. Replays leave copies, which Silver resolves."""
-    name = qualified(table)
-    columns = df.sparkSession.read.table(name).columns
-    laid_out(df, table, seen).select(*columns).write.insertInto(name)
-
-
-def replace(df: DataFrame, table: str, seen: Observation | None = None) -> None:
-    """Rebuild a table, schema included. The plan must not read that table.
-
-    The new rows are written to a folder of their own; only when they are there
-    does the table's name move to it, so a rebuild that fails leaves the table as
-    it was. The folder it had is deleted last.
-    """
-    spark, name, by = df.sparkSession, qualified(table), partition_of(table)
-    folder = f"{_folder(spark, TABLES[table][0])}/{table}-{uuid.uuid4().hex}"
-    rows = laid_out(df, table, seen)
-    rows.write.partitionBy(*([by] if by else [])).parquet(folder)
-    before = _location(spark, name)
-    listed = ", ".join(f"{field} {kind}" for field, kind in rows.dtypes)
-    _point(spark, name, listed, by, folder, before)
-    if before:
-        _delete(spark, before)
-
-
-def _point(spark: SparkSession, name: str, listed: str, by: str | None, folder: str, before: str | None) -> None:
-    """Give the name to a folder of files; back to the one before if that fails."""
-    layout = f" PARTITIONED BY ({by})" if by else ""
-
-    def create(columns: str, location: str) -> None:
-        spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet{layout} LOCATION '{location}'")
-        if by:
-            spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
-
-    kept = None
-    if before:
-        kept = ", ".join(f"{field} {kind}" for field, kind in spark.read.table(name).dtypes)
-        # All tables name a folder, so dropping one leaves its files.
-        spark.sql(f"DROP TABLE {name}")
-    try:
-        create(listed, folder)
-    except Exception:
-        spark.sql(f"DROP TABLE IF EXISTS {name}")
-        if kept:
-            create(kept, before)
-        raise
-
-
-def _folder(spark: SparkSession, layer: str) -> str:
-    """Where the layer's tables lie."""
-    rows = spark.sql(f"DESCRIBE SCHEMA {layer}").collect()
-    return next(r[1] for r in rows if r[0] == "Location").rstrip("/")
-
-
-def _location(spark: SparkSession, name: str) -> str | None:
-    if not spark.catalog.tableExists(name):
-        return None
-    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()
-    return next(r[1] for r in rows if r[0] == "Location")
-
-
-def _delete(spark: SparkSession, folder: str) -> None:
-    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
-
-
 class NoData(RuntimeError):
     """A load delivered no rows and there is no history to keep."""
 
@@ -142,10 +119,11 @@ def require_rows(
     table: str,
     keep_history: bool = False,
     explain: Callable[[], str] | None = None,
+    prefix: str = "",
 ) -> str:
     """Message for a load of ``rows`` rows; an empty one passes only with history."""
     if rows:
         return f"{table} loaded"
-    if keep_history and has_history(spark, table):
+    if keep_history and has_history(spark, table, prefix):
         return f"{table}: zero records; existing history retained."
     raise NoData(f"{table}: zero records." + (f" {explain()}" if explain else ""))

@@ -5,39 +5,29 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidegauge.sources.payloads import read_pages
 from tidegauge.sources.schemas import MACRO_META_JSON, MACRO_ROW_JSON, columns_of
 
 # Fixed value: the source recorded with every observation.
 SOURCE_URI = "https://api.worldbank.org/v2/country/all/indicator"
 
-BAD_SHAPE = "Macro page is not a JSON array of metadata and rows."
-
-
-def _page_parts(pages: DataFrame, text: str) -> DataFrame:
-    """``_parts``: metadata and rows as raw JSON texts; fails on another shape."""
-    others = [c for c in pages.columns if c != text]
-    bad = F.raise_error(F.lit(BAD_SHAPE)).cast("array<string>")
-    return pages.select(*others, F.from_json(text, "array<string>").alias("_array")).select(
-        *others, F.when(F.size("_array") >= 2, F.col("_array")).otherwise(bad).alias("_parts")
-    )
-
-
 def _present(value: Column) -> Column:
     """Blank counts as missing."""
     return F.nullif(value, F.lit(""))
 
 
-def parse_macro_pages(pages: DataFrame, text: str = "payload") -> DataFrame:
+def parse_macro_pages(pages: DataFrame, text: str = "payload", on_bad: str = "raise") -> DataFrame:
     """All rows of all pages, each with its raw JSON.
 
     The country is the three-letter code, else the id; the indicator is the name,
-    else the id. Rows that are no JSON objects are skipped.
+    else the id. Rows that are no JSON objects are skipped. A page of another shape
+    fails the parse, or is left out with ``on_bad="skip"``.
     """
     others = [c for c in pages.columns if c != text]
     raw_rows = F.from_json(F.element_at("_parts", 2), "array<string>")
     row = F.from_json("raw_payload", MACRO_ROW_JSON)
     return (
-        _page_parts(pages, text)
+        read_pages(pages, text, on_bad)
         .select(*others, F.explode(raw_rows).alias("raw_payload"))
         .filter(F.startswith(F.ltrim("raw_payload"), F.lit("{")))
         .withColumn("_row", row)
@@ -70,10 +60,10 @@ def standardize_indicators(
     ).select(*columns_of("macro_indicators_raw"))
 
 
-def page_counts(pages: DataFrame, text: str = "payload") -> DataFrame:
+def page_counts(pages: DataFrame, text: str = "payload", on_bad: str = "raise") -> DataFrame:
     """The page count every page announces; 1 when its metadata has none."""
     others = [c for c in pages.columns if c != text]
     meta = F.from_json(F.element_at("_parts", 1), MACRO_META_JSON)
-    return _page_parts(pages, text).select(
+    return read_pages(pages, text, on_bad).filter("_parts is not null").select(
         *others, F.coalesce(meta["pages"], F.lit(1)).alias("page_count")
     )

@@ -11,9 +11,20 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidegauge.sources.schemas import CANDLES_JSON, FX_LATEST_JSON, FX_RANGE_JSON, QUOTE_JSON
+from tidegauge.sources.schemas import (
+    CANDLES_JSON,
+    FX_LATEST_JSON,
+    FX_RANGE_JSON,
+    PRICE_HISTORY_CSV,
+    PRICE_SNAPSHOT_CSV,
+    QUOTE_JSON,
+)
 
 NOT_JSON = "not the JSON object expected"
+NOT_CSV = "not the CSV header expected"
+NOT_PAGE = "Macro page is not a JSON array of metadata and rows."
+# Fixed value: what the CSV feed answers where it has no rows.
+NO_DATA = "No data"
 UNEVEN = "prices and times differ in number"
 NO_DATE = "a date that is none"
 
@@ -57,27 +68,89 @@ FEEDS = {
 }
 
 
-def read(payloads: DataFrame, feed: str, text: str, on_bad: str) -> DataFrame:
-    """The payloads with ``_p``, the parsed struct, null where it is skipped."""
+# Feed -> columns of its CSV texts.
+CSV_FEEDS = {"price_csv": PRICE_SNAPSHOT_CSV, "price_history_csv": PRICE_HISTORY_CSV}
+MACRO_FEED = "macro_pages"
+ALL_FEEDS = (*FEEDS, *CSV_FEEDS, MACRO_FEED)
+
+
+def _checked_mode(on_bad: str) -> str:
     if on_bad not in ("raise", "skip"):
         raise ValueError(f"on_bad is raise or skip, not {on_bad}")
+    return on_bad
+
+
+def _refused(feed: str, reason: Column, text: str | Column, kind: str, on_bad: str) -> Column:
+    """In place of a broken payload: a failure that says why, or nothing."""
+    if _checked_mode(on_bad) == "skip":
+        return F.lit(None).cast(kind)
+    shown = F.coalesce(F.substring(F.col(text) if isinstance(text, str) else text, 1, 80), F.lit("null"))
+    return F.raise_error(F.concat(F.lit(f"{feed}: "), reason, F.lit(": "), shown)).cast(kind)
+
+
+def read(payloads: DataFrame, feed: str, text: str, on_bad: str) -> DataFrame:
+    """The payloads with ``_p``, the parsed struct, null where it is skipped."""
     schema, test = FEEDS[feed]
     # Generators, so that the text is parsed once however many columns are read.
     parsed = payloads.select("*", F.explode(F.array(_object(text, schema))).alias("_raw"))
     raw = F.col("_raw")
     reason = test(raw)
     kind = parsed.schema["_raw"].dataType.simpleString()
-    if on_bad == "raise":
-        message = F.concat(F.lit(f"{feed}: "), reason, F.lit(": "), F.substring(F.col(text), 1, 80))
-        bad = F.raise_error(F.coalesce(message, F.lit(f"{feed}: {NOT_JSON}: null"))).cast(kind)
-    else:
-        bad = F.lit(None).cast(kind)
-    checked = F.when(reason.isNotNull(), bad).otherwise(raw)
+    checked = F.when(reason.isNotNull(), _refused(feed, reason, text, kind, on_bad)).otherwise(raw)
     return parsed.select(*payloads.columns, F.explode(F.array(checked)).alias("_p"))
 
 
+def csv_lines(text: str | Column) -> Column:
+    """The lines of a CSV text that are not blank."""
+    lines = F.split(F.translate(text, "\r", "\n"), "\n")
+    return F.filter(lines, lambda line: F.trim(line) != "")
+
+
+def _csv_reason(lines: Column, schema: str) -> Column:
+    """The first line must name the columns; a text without lines, or that says so, has
+    no data."""
+    names = ",".join(column.split()[0] for column in schema.split(", "))
+    header = F.lower(F.regexp_replace(F.get(lines, F.lit(0)), r"[\s\x{FEFF}\"]", ""))
+    known = header.isin(names.lower(), NO_DATA.lower().replace(" ", ""))
+    return F.when(lines.isNull() | (F.size(lines) > 0) & ~known, F.lit(NOT_CSV))
+
+
+def read_csv(payloads: DataFrame, feed: str, schema: str, text: str, on_bad: str) -> DataFrame:
+    """The payloads with ``_lines``, header first, null where a text is skipped."""
+    listed = payloads.select("*", F.explode(F.array(csv_lines(text))).alias("_all"))
+    lines = F.col("_all")
+    reason = _csv_reason(lines, schema)
+    refused = _refused(feed, reason, text, "array<string>", on_bad)
+    return listed.withColumn("_lines", F.when(reason.isNotNull(), refused).otherwise(lines)).drop("_all")
+
+
+def _page_reason(parts: Column) -> Column:
+    def absent_or(part: Column, mark: str) -> Column:
+        return part.isNull() | (part == "null") | F.startswith(F.ltrim(part), F.lit(mark))
+
+    meta, rows = F.get(parts, F.lit(0)), F.get(parts, F.lit(1))
+    # A page without rows may have null instead of an empty list.
+    whole = (F.size(parts) >= 2) & absent_or(meta, "{") & absent_or(rows, "[")
+    return F.when(~F.coalesce(whole, F.lit(False)), F.lit(NOT_PAGE))
+
+
+def read_pages(pages: DataFrame, text: str, on_bad: str) -> DataFrame:
+    """The pages with ``_parts``, metadata and rows as JSON texts, null where skipped."""
+    others = [c for c in pages.columns if c != text]
+    split = pages.select(*others, F.col(text).alias("_text"), F.from_json(text, "array<string>").alias("_array"))
+    reason = _page_reason(F.col("_array"))
+    refused = _refused(MACRO_FEED, reason, "_text", "array<string>", on_bad)
+    return split.select(*others, F.when(reason.isNotNull(), refused).otherwise(F.col("_array")).alias("_parts"))
+
+
 def rejected(payloads: DataFrame, feed: str, text: str = "payload") -> DataFrame:
     """The broken payloads with all their columns and the ``reason``."""
+    if feed in CSV_FEEDS:
+        reason = _csv_reason(csv_lines(text), CSV_FEEDS[feed])
+        return payloads.select("*", reason.alias("reason")).filter("reason is not null")
+    if feed == MACRO_FEED:
+        reason = _page_reason(F.from_json(text, "array<string>"))
+        return payloads.select("*", reason.alias("reason")).filter("reason is not null")
     schema, test = FEEDS[feed]
     parsed = payloads.select("*", F.explode(F.array(_object(text, schema))).alias("_raw"))
     return parsed.select(*payloads.columns, test(F.col("_raw")).alias("reason")).filter("reason is not null")

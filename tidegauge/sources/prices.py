@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tidegauge.functions.symbols import history_variants, second_part, suffix_or_us
 from tidegauge.operators.latest import dedupe_latest
-from tidegauge.sources.payloads import read
+from tidegauge.sources.payloads import read, read_csv
 from tidegauge.sources.schemas import columns_of
 
 MARKET_COLUMNS = columns_of("market_prices_raw")
@@ -34,11 +34,15 @@ def _midnight(day: Column) -> Column:
     return F.to_date(day).cast("timestamp")
 
 
-def parse_price_csv(payloads: DataFrame, schema: str, text: str = "payload") -> DataFrame:
+def parse_price_csv(
+    payloads: DataFrame, schema: str, text: str = "payload", on_bad: str = "raise"
+) -> DataFrame:
     """CSV texts to typed rows, next to the other columns of their payload.
 
-    Blank lines are dropped, the first line left is the header. A number that does
-    not parse (``N/D``) becomes null.
+    Blank lines are dropped, the first line left is the header, which must name the
+    columns of ``schema``: a text with another one, say an error page, fails the parse
+    or, with ``on_bad="skip"``, is left out. A number that does not parse (``N/D``)
+    becomes null.
     """
     others = [c for c in payloads.columns if c != text]
     fields = [column.split() for column in schema.split(", ")]
@@ -51,10 +55,9 @@ def parse_price_csv(payloads: DataFrame, schema: str, text: str = "payload") ->
             field = F.nullif(field, F.lit(NOT_QUOTED)).try_cast(kind)
         return field.alias(name)
 
-    lines = F.split(F.translate(text, "\r", "\n"), "\n")
     rows = F.filter(F.col("_lines"), lambda line: line != F.col("_lines")[0])
     return (
-        payloads.withColumn("_lines", F.filter(lines, lambda line: F.trim(line) != ""))
+        read_csv(payloads, "price csv", schema, text, on_bad)
         .select(*others, F.explode(rows).alias("_line"))
         # One parse for all fields: read apart, or in filters, each would parse the line.
         .select(*others, F.explode(F.array(F.from_csv("_line", as_text))).alias("_row"))

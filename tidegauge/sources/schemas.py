@@ -83,27 +83,81 @@ TABLES = {
     ),
 }
 
-# How tables lie on disk: raw rows by the day they came in, Gold by the month of its
-# date, in an extra column that the contract does not show.
+# What the jobs keep beside the contract: states that Gold is rebuilt from where little
+# changed, and books of loads and versions.
+STATES = {
+    "market_series_months": ("state", "symbol string, month string, observations bigint"),
+    "fx_series_months": ("state", "currency_pair string, month string, observations bigint"),
+    "macro_series_months": (
+        "state",
+        "country_code string, indicator_name string, month string, observations bigint",
+    ),
+    "market_breadth": (
+        "state",
+        "as_of_date date, market_symbols_count bigint, market_avg_day_change_pct double,"
+        " market_avg_return_30d_pct double, market_avg_return_90d_pct double,"
+        " market_up_symbols bigint, market_down_symbols bigint, market_stress_symbols bigint",
+    ),
+    "fx_breadth": (
+        "state",
+        "as_of_date date, fx_strengthening_pairs bigint, fx_weakening_pairs bigint,"
+        " fx_avg_daily_change_pct double, fx_avg_return_30d_pct double, fx_stress_pairs bigint",
+    ),
+    "macro_changes": (
+        "state",
+        "as_of_date date, macro_up_indicators bigint, macro_down_indicators bigint, "
+        + ", ".join(
+            f"{name}__n bigint, {name}__sum decimal(38,4), {name}__nan bigint, {name}__up bigint, {name}__down bigint"
+            for name in ("macro_avg_period_change_pct", "macro_avg_year_over_year_pct")
+        ),
+    ),
+}
+BOOKS = {
+    "load_ledger": (
+        "audit",
+        "table_name string, load_id string, part string, row_count bigint, content decimal(38,0),"
+        " loaded_at timestamp",
+    ),
+    "table_versions": (
+        "audit",
+        "table_name string, version bigint, kind string, part string, folder string, written_at timestamp",
+    ),
+}
+ALL_TABLES = TABLES | STATES | BOOKS
+
+# How tables lie on disk: raw rows by load, in order of the day they came in, Silver,
+# Gold and states by the month of their date. Load and month are extra columns that
+# the contract does not show.
+LOAD = "_load"
 INGEST_DAY = {"market_prices_raw": "_ingest_date", "macro_indicators_raw": "_ingest_date"}
 MONTH = "_month"
 MONTH_OF = {
+    "market_prices": "market_time",
+    "fx_rates": "rate_date",
+    "macro_indicators": "observation_date",
     "daily_market_snapshot": "snapshot_date",
     "fx_trend_signals": "rate_date",
     "macro_indicator_trends": "observation_date",
     "cross_signal_summary": "as_of_date",
     "top_movers_why": "as_of_date",
+    "market_series_months": "month",
+    "fx_series_months": "month",
+    "macro_series_months": "month",
+    "market_breadth": "as_of_date",
+    "fx_breadth": "as_of_date",
+    "macro_changes": "as_of_date",
 }
 
-LAYERS = ("bronze", "silver", "gold", "audit")
+LAYERS = ("bronze", "silver", "gold", "audit", "state")
 
 
-def qualified(table: str) -> str:
-    return f"{TABLES[table][0]}.{table}"
+def qualified(table: str, prefix: str = "") -> str:
+    """The table's name; a prefix gives a set of tables schemas of its own."""
+    return f"{prefix}{ALL_TABLES[table][0]}.{table}"
 
 
 def columns_of(table: str) -> list[str]:
-    return [column.split()[0] for column in TABLES[table][1].split(", ")]
+    return [column.split()[0] for column in ALL_TABLES[table][1].split(", ")]
 
 
 # Payload layouts of the price, FX and macro feeds.

@@ -6,23 +6,23 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidegauge.sources.schemas import TABLES, columns_of, qualified
+from tidegauge.sources.schemas import ALL_TABLES, TABLES, columns_of, qualified
 
 
-def scan(spark: SparkSession, table: str) -> DataFrame:
+def scan(spark: SparkSession, table: str, prefix: str = "") -> DataFrame:
     """The table with the columns of its contract."""
-    return spark.read.table(qualified(table)).select(*columns_of(table))
+    return spark.read.table(qualified(table, prefix)).select(*columns_of(table))
 
 
 class Catalog(Mapping[str, DataFrame]):
     """The written tables, Gold with its month: readers of the newest date
     (:func:`tidegauge.operators.latest.latest_rows`) read one month's files."""
 
-    def __init__(self, spark: SparkSession):
-        self.spark = spark
+    def __init__(self, spark: SparkSession, prefix: str = ""):
+        self.spark, self.prefix = spark, prefix
 
     def __getitem__(self, table: str) -> DataFrame:
-        return self.spark.read.table(qualified(table))
+        return self.spark.read.table(qualified(table, self.prefix))
 
     def __iter__(self):
         return iter(TABLES)
@@ -33,10 +33,10 @@ class Catalog(Mapping[str, DataFrame]):
 
 def empty(spark: SparkSession, table: str) -> DataFrame:
     """A typed frame without rows."""
-    return spark.createDataFrame([], TABLES[table][1])
+    return spark.createDataFrame([], ALL_TABLES[table][1])
 
 
-def has_history(spark: SparkSession, table: str) -> bool:
+def has_history(spark: SparkSession, table: str, prefix: str = "") -> bool:
     """Whether the table exists and holds a row."""
-    name = qualified(table)
+    name = qualified(table, prefix)
     return spark.catalog.tableExists(name) and not spark.read.table(name).isEmpty()

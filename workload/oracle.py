@@ -11,7 +11,7 @@ import re
 
 from tidegauge.sources.schemas import columns_of
 from workload.bindings import AS_OF
-from workload.queries import HISTORY_RANGE
+from workload.managed import HISTORY_RANGE, SPLIT
 
 START, END = HISTORY_RANGE
 LOADED_AT = f"'{AS_OF} 06:30:00'"
@@ -419,6 +419,8 @@ def _source_sql() -> dict[str, str]:
         FROM lineitem l WHERE l_suppkey % 4 <> 3 AND l_suppkey IN (SELECT s_suppkey FROM supplier)
           AND CAST(l_shipdate AS DATE) BETWEEN '{START}' AND '{END}'"""
 
+    not_json, not_csv = "not the JSON object expected", "not the CSV header expected"
+    not_page = "Macro page is not a JSON array of metadata and rows."
     return {
         "parsed_price_csv": f"""
             SELECT l_orderkey AS order_key, {part} AS "Symbol", {shipped} AS "Date",
@@ -497,13 +499,16 @@ def _source_sql() -> dict[str, str]:
         "rejected_payloads": " UNION ALL ".join(
             f"""SELECT '{feed}' AS feed, reason, count(*) AS payloads, CAST(sum(key) AS BIGINT) AS key_sum
                 FROM (SELECT {key} AS key, CASE WHEN {key} % 20 = 2 THEN '{odd}'
-                             ELSE 'not the JSON object expected' END AS reason
+                             ELSE '{other}' END AS reason
                       FROM {rows} WHERE {key} % 20 < 4) GROUP BY reason"""
-            for feed, rows, key, odd in (
-                ("candles", "lineitem", "l_partkey", "prices and times differ in number"),
-                ("quotes", "lineitem", "l_partkey", "not the JSON object expected"),
-                ("fx_latest", "orders", "o_custkey", "a date that is none"),
-                ("fx_range", "orders", "o_custkey", "a date that is none"),
+            for feed, rows, key, odd, other in (
+                ("candles", "lineitem", "l_partkey", "prices and times differ in number", not_json),
+                ("quotes", "lineitem", "l_partkey", not_json, not_json),
+                ("fx_latest", "orders", "o_custkey", "a date that is none", not_json),
+                ("fx_range", "orders", "o_custkey", "a date that is none", not_json),
+                ("price_csv", "lineitem", "l_partkey", not_csv, not_csv),
+                ("price_history_csv", "lineitem", "l_partkey", not_csv, not_csv),
+                ("macro_pages", "orders", "o_custkey", not_page, not_page),
             )
         ),
         "vendor_tickers": """
@@ -957,6 +962,21 @@ def _managed_sql() -> dict[str, str]:
             f" CAST({times} AS BIGINT) AS runs"
             for name, status, rows, times in runs
         ),
+        "booked_rates": _table(
+            "fx_rates_raw",
+            ["base_currency", "quote_currency", "rate", "rate_timestamp", "source_name", "ingested_at"],
+        ),
+        "versioned_rates": " UNION ALL ".join(
+            f"SELECT currency_pair, count(*) AS rates, CAST(max(rate_timestamp) AS VARCHAR) AS newest,"
+            f" '{version}' AS version FROM fx_rates WHERE {rows} GROUP BY currency_pair"
+            for version, rows in (("before", f"rate_timestamp < TIMESTAMP '{SPLIT}'"), ("after", "true"))
+        ),
+        "backfilled_prices": _source_sql()["first_available_source"],
+        "incremental_market_snapshot": _table("daily_market_snapshot"),
+        "incremental_fx_trends": _table("fx_trend_signals"),
+        "incremental_macro_trends": _table("macro_indicator_trends"),
+        "incremental_cross_signal_summary": _table("cross_signal_summary"),
+        "incremental_top_movers_why": _table("top_movers_why"),
         "exported_signals": f"""
             SELECT {", ".join(exported)}, n AS parquet_rows FROM fx_trend_signals
             JOIN (SELECT currency_pair, count(*) AS n FROM fx_trend_signals GROUP BY 1) USING (currency_pair)

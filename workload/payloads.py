@@ -226,19 +226,27 @@ def broken(spark: SparkSession, sf_dir: str, feed: str) -> DataFrame:
         "quotes": (F.col("l_partkey"), "lineitem", "[1.5]"),
         "fx_latest": (F.col("o_custkey"), "orders", '{"base":"A","date":"02.01.2024","rates":{"B":1.0}}'),
         "fx_range": (F.col("o_custkey"), "orders", '{"base":"A","rates":{"02.01.2024":{"B":1.0}}}'),
+        "price_csv": (F.col("l_partkey"), "lineitem", "Symbol,Date\nA.US,2024-01-02\n"),
+        "price_history_csv": (F.col("l_partkey"), "lineitem", "2024-01-02,1,1,1,1,1\n"),
+        "macro_pages": (F.col("o_custkey"), "orders", '[{"pages":1}]'),
     }[feed]
     whole = {
         "candles": '{"s":"ok","c":[1.0],"t":[1]}', "quotes": '{"c":1.5}',
         "fx_latest": '{"base":"A","date":"2024-01-02","rates":{"B":1.0}}',
-        "fx_range": '{"base":"A","rates":{}}',
+        "fx_range": '{"base":"A","rates":{}}', "price_csv": "Symbol,Date,Time,Open,High,Low,Close,Volume\n",
+        "price_history_csv": " date,Open,High,Low,Close,Volume\r\n2024-01-02,1,1,1,1,1",
+        "macro_pages": '[{"pages":1},[]]',
     }[feed]
     kind = key % 20
+    # A CSV text that is cut off in a row still has its header.
+    cut = "<html>\n<body>busy</body></html>" if feed.endswith("csv") else whole[:-3]
+    bare = {"macro_pages": '[{"total":0},null]'}.get(feed, "No data" if feed.endswith("csv") else "{}")
     text = (
-        F.when(kind == 0, whole[:-3])
+        F.when(kind == 0, cut)
         .when(kind == 1, "<html>busy</html>")
         .when(kind == 2, odd)
         .when(kind == 3, F.lit(None).cast("string"))
-        .when(kind == 4, "{}")
+        .when(kind == 4, bare)
         .otherwise(whole)
     )
     return table(spark, sf_dir, rows).select(key.alias("landed_key"), text.alias("payload"))

@@ -16,8 +16,9 @@ from tidegauge.session import configure
 from tidegauge.sinks.export import EXPORTS, json_ready, recent
 from tidegauge.sinks.tables import enrich
 from tidegauge.sources import indicators, prices, rates
-from tidegauge.sources.payloads import FEEDS, rejected
-from tidegauge.sources.schemas import PRICE_HISTORY_CSV, PRICE_SNAPSHOT_CSV
+from tidegauge.sources.payloads import ALL_FEEDS, rejected
+from tidegauge.sources.schemas import PRICE_HISTORY_CSV, PRICE_SNAPSHOT_CSV, columns_of
+from tidegauge.sources.tables import Catalog
 from workload import bindings, managed, payloads
 from workload.bindings import AS_OF
 from workload.lake import Lake
@@ -25,7 +26,7 @@ from workload.payloads import loaded_at
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-HISTORY_RANGE = ("1996-01-01", "2000-12-31")
+HISTORY_RANGE = managed.HISTORY_RANGE
 
 
 def portable(df: DataFrame) -> DataFrame:
@@ -133,7 +134,7 @@ def _sources() -> dict[str, Query]:
 
     def rejects(s: SparkSession, d: str) -> DataFrame:
         found = None
-        for feed in FEEDS:
+        for feed in ALL_FEEDS:
             rows = rejected(payloads.broken(s, d, feed), feed)
             part = rows.groupBy(F.lit(feed).alias("feed"), "reason").agg(
                 F.count(F.lit(1)).alias("payloads"), F.sum("landed_key").alias("key_sum")
@@ -191,10 +192,10 @@ def _sources() -> dict[str, Query]:
 
 
 def _reports() -> dict[str, Query]:
-    """Readers of Silver and Gold."""
+    """Readers of the Silver and Gold tables that the daily jobs write."""
 
-    def over_tables(build: Callable[[Lake], DataFrame]) -> Query:
-        return lambda s, d: build(Lake(s, d))
+    def over_tables(build: Callable[[Catalog], DataFrame]) -> Query:
+        return lambda s, d: build(managed.tables(s, d))
 
     def over_audit(build: Callable[[DataFrame], DataFrame]) -> Query:
         return lambda s, d: build(bindings.audit_runs(s, d))
@@ -221,7 +222,7 @@ def _reports() -> dict[str, Query]:
         "demo_recent_macro": over_tables(dashboards.recent_macro),
         "demo_recent_movers": over_tables(dashboards.recent_movers),
         "validation_checks": over_tables(
-            lambda t: checks.run_checks({name: t[name] for name in t}, AS_OF)
+            lambda t: checks.run_checks({name: t[name] for name in t if name != "pipeline_runs"}, AS_OF)
         ),
         "measure_headlines": over_tables(
             lambda t: measures.headline_measures(t["cross_signal_summary"])
@@ -261,7 +262,7 @@ def _reports() -> dict[str, Query]:
     }
     queries |= {
         f"export_{table}": over_tables(
-            lambda t, table=table, day=day: json_ready(recent(t[table], day, AS_OF))
+            lambda t, table=table, day=day: json_ready(recent(t[table].select(*columns_of(table)), day, AS_OF))
         )
         for table, day in EXPORTS.items()
         if day
@@ -271,10 +272,21 @@ def _reports() -> dict[str, Query]:
 
 def _managed() -> dict[str, Query]:
     """The jobs and sinks, over tables of their own in the session's warehouse."""
+    updated = {
+        "incremental_market_snapshot": "daily_market_snapshot",
+        "incremental_fx_trends": "fx_trend_signals",
+        "incremental_macro_trends": "macro_indicator_trends",
+        "incremental_cross_signal_summary": "cross_signal_summary",
+        "incremental_top_movers_why": "top_movers_why",
+    }
     return {
         "managed_rates": managed.managed_rates,
         "managed_runs": managed.managed_runs,
         "exported_signals": managed.exported_signals,
+        "booked_rates": managed.booked_rates,
+        "versioned_rates": managed.versioned_rates,
+        "backfilled_prices": managed.backfilled_prices,
+        **{name: managed.updated(table) for name, table in updated.items()},
     }
 
 
