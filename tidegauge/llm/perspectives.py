@@ -11,6 +11,10 @@ with the conversation's distinct speakers, and rendered as array expressions.
 A hot conversation is spread over its pages, and the join is one that adaptive
 execution splits.
 
+A text or name cannot speak for somebody else: ``<|`` in it becomes ``<||``, which is no
+mark, and ``|>`` in a name ``||>``. Readers undo this by taking one ``|`` off. The column
+``perspective`` holds the name as it is.
+
 Edge cases: a null or empty role is the speaker ``unknown``; a null text is
 empty. System turns stay system turns in every rendering and are nobody's
 perspective; a conversation of system turns alone has no rendering. Rows without
@@ -31,8 +35,13 @@ SYSTEM, ASSISTANT, END = "<|system|>\n", "<|assistant|>\n", "<|end|>"
 NAMED_USER = ("<|user name=", "|>\n")
 
 
+def without_marks(text: Column) -> Column:
+    return F.replace(text, F.lit("<|"), F.lit("<||"))
+
+
 def header(speaker: Column, perspective: Column) -> Column:
-    named = F.concat(F.lit(NAMED_USER[0]), speaker, F.lit(NAMED_USER[1]))
+    name = F.replace(without_marks(speaker), F.lit("|>"), F.lit("||>"))
+    named = F.concat(F.lit(NAMED_USER[0]), name, F.lit(NAMED_USER[1]))
     return F.when(speaker == perspective, ASSISTANT).when(speaker == "system", SYSTEM).otherwise(named)
 
 
@@ -63,7 +72,7 @@ def render_perspectives(
         F.col(conversation).alias("__conv"),
         F.col(turn).alias("turn"),
         F.coalesce(F.nullif(F.col(role), F.lit("")), F.lit("unknown")).alias("speaker"),
-        F.coalesce(F.col(text), F.lit("")).alias("body"),
+        without_marks(F.coalesce(F.col(text), F.lit(""))).alias("body"),
         F.floor(F.col(turn) / PAGE).alias("page"),
     )
     in_page = Window.partitionBy("__conv", "page").orderBy("turn", "speaker", "body")
@@ -94,7 +103,7 @@ def sql_text(value: str) -> str:
 
 SQL = f"""
 WITH slim AS (
-  SELECT conv_id, turn, coalesce(nullif(role, ''), 'unknown') AS speaker, coalesce(text, '') AS body,
+  SELECT conv_id, turn, coalesce(nullif(role, ''), 'unknown') AS speaker, replace(coalesce(text, ''), '<|', '<||') AS body,
          CAST(floor(turn / {PAGE}) AS BIGINT) AS page
   FROM conversations
 ),
@@ -108,7 +117,7 @@ speakers AS (
 rotated AS (
   SELECT p.*, s.perspective,
          CASE WHEN speaker = perspective THEN {sql_text(ASSISTANT)} WHEN speaker = 'system' THEN {sql_text(SYSTEM)}
-              ELSE '{NAMED_USER[0]}' || speaker || {sql_text(NAMED_USER[1])} END AS head
+              ELSE '{NAMED_USER[0]}' || replace(replace(speaker, '<|', '<||'), '|>', '||>') || {sql_text(NAMED_USER[1])} END AS head
   FROM placed p JOIN speakers s ON p.conv_id IS NOT DISTINCT FROM s.own
 ),
 measured AS (
