@@ -943,6 +943,46 @@ def _briefing_sql(reports: dict[str, str]) -> str:
         )"""
 
 
+def _long_series_sql() -> dict[str, str]:
+    """Frame and decimals as in the queries."""
+    levels = (("month", "strftime(snapshot_date, '%Y-%m')"), ("year", "strftime(snapshot_date, '%Y')"), ("all", "'all'"))
+    return {
+        "asof_indicator_rows": """
+            SELECT currency_pair, quote_currency, CAST(rate_timestamp AS VARCHAR) AS rate_timestamp,
+                   CAST(rate AS DOUBLE) AS rate, CAST(o.told.observation_date AS VARCHAR) AS observation_date,
+                   o.told.country_code AS country_code, o.told.observation_value AS observation_value,
+                   o.told.trend_direction AS trend_direction
+            FROM fx_rates
+            ASOF LEFT JOIN (
+                SELECT indicator_name, CAST(observation_date AS TIMESTAMP) AS told_at,
+                       arg_max({'observation_date': observation_date, 'country_code': country_code,
+                                'observation_value': observation_value, 'trend_direction': trend_direction},
+                               country_code) AS told
+                FROM macro_indicator_trends GROUP BY 1, 2
+            ) o ON fx_rates.quote_currency = o.indicator_name AND fx_rates.rate_timestamp >= o.told_at""",
+        "fx_long_frames": """
+            SELECT currency_pair, CAST(rate_timestamp AS VARCHAR) AS rate_timestamp, CAST(rate AS DOUBLE) AS rate,
+                   n AS rates_in_frame, high / 1e5 AS high, low / 1e5 AS low,
+                   CAST(s AS DOUBLE) / n / 1e5 AS mean,
+                   CASE WHEN n > 1
+                        THEN sqrt(CAST(n * q - s * s AS DOUBLE) / CAST(n * (n - 1) AS DOUBLE)) / 1e5
+                   END AS deviation
+            FROM (
+                SELECT *, count(u) OVER w AS n, sum(u) OVER w AS s, sum(CAST(u AS HUGEINT) * u) OVER w AS q,
+                       max(u) OVER w AS high, min(u) OVER w AS low
+                FROM (SELECT *, CAST(round(rate * 100000) AS BIGINT) AS u FROM fx_rates)
+                WINDOW w AS (PARTITION BY currency_pair
+                             ORDER BY rate_date, rate_timestamp, base_currency, quote_currency
+                             ROWS BETWEEN 499 PRECEDING AND CURRENT ROW)
+            )""",
+        "history_coverage": " UNION ALL ".join(
+            f"SELECT '{name}' AS level, {period} AS period, count(DISTINCT symbol) AS series,"
+            f" count(DISTINCT snapshot_date) AS days FROM daily_market_snapshot GROUP BY 2"
+            for name, period in levels
+        ),
+    }
+
+
 def _managed_sql() -> dict[str, str]:
     exported = [
         f"CAST({c} AS VARCHAR) || '.678901' AS {c}" if c == "ingested_at" else _text(c) if c == "rate_date" else f"fx_trend_signals.{c}"
@@ -987,4 +1027,4 @@ def _managed_sql() -> dict[str, str]:
 def all_sql() -> dict[str, str]:
     reports = _report_sql()
     reports["briefing_json"] = _briefing_sql(reports)
-    return {name: _with(sql) for name, sql in (_build_sql() | _source_sql() | reports | _managed_sql()).items()}
+    return {name: _with(sql) for name, sql in (_build_sql() | _source_sql() | reports | _long_series_sql() | _managed_sql()).items()}

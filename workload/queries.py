@@ -8,8 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidegauge.functions.symbols import history_variants, map_ticker, suffix_or_us
+from tidegauge.operators.asof_rows import asof_rows
 from tidegauge.operators.latest import latest_rows
-from tidegauge.plans import briefing, checks, cross, dashboards, macro, measures
+from tidegauge.operators.long_frames import deviation_of_state, mean_of_state, moving_state
+from tidegauge.plans import briefing, checks, coverage, cross, dashboards, macro, measures
 from tidegauge.plans.market import market_snapshot
 from tidegauge.plans.silver import MARKET_KEY, typed_prices
 from tidegauge.session import configure
@@ -270,6 +272,51 @@ def _reports() -> dict[str, Query]:
     return queries
 
 
+#: Rates in a long frame and in a block, and decimals of a rate.
+LONG_FRAME, LONG_BLOCK, RATE_DIGITS = 500, 128, 5
+
+
+def _long_series() -> dict[str, Query]:
+    """Operators for series longer than a task should hold, over the written tables."""
+
+    def indicators_as_of(s: SparkSession, d: str) -> DataFrame:
+        written = managed.tables(s, d)
+        observed = written["macro_indicator_trends"].select(
+            F.col("indicator_name").alias("quote_currency"),
+            "observation_date", "country_code", "observation_value", "trend_direction",
+        )
+        rates = written["fx_rates"].select("currency_pair", "quote_currency", "rate_timestamp", "rate")
+        return asof_rows(rates, observed, ["quote_currency"], "rate_timestamp", "observation_date", ["country_code"])
+
+    def long_frames(s: SparkSession, d: str) -> DataFrame:
+        framed = moving_state(
+            managed.tables(s, d)["fx_rates"],
+            ["currency_pair"],
+            ["rate_date", "rate_timestamp", "base_currency", "quote_currency"],
+            F.date_trunc("hour", "rate_timestamp"),
+            F.date_trunc("second", "rate_timestamp"),
+            F.col("rate"),
+            RATE_DIGITS,
+            LONG_FRAME,
+            LONG_BLOCK,
+        )
+        unit = float(10**RATE_DIGITS)
+        return framed.select(
+            "currency_pair", "rate_timestamp", "rate", F.col("frame_n").alias("rates_in_frame"),
+            (F.col("frame_high") / unit).alias("high"), (F.col("frame_low") / unit).alias("low"),
+            mean_of_state(RATE_DIGITS).alias("mean"),
+            deviation_of_state(RATE_DIGITS).alias("deviation"),
+        )
+
+    return {
+        "asof_indicator_rows": indicators_as_of,
+        "fx_long_frames": long_frames,
+        "history_coverage": lambda s, d: coverage.coverage_report(
+            coverage.coverage_states(managed.tables(s, d)["daily_market_snapshot"], "symbol", "snapshot_date")
+        ),
+    }
+
+
 def _managed() -> dict[str, Query]:
     """The jobs and sinks, over tables of their own in the session's warehouse."""
     updated = {
@@ -291,5 +338,5 @@ def _managed() -> dict[str, Query]:
 
 
 def all_queries() -> dict[str, Query]:
-    queries = _builds() | _primitives() | _sources() | _reports() | _managed()
+    queries = _builds() | _primitives() | _sources() | _reports() | _long_series() | _managed()
     return {name: _query(build) for name, build in queries.items()}
