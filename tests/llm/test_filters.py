@@ -293,6 +293,46 @@ def test_url_parts_and_rules(spark):
     assert {r["verdict"] for r in url_filter.judge_urls(pages, []).collect()} == {"allow"}
 
 
+def test_trees_as_columns_equal_trees(spark):
+    rng = np.random.default_rng(4)
+    cells = rng.integers(0, url_filter.BINS, (400, 3))
+    blocked = (cells[:, 0] + cells[:, 1] > 7).astype(float)
+    base, trees = url_filter.grow_trees(cells, np.ones(400), blocked)
+    df = spark.createDataFrame([(i, *map(int, c)) for i, c in enumerate(cells)], "i int, b0 int, b1 int, b2 int")
+    bins = [F.col(f"b{i}") for i in range(3)]
+    rows = df.select(*[url_filter.tree_column(t, bins).alias(f"t{i}") for i, t in enumerate(trees)], "i").collect()
+    for r in rows:
+        assert [r[f"t{i}"] for i in range(len(trees))] == [url_filter.tree_value(t, cells[r["i"]]) for t in trees]
+    margin = base + np.array([sum(url_filter.tree_value(t, c) for t in trees) for c in cells])
+    assert ((margin > 0) == (blocked > 0)).mean() > 0.9
+
+
+def test_every_suffix_has_its_statistic(spark):
+    # 24 suffixes, half of them bad, and nothing else that tells bad from good.
+    rules, rows = [], []
+    for n in range(24):
+        top = "".join("abcdefghij"[int(c)] for c in f"{n:03d}")
+        rules.append(url_filter.Rule(f"ruled.{top}", "/", "block" if n % 2 else "allow"))
+        rows += [(len(rows) + k, f"http://h{k}.ruled.{top}/x/{k}", n) for k in range(8)]
+        rows.append((len(rows), f"http://free.{top}/x/1", n))
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, n int")
+    got = {r["page_id"]: r for r in url_filter.judge_urls(pages, rules).collect()}
+    free = [(got[i]["verdict"], n) for i, u, n in rows if "free" in u]
+    assert len(got) == len(rows) and all(got[i]["rule"] is None for i, u, _ in rows if "free" in u)
+    assert sum(v == ("block" if n % 2 else "allow") for v, n in free) >= 0.95 * len(free)
+
+
+def test_url_scores_of_unseen_hosts(spark):
+    """Held-out accuracy on the given pages: hosts of one fold are not learned from."""
+    pages = spark.read.parquet("/root/testdata/sf0.1/pages.parquet")
+    unseen = F.pmod(F.xxhash64("host"), F.lit(4)) == 0
+    judged = url_filter.judge_urls(pages, URL_RULES, unseen=unseen).filter(unseen & F.col("rule").isNotNull())
+    rows = [(r["score"] >= 0.5, brute_verdict(f"http://{r['host']}{r['path']}")[3] == "block") for r in judged.collect()]
+    right, blocked = sum(a == b for a, b in rows), sum(b for _, b in rows)
+    print(f"held out: {len(rows)} URLs, accuracy {right / len(rows):.3f}, all one verdict {max(blocked, len(rows) - blocked) / len(rows):.3f}")
+    assert right >= max(blocked, len(rows) - blocked)
+
+
 def test_trees_learn_from_labelled_urls(spark):
     rng = random.Random(1)
     rows = []

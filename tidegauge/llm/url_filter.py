@@ -12,6 +12,10 @@ trees are scored as CASE expressions. Only the cells of at most ``train_rows``
 labelled URLs (those with the smallest hashes) reach the driver, where the trees
 are grown from them.
 
+Suffix statistics cover all labelled URLs and every suffix, as a table that is
+joined. Hosts are dealt to ``FOLDS`` folds, and a URL that is learned from is given the
+statistics of the other folds, so its own label is not among its features.
+
 Edge cases: a null URL, or one without ``://``, has an empty host and path, fits
 no rule and is judged by the trees like any other. Without labelled rows of both
 verdicts every other URL gets the commoner verdict, or ``allow`` where there is
@@ -29,11 +33,13 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidegauge.llm.shared import written
+
 BLOCK, ALLOW = "block", "allow"
 BINS = 8
 TREES, DEPTH, RATE, LEAST = 24, 3, 0.3, 5.0
-#: Suffixes that get a statistic of their own, the most frequent first.
-SUFFIXES = 100
+#: Parts of the hosts; a labelled URL sees the suffix statistics of the other parts.
+FOLDS = 5
 
 
 @dataclass(frozen=True)
@@ -60,12 +66,12 @@ def after_scheme(url: Column) -> Column:
 
 
 def fitting_rule(host: Column, path: Column, rules: Sequence[Rule]) -> Column:
-    """Text of the longest rule that fits, or null."""
-    found = F.lit(None).cast("string")
-    for rule in sorted(rules, key=lambda r: (len(r.text), r.text)):
-        fits = ((host == rule.host) | host.endswith("." + rule.host)) & path.startswith(rule.path)
-        found = F.when(fits, F.lit(rule.text)).otherwise(found)
-    return found
+    """Text and verdict of the longest rule that fits, or null."""
+    fits = [
+        F.when(((host == r.host) | host.endswith("." + r.host)) & path.startswith(r.path), F.struct(F.lit(r.text).alias("text"), F.lit(r.verdict).alias("verdict")))
+        for r in sorted(rules, key=lambda r: (len(r.text), r.text), reverse=True)
+    ]
+    return F.coalesce(*fits, F.lit(None).cast("struct<text:string,verdict:string>"))
 
 
 def occurrences(text: Column, char: str) -> Column:
@@ -112,6 +118,13 @@ def suffix(host: Column) -> Column:
     return F.substring_index(host, ".", -1)
 
 
+def suffix_counts(labelled: DataFrame) -> DataFrame:
+    """Labelled and blocked URLs per suffix and fold, summed ahead of the shuffle."""
+    return labelled.groupBy("__suffix", "__fold").agg(
+        F.count(F.lit(1)).alias("__n"), F.sum("__y").alias("__blocked")
+    )
+
+
 def grow_trees(cells: np.ndarray, rows: np.ndarray, blocked: np.ndarray) -> tuple[float, list[dict]]:
     """Boosted trees for the logistic loss over binned cells.
 
@@ -165,41 +178,52 @@ def tree_column(tree: dict, bins: Sequence[Column]) -> Column:
 
 
 def judge_urls(
-    pages: DataFrame, rules: Sequence[Rule], key: str = "page_id", url: str = "url", train_rows: int = 20_000
+    pages: DataFrame,
+    rules: Sequence[Rule],
+    key: str = "page_id",
+    url: str = "url",
+    train_rows: int = 20_000,
+    unseen: Column | None = None,
 ) -> DataFrame:
-    """key, host, path, rule, verdict, score (chance of ``block`` by the trees)."""
+    """key, host, path, rule, verdict, score (chance of ``block`` by the trees).
+
+    Labelled URLs for which ``unseen`` holds (a condition on ``host`` and ``path``)
+    are not learned from, so that their scores measure the trees.
+    """
     slim = pages.select(F.col(key).alias("__key"), F.col(url).alias("__url"))
     host, path = host_and_path(F.col("__url"))
     parted = slim.withColumns({"host": host, "path": path})
-    ruled = parted.withColumn("rule", fitting_rule(F.col("host"), F.col("path"), rules))
-    verdicts = F.lit(None).cast("string")
-    for r in rules:
-        verdicts = F.when(F.col("rule") == r.text, F.lit(r.verdict)).otherwise(verdicts)
-    ruled = ruled.withColumn("__ruled", verdicts)
-
-    sample = (
-        ruled.filter("__ruled IS NOT NULL")
-        .orderBy(F.xxhash64("__url"), "__url", "__key")
-        .limit(train_rows)
-        .select("__url", "host", "path", (F.col("__ruled") == BLOCK).cast("int").alias("__y"))
+    ruled = parted.withColumn("__fits", fitting_rule(F.col("host"), F.col("path"), rules)).select(
+        "__key", "__url", "host", "path", F.col("__fits.text").alias("rule"), F.col("__fits.verdict").alias("__ruled")
     )
-    rates = (
-        sample.groupBy(suffix(F.col("host")).alias("suffix"))
-        .agg(F.count(F.lit(1)).alias("n"), F.sum("__y").alias("blocked"))
-        .orderBy(F.desc("n"), "suffix")
-        .limit(SUFFIXES)
-        .collect()
+    parted_by = ruled.withColumns(
+        {"__suffix": suffix(F.col("host")), "__fold": F.pmod(F.xxhash64("host"), F.lit(FOLDS))}
     )
-    rate = F.lit(0.5)
-    for r in reversed(rates):
-        rate = F.when(suffix(F.col("host")) == r["suffix"], F.lit((r["blocked"] + 1) / (r["n"] + 2))).otherwise(rate)
+    labelled = parted_by.filter("__ruled IS NOT NULL").withColumn("__y", (F.col("__ruled") == BLOCK).cast("long"))
+    if unseen is not None:
+        labelled = labelled.filter(~F.coalesce(unseen, F.lit(False)))
+    counts = written(suffix_counts(labelled), "suffix-counts")
+    sample = written(
+        labelled.orderBy(F.xxhash64("__url"), "__url", "__key")
+        .limit(train_rows)
+        .select("__url", "host", "path", "__suffix", "__fold", "__y"),
+        "labelled-urls",
+    )
+    of_all = counts.groupBy("__suffix").agg(F.sum("__n").alias("__n"), F.sum("__blocked").alias("__blocked"))
 
     def featured(df: DataFrame) -> DataFrame:
+        """``df`` has the rows' counts in ``__n`` and ``__blocked``, null for an unknown suffix."""
+        rate = F.coalesce((F.col("__blocked") + 1) / (F.col("__n") + 2), F.lit(0.5))
         found = lexical(F.col("__url"), F.col("host"), F.col("path")) | {"suffix_block_rate": rate}
         return df.withColumns({f"__{name}": found[name] for name in FEATURES})
 
     shares = [i / BINS for i in range(BINS + 1)]
-    learned = featured(sample)
+    own = counts.withColumnsRenamed({"__n": "__own_n", "__blocked": "__own_blocked"})
+    learned = featured(
+        sample.join(of_all, "__suffix", "left")
+        .join(own, ["__suffix", "__fold"], "left")
+        .withColumns({f"__{c}": F.col(f"__{c}") - F.coalesce(f"__own_{c}", F.lit(0)) for c in ("n", "blocked")})
+    )
     quantiles = learned.agg(*[F.percentile_approx(f"__{n}", shares, 10_000).alias(n) for n in FEATURES]).first()
     # Cuts lie half-way between quantiles, so that new values fall to the nearer side.
     held = [sorted(set(quantiles[n] or [])) for n in FEATURES]
@@ -222,7 +246,7 @@ def judge_urls(
         base, trees = grow_trees(grid, np.array([float(c["n"]) for c in cells]), np.array([float(c["blocked"]) for c in cells]))
     else:
         base, trees = -1.0, []
-    judged = featured(ruled).withColumns(bins)
+    judged = featured(parted_by.join(of_all, "__suffix", "left")).withColumns(bins)
     margin = sum((tree_column(t, [F.col(b) for b in bins]) for t in trees), F.lit(base))
     judged = judged.withColumn("score", 1 / (1 + F.exp(-margin)))
     verdict = F.coalesce("__ruled", F.when(F.col("score") >= 0.5, F.lit(BLOCK)).otherwise(F.lit(ALLOW)))
