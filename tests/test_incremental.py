@@ -8,11 +8,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from helpers import rows
-from tidegauge.plans import incremental, jobs
+from tidegauge.plans import briefing, checks, dashboards, incremental, jobs, measures, report_states
 from tidegauge.sinks import versions
 from tidegauge.sinks.tables import bootstrap
 from tidegauge.sinks.versions import current_version, months_moved, read_version
-from tidegauge.sources.tables import scan
+from tidegauge.sources.tables import Catalog, scan
 from workload.lake import BUILDERS, RAW
 from workload.managed import DELAYED, STAMPS, late
 
@@ -76,6 +76,48 @@ def test_untouched_months_keep_their_files(spark, built):
     assert set(written["fx_trend_signals"]) < set(MONTHS)
 
 
+def test_reports_from_states_equal_those_over_the_tables(spark, built):
+    prefix, _, _ = built
+    tables = Catalog(spark, prefix)
+    over_tables = {f"briefing_{name}": build for name, build in briefing.HEAVY_SECTIONS.items()} | {
+        "report_risk_return_by_symbol": lambda t: measures.report_avgs(t)["risk_return_by_symbol"],
+        "report_yoy_by_indicator_and_trend": lambda t: measures.report_avgs(t)["yoy_by_indicator_and_trend"],
+        "report_stressed_pairs_card": lambda t: measures.report_avgs(t)["stressed_pairs_card"],
+        "measure_stress_count": lambda t: measures.stress_count(t["daily_market_snapshot"], "symbol"),
+        "demo_layer_counts": dashboards.layer_counts,
+        "demo_freshness": dashboards.freshness,
+        "demo_history_depth": dashboards.history_depth,
+    }
+    assert set(over_tables) == set(report_states.REPORTS)
+    for name, build in over_tables.items():
+        expected, got = build(tables), report_states.REPORTS[name](tables)
+        assert rows(got, *expected.columns) == rows(expected), name
+    checked = checks.run_checks({t: tables[t] for t in tables if t != "pipeline_runs"}, "2002-01-01")
+    assert rows(report_states.run_checks(tables, "2002-01-01")) == rows(checked)
+    jobs_states = [rows(briefing.briefing_json(tables, True, heavy)) for heavy in (briefing.HEAVY_SECTIONS, report_states.HEAVY_SECTIONS)]
+    assert jobs_states[0] == jobs_states[1]
+
+
+def test_reports_from_states_read_no_daily_row(spark, built):
+    prefix, _, _ = built
+    tables = Catalog(spark, prefix)
+    dated = {"demo_freshness", "demo_layer_counts"}  # these read the summary, a row per date
+    for name, build in report_states.REPORTS.items():
+        files = build(tables).inputFiles()
+        allowed = "_months-" if name not in dated else ("_months-", "/cross_signal_summary-", "/load_ledger-")
+        read = {f.split("/_month=")[0].rsplit("/", 1)[-1] if "/_month=" in f else f for f in files}
+        kinds = (allowed,) if isinstance(allowed, str) else allowed
+        assert files and all(any(k.strip("/") in f for k in kinds) for f in read), (name, read)
+
+
+def test_states_of_untouched_months_keep_their_files(spark, built):
+    prefix, before, written = built
+    for state, (table, _) in report_states.BUILDERS.items():
+        now = current_version(spark, state, prefix)
+        moved = months_moved(spark, table, before[table], current_version(spark, table, prefix), prefix)
+        assert months_moved(spark, state, now - 1, now, prefix) == moved, state
+
+
 def test_nothing_new_writes_nothing(spark, built):
     prefix, _, _ = built
     now = {t: current_version(spark, t, prefix) for t in (*jobs.SILVER, "daily_market_snapshot")}

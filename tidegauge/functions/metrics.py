@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from functools import reduce
 from operator import or_
 
@@ -40,21 +41,34 @@ def as_exact(value: Column, digits: int) -> Column:
 EXACT = float(2**53)
 
 
-def exact_avg(value: Column, digits: int) -> Column:
-    """Mean of a metric that has ``digits`` decimals, as a rule.
+def mean_state(value: Column, digits: int) -> dict[str, Column]:
+    """Aggregates that a mean is made of, each a sum, so that the states of parts add up.
 
-    Sums the metric in units of its last decimal: whole numbers, whose sum as a
-    double is exact up to 2^53 whatever the order in which partial sums meet. What
-    a value has beyond its decimals is summed beside them, unless it is less than a
-    millionth of a unit, as the double nearest to a decimal has. Values too large for
-    units, infinite ones and NaN are summed as they are, as a plain mean would.
+    ``n`` counts the values. ``whole`` sums a metric that has ``digits`` decimals, as a
+    rule, in units of its last decimal: whole numbers, whose sum as a double is exact up
+    to 2^53 whatever the order in which partial sums meet. What a value has beyond its
+    decimals is summed beside them as ``rest``, unless it is less than a millionth of a
+    unit, as the double nearest to a decimal has. Values too large for units, infinite
+    ones and NaN are summed as they are in ``large``, as a plain mean would.
     """
-    units = float(10**digits)
     plain = value.cast("double")
-    scaled = plain * units
+    scaled = plain * float(10**digits)
     fits = F.abs(scaled) < EXACT
     off = scaled - F.rint(scaled)
-    whole = F.sum(F.when(fits, F.rint(scaled)).otherwise(0.0))
-    rest = F.sum(F.when(fits & (F.abs(off) > 1e-6), off).otherwise(0.0))
-    large = F.sum(F.when(~fits, plain).otherwise(0.0))
-    return F.try_divide((whole + rest) / units + large, F.count(value))
+    return {
+        "n": F.count(value),
+        "whole": F.sum(F.when(fits, F.rint(scaled)).otherwise(0.0)),
+        "rest": F.sum(F.when(fits & (F.abs(off) > 1e-6), off).otherwise(0.0)),
+        "large": F.sum(F.when(~fits, plain).otherwise(0.0)),
+    }
+
+
+def mean_of(state: Mapping[str, Column], digits: int) -> Column:
+    """The mean from (sums of) :func:`mean_state`; null where there is no value."""
+    units = float(10**digits)
+    return F.try_divide((state["whole"] + state["rest"]) / units + state["large"], state["n"])
+
+
+def exact_avg(value: Column, digits: int) -> Column:
+    """Mean of a metric that has ``digits`` decimals, the same in whatever order."""
+    return mean_of(mean_state(value, digits), digits)

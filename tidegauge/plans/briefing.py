@@ -244,22 +244,26 @@ def _rows_as_json(name: str, section: DataFrame) -> DataFrame:
     return section.select(F.lit(name).alias("section"), place.cast("long").alias("place"), row.alias("row"))
 
 
-def briefing_rows(gold: Gold, include_heavy: bool = False) -> DataFrame:
+Sections = Mapping[str, Callable[[Gold], DataFrame]]
+
+
+def briefing_rows(gold: Gold, include_heavy: bool = False, heavy: Sections = HEAVY_SECTIONS) -> DataFrame:
     """``section, place, row`` of all sections; at most fifteen rows each."""
-    sections = SECTIONS | (HEAVY_SECTIONS if include_heavy else {})
+    sections = SECTIONS | (dict(heavy) if include_heavy else {})
     return reduce(
         DataFrame.unionAll, [_rows_as_json(name, build(gold)) for name, build in sections.items()]
     )
 
 
-def briefing_json(gold: Gold, include_heavy: bool = False) -> DataFrame:
+def briefing_json(gold: Gold, include_heavy: bool = False, heavy: Sections = HEAVY_SECTIONS) -> DataFrame:
     """The whole briefing as one JSON text.
 
     ``latest_dates`` is one object, every other section a list; the heavy
-    sections are nested under ``heavy``.
+    sections are nested under ``heavy``. They may come from states
+    (:data:`tidegauge.plans.report_states.HEAVY_SECTIONS`).
     """
     lists = (
-        briefing_rows(gold, include_heavy)
+        briefing_rows(gold, include_heavy, heavy)
         .groupBy("section")
         .agg(F.array_sort(F.collect_list(F.struct("place", "row"))).alias("rows"))
         .select("section", F.array_join(F.transform("rows", lambda r: r["row"]), ",").alias("body"))
@@ -272,8 +276,8 @@ def briefing_json(gold: Gold, include_heavy: bool = False) -> DataFrame:
 
     fields = [field(name, name != "latest_dates") for name in SECTIONS]
     if include_heavy:
-        heavy = F.concat_ws(",", *[field(name) for name in HEAVY_SECTIONS])
-        fields.append(F.concat(F.lit('"heavy":{'), heavy, F.lit("}")))
+        nested = F.concat_ws(",", *[field(name) for name in HEAVY_SECTIONS])
+        fields.append(F.concat(F.lit('"heavy":{'), nested, F.lit("}")))
     return lists.agg(
         F.concat(F.lit("{"), F.concat_ws(",", *fields), F.lit("}")).alias("payload")
     )

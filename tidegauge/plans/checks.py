@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -43,6 +44,10 @@ FX_METRIC_ROWS = {
     "trend_signal": 31,
     "stress_flag": 31,
 }
+SERIES_METRICS = {
+    "daily_market_snapshot": ("symbol", "snapshot_date", MARKET_METRIC_ROWS),
+    "fx_trend_signals": ("currency_pair", "rate_date", FX_METRIC_ROWS),
+}
 NEVER_NULL = {
     "cross_signal_summary": ("risk_regime",),
     "top_movers_why": ("why_summary", "fx_context", "macro_context"),
@@ -59,20 +64,28 @@ def _result(check: str, subject: str, value: Column, limit: int, passed: Column)
     )
 
 
-def _table_facts(name: str, df: DataFrame, as_of: Column) -> DataFrame:
-    """Row count, age and history depth of a table from one pass over it."""
-    facts = [F.count(F.lit(1)).alias("rows")]
+def facts_checked(name: str, facts: DataFrame, as_of: Column) -> DataFrame:
+    """Checks of a table's one row of facts: ``rows``, ``newest`` and ``dates``, the
+    latter two where the table has such checks."""
     results = [_result("non_empty", name, F.col("rows"), 0, F.col("rows") > 0)]
     if name in DATE_COLUMNS:
-        day = F.to_date(F.col(DATE_COLUMNS[name]))
-        facts.append(F.max(day).alias("newest"))
         age, limit = F.date_diff(as_of, F.col("newest")), MAX_AGE_DAYS[name]
         results.append(_result("freshness_days", name, age, limit, age <= limit))
         if name in MIN_HISTORY_DATES:
-            facts.append(F.count_distinct(day).alias("dates"))
             depth, limit = F.col("dates"), MIN_HISTORY_DATES[name]
             results.append(_result("history_dates", name, depth, limit, depth >= limit))
-    return df.agg(*facts).select(F.inline(F.array(*results)))
+    return facts.select(F.inline(F.array(*results)))
+
+
+def table_facts(name: str, df: DataFrame) -> DataFrame:
+    """Row count, newest date and history depth of a table from one pass over it."""
+    facts = [F.count(F.lit(1)).alias("rows")]
+    if name in DATE_COLUMNS:
+        day = F.to_date(F.col(DATE_COLUMNS[name]))
+        facts.append(F.max(day).alias("newest"))
+        if name in MIN_HISTORY_DATES:
+            facts.append(F.count_distinct(day).alias("dates"))
+    return df.agg(*facts)
 
 
 def duplicate_keys(df: DataFrame, keys) -> DataFrame:
@@ -91,6 +104,12 @@ def incomplete_series(
     seen = df.groupBy(key, date_column).agg(
         F.count(F.lit(1)).alias("rows"), *[F.max(F.col(m).isNotNull()).alias(m) for m in metric_rows]
     )
+    return lacking_series(seen, key, date_column, metric_rows)
+
+
+def lacking_series(seen: DataFrame, key: str, date_column: str, metric_rows: Mapping[str, int]) -> DataFrame:
+    """As :func:`incomplete_series`, from rows of one or more dates of a series: its
+    newest date, the number of ``rows``, and per metric whether that date has it."""
     due = [(F.col("history") >= rows) & ~F.col(f"newest.{metric}") for metric, rows in metric_rows.items()]
     lacking = F.filter(
         F.array(*[F.when(d, m) for d, m in zip(due, metric_rows)]), lambda m: m.isNotNull()
@@ -103,35 +122,34 @@ def incomplete_series(
     )
 
 
-def _none_of(check: str, subject: str, offenders: DataFrame) -> DataFrame:
-    return offenders.agg(F.count(F.lit(1)).alias("n")).select(
-        F.inline(F.array(_result(check, subject, F.col("n"), 0, F.col("n") == 0)))
-    )
+def none_of(check: str, subject: str, offenders: DataFrame) -> DataFrame:
+    return count_is_zero(check, subject, offenders.agg(F.count(F.lit(1)).alias("n")))
+
+
+def count_is_zero(check: str, subject: str, counted: DataFrame) -> DataFrame:
+    """The check of one row ``n``."""
+    return counted.select(F.inline(F.array(_result(check, subject, F.col("n"), 0, F.col("n") == 0))))
+
+
+def missing_values(name: str, df: DataFrame) -> DataFrame:
+    """The check of the columns that are never null."""
+    missing = " or ".join(f"{c} is null" for c in NEVER_NULL[name])
+    return none_of("missing_metrics", name, df.filter(missing))
 
 
 def run_checks(tables: Mapping[str, DataFrame], as_of: str | date | None = None) -> DataFrame:
     """``check, subject, value, threshold, passed`` for the tables given."""
     today = F.current_date() if as_of is None else F.lit(as_of).cast("date")
-    parts = [_table_facts(name, df, today) for name, df in tables.items()]
+    parts = [facts_checked(name, table_facts(name, df), today) for name, df in tables.items()]
     for name, keys in BUSINESS_KEYS.items():
         if name in tables:
-            parts.append(_none_of("duplicate_keys", name, duplicate_keys(tables[name], keys)))
-    series = {
-        "daily_market_snapshot": ("symbol", "snapshot_date", MARKET_METRIC_ROWS),
-        "fx_trend_signals": ("currency_pair", "rate_date", FX_METRIC_ROWS),
-    }
-    for name, (key, date_column, metric_rows) in series.items():
+            parts.append(none_of("duplicate_keys", name, duplicate_keys(tables[name], keys)))
+    for name, (key, date_column, metric_rows) in SERIES_METRICS.items():
         if name in tables:
             lacking = incomplete_series(tables[name], key, date_column, metric_rows)
-            parts.append(_none_of("missing_metrics", name, lacking))
-    for name, columns in NEVER_NULL.items():
-        if name in tables:
-            missing = " or ".join(f"{c} is null" for c in columns)
-            parts.append(_none_of("missing_metrics", name, tables[name].filter(missing)))
-    result = parts[0]
-    for part in parts[1:]:
-        result = result.unionAll(part)
-    return result
+            parts.append(none_of("missing_metrics", name, lacking))
+    parts += [missing_values(name, tables[name]) for name in NEVER_NULL if name in tables]
+    return reduce(DataFrame.unionAll, parts)
 
 
 class ValidationError(RuntimeError):

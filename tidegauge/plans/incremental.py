@@ -17,6 +17,8 @@ For each domain:
    it, so those of the old rows are taken off and those of the new are added. The
    summary is put together from these states, and the movers from the newest month
    and the summary.
+5. States of the reports and checks (:mod:`tidegauge.plans.report_states`) are built
+   anew for the months of Silver and Gold that were written.
 
 Months that nothing touches are neither read nor written: a new version of a table
 points to the folders that they have. Every table names the version of its source, so
@@ -34,6 +36,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidegauge.operators.latest import latest_rows
+from tidegauge.plans import report_states
 from tidegauge.plans.cross import fx_breadth_by_date, macro_changes_by_date, market_breadth_by_date, summary_of
 from tidegauge.plans.fx import fx_trends
 from tidegauge.plans.jobs import rebuild_gold, rebuild_silver
@@ -184,14 +187,27 @@ def update_gold(spark: SparkSession, domain: Domain, prefix: str = "") -> list[s
     return written
 
 
+def update_by_month(
+    spark: SparkSession, state: str, table: str, build: Callable[[DataFrame], DataFrame], prefix: str = ""
+) -> None:
+    """A state of a table's months, of those that have been written since."""
+    before, after = source_of(spark, state, prefix), current_version(spark, table, prefix)
+    months = months_moved(spark, table, before, after, prefix)
+    if months:
+        rows = read_version(spark, table, after, prefix).filter(F.col(MONTH).isin(months))
+        replace(build(rows), state, months=months, source=after, prefix=prefix)
+
+
 def update_breadth(spark: SparkSession, domain: Domain, prefix: str = "") -> None:
     """Breadth per date of the months that Gold has written."""
     table, by_date = BREADTH[domain.gold]
-    before, after = source_of(spark, table, prefix), current_version(spark, domain.gold, prefix)
-    months = months_moved(spark, domain.gold, before, after, prefix)
-    if months:
-        rows = read_version(spark, domain.gold, after, prefix).filter(F.col(MONTH).isin(months))
-        replace(by_date(rows), table, months=months, source=after, prefix=prefix)
+    update_by_month(spark, table, domain.gold, by_date, prefix)
+
+
+def update_report_states(spark: SparkSession, prefix: str = "") -> None:
+    """What reports and checks are put together from."""
+    for state, (table, build) in report_states.BUILDERS.items():
+        update_by_month(spark, state, table, build, prefix)
 
 
 def update_macro_changes(spark: SparkSession, prefix: str = "") -> None:
@@ -225,10 +241,14 @@ def rebuild_states(spark: SparkSession, prefix: str = "") -> None:
     """All states from whole Silver and Gold tables, to go on from."""
     for domain in DOMAINS:
         replace(series_months(domain, scan(spark, domain.silver, prefix)), domain.months, prefix=prefix)
-    by_date = {**{gold: pair for gold, pair in BREADTH.items()}, MACRO.gold: ("macro_changes", macro_changes_by_date)}
-    for gold, (table, build) in by_date.items():
-        version = current_version(spark, gold, prefix)
-        replace(build(read_version(spark, gold, version, prefix)), table, source=version, prefix=prefix)
+    built = {
+        **{state: (gold, build) for gold, (state, build) in BREADTH.items()},
+        "macro_changes": (MACRO.gold, macro_changes_by_date),
+        **report_states.BUILDERS,
+    }
+    for state, (table, build) in built.items():
+        version = current_version(spark, table, prefix)
+        replace(build(read_version(spark, table, version, prefix)), state, source=version, prefix=prefix)
 
 
 def full_build(spark: SparkSession, prefix: str = "") -> None:
@@ -261,5 +281,6 @@ def update(spark: SparkSession, prefix: str = "") -> dict[str, list[str]]:
     for domain in (MARKET, FX):
         update_breadth(spark, domain, prefix)
     update_macro_changes(spark, prefix)
+    update_report_states(spark, prefix)
     audited(spark, "update_cross_signal_summary", lambda: update_summary(spark, prefix), prefix)
     return written

@@ -7,6 +7,7 @@ from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidegauge.plans import report_states
 from tidegauge.plans.checks import require_all, run_checks
 from tidegauge.plans.cross import cross_signal_summary
 from tidegauge.plans.fx import fx_trends
@@ -22,7 +23,7 @@ from tidegauge.sinks.versions import current_version, read_version, replace
 from tidegauge.sources.payloads import rejected
 from tidegauge.sources.prices import first_available_source, load_report, report_counts
 from tidegauge.sources.schemas import TABLES, columns_of
-from tidegauge.sources.tables import scan
+from tidegauge.sources.tables import Catalog, scan
 
 # Target table -> tables it is built from and the function that builds it.
 SILVER: dict[str, tuple[tuple[str, ...], Callable[..., DataFrame]]] = {
@@ -148,11 +149,15 @@ def rebuild_gold(spark: SparkSession, prefix: str = "") -> int:
     return audited(spark, "gold_analytics", lambda: rebuild(spark, "gold", GOLD, prefix), prefix)
 
 
-def validate(spark: SparkSession, as_of: str | date | None = None, prefix: str = "") -> int:
-    """Check all tables; the audit row is part of the result, so it may fail."""
+def validate(spark: SparkSession, as_of: str | date | None = None, prefix: str = "", from_states: bool = False) -> int:
+    """Check all tables; the audit row is part of the result, so it may fail.
+
+    ``from_states`` reads the states that updates keep instead of the tables.
+    """
     tables = {name: scan(spark, name, prefix) for name in TABLES if name != "pipeline_runs"}
     try:
-        passed = require_all(run_checks(tables, as_of))
+        results = report_states.run_checks(Catalog(spark, prefix), as_of) if from_states else run_checks(tables, as_of)
+        passed = require_all(results)
     except Exception as error:
         try_log_run(spark, "validation_queries", "FAILED", 0, str(error), prefix)
         raise

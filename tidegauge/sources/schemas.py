@@ -112,6 +112,43 @@ STATES = {
         ),
     ),
 }
+
+
+def _silver_months() -> tuple[str, str]:
+    return "state", "month string, row_count bigint, newest date, days int, duplicate_keys bigint"
+
+
+def _mean(name: str) -> str:
+    return f"{name}__n bigint, {name}__whole double, {name}__rest double, {name}__large double"
+
+
+# States of the reports and checks: one row per month (and series), which add up. ``days``
+# has a bit for each day of the month that occurs; ``has_`` says of the last date only.
+REPORT_STATES = {
+    "market_prices_months": _silver_months(),
+    "fx_rates_months": _silver_months(),
+    "macro_indicators_months": _silver_months(),
+    "market_report_months": (
+        "state",
+        "month string, symbol string, first_date date, last_date date, row_count bigint, days int,"
+        " stressed bigint, currencies array<string>, has_return_7d_pct boolean, has_return_30d_pct boolean,"
+        " has_return_90d_pct boolean, has_rolling_30d_volatility boolean, has_drawdown_from_90d_high_pct boolean, "
+        + ", ".join(_mean(m) for m in ("return_30d_pct", "rolling_30d_volatility", "drawdown_from_90d_high_pct")),
+    ),
+    "fx_report_months": (
+        "state",
+        "month string, currency_pair string, first_date date, last_date date, row_count bigint, days int,"
+        " flagged bigint, max_abs_return_30d_pct double, has_return_30d_pct boolean,"
+        " has_rolling_30d_volatility boolean, has_trend_signal boolean, has_stress_flag boolean, "
+        + ", ".join(_mean(m) for m in ("abs_daily_change_pct", "rolling_30d_volatility")),
+    ),
+    "macro_report_months": (
+        "state",
+        "month string, country_code string, indicator_name string, trend_direction string,"
+        " first_date date, last_date date, row_count bigint, days int, " + _mean("year_over_year_pct"),
+    ),
+}
+STATES |= REPORT_STATES
 BOOKS = {
     "load_ledger": (
         "audit",
@@ -146,6 +183,7 @@ MONTH_OF = {
     "market_breadth": "as_of_date",
     "fx_breadth": "as_of_date",
     "macro_changes": "as_of_date",
+    **dict.fromkeys(REPORT_STATES, "month"),
 }
 
 LAYERS = ("bronze", "silver", "gold", "audit", "state")

@@ -143,6 +143,11 @@ def updated(table: str) -> Callable[[SparkSession, str], DataFrame]:
     return lambda spark, sf_dir: scan(spark, table, once(spark, sf_dir, incremental_lake))
 
 
+def from_states(build: Callable[[Catalog], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    """A report over states that an update has brought up to date."""
+    return lambda spark, sf_dir: build(Catalog(spark, once(spark, sf_dir, incremental_lake)))
+
+
 def booked_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw rates after a load that was lost ahead of the ledger, run again, and run once
     more by somebody who did not hear that it was done."""

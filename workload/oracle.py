@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import re
 
+from tidegauge.plans.report_states import REPORTS
 from tidegauge.sources.schemas import columns_of
 from workload.bindings import AS_OF
 from workload.managed import HISTORY_RANGE, SPLIT
@@ -1027,4 +1028,7 @@ def _managed_sql() -> dict[str, str]:
 def all_sql() -> dict[str, str]:
     reports = _report_sql()
     reports["briefing_json"] = _briefing_sql(reports)
-    return {name: _with(sql) for name, sql in (_build_sql() | _source_sql() | reports | _long_series_sql() | _managed_sql()).items()}
+    # What comes from states is checked by the SQL over the daily rows.
+    from_states = {f"state_{name}": reports[name] for name in (*REPORTS, "validation_checks", "briefing_json")}
+    parts = (_build_sql(), _source_sql(), reports, _long_series_sql(), _managed_sql(), from_states)
+    return {name: _with(sql) for part in parts for name, sql in part.items()}

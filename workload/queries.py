@@ -11,7 +11,7 @@ from tidegauge.functions.symbols import history_variants, map_ticker, suffix_or_
 from tidegauge.operators.asof_rows import asof_rows
 from tidegauge.operators.latest import latest_rows
 from tidegauge.operators.long_frames import deviation_of_state, mean_of_state, moving_state
-from tidegauge.plans import briefing, checks, coverage, cross, dashboards, macro, measures
+from tidegauge.plans import briefing, checks, coverage, cross, dashboards, macro, measures, report_states
 from tidegauge.plans.market import market_snapshot
 from tidegauge.plans.silver import MARKET_KEY, typed_prices
 from tidegauge.session import configure
@@ -334,6 +334,13 @@ def _managed() -> dict[str, Query]:
         "versioned_rates": managed.versioned_rates,
         "backfilled_prices": managed.backfilled_prices,
         **{name: managed.updated(table) for name, table in updated.items()},
+        **{f"state_{name}": managed.from_states(build) for name, build in report_states.REPORTS.items()},
+        "state_validation_checks": managed.from_states(lambda t: report_states.run_checks(t, AS_OF)),
+        "state_briefing_json": managed.from_states(
+            lambda t: briefing.briefing_fields(
+                briefing.briefing_json(t, include_heavy=True, heavy=report_states.HEAVY_SECTIONS)
+            )
+        ),
     }
 
 
