@@ -1030,5 +1030,7 @@ def all_sql() -> dict[str, str]:
     reports["briefing_json"] = _briefing_sql(reports)
     # What comes from states is checked by the SQL over the daily rows.
     from_states = {f"state_{name}": reports[name] for name in (*REPORTS, "validation_checks", "briefing_json")}
+    for name, column, raw in (("demo_layer_counts", "layer_name", "bronze%"), ("validation_checks", "subject", "%raw")):
+        from_states[f"state_{name}"] = f"SELECT * FROM ({reports[name]}) WHERE {column} NOT LIKE '{raw}'"
     parts = (_build_sql(), _source_sql(), reports, _long_series_sql(), _managed_sql(), from_states)
     return {name: _with(sql) for part in parts for name, sql in part.items()}

@@ -335,7 +335,14 @@ def _managed() -> dict[str, Query]:
         "backfilled_prices": managed.backfilled_prices,
         **{name: managed.updated(table) for name, table in updated.items()},
         **{f"state_{name}": managed.from_states(build) for name, build in report_states.REPORTS.items()},
-        "state_validation_checks": managed.from_states(lambda t: report_states.run_checks(t, AS_OF)),
+        # Raw rows of that lake come in part twice, by a hash that SQL does not have; their
+        # counts are left to the tests.
+        "state_demo_layer_counts": managed.from_states(
+            lambda t: report_states.layer_counts(t).filter("layer_name NOT LIKE 'bronze%'")
+        ),
+        "state_validation_checks": managed.from_states(
+            lambda t: report_states.run_checks(t, AS_OF).filter("subject NOT LIKE '%raw'")
+        ),
         "state_briefing_json": managed.from_states(
             lambda t: briefing.briefing_fields(
                 briefing.briefing_json(t, include_heavy=True, heavy=report_states.HEAVY_SECTIONS)
