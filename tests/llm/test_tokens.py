@@ -6,6 +6,7 @@ import hashlib
 import zlib
 
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 
 from tidegauge.llm import token_output
@@ -62,6 +63,33 @@ def test_heap_and_scan_merge_alike():
         assert bpe.merge_long(start) == bpe.encode(word)
 
 
+def test_coder_needs_fewer_bits_than_order_0(library):
+    """A block of real texts against the entropy of its own id frequencies."""
+    texts = pq.read_table("/root/testdata/sf0.1/documents.parquet", columns=["doc_id", "text"]).sort_by("doc_id")
+    found, held = [], 0
+    for batch in texts.to_batches(500):
+        for coded in library.encode_batch([t or "" for t in batch["text"].to_pylist()], add_special_tokens=False):
+            found.append(np.array([*coded.ids, 2]))
+            held += len(found[-1])
+        if held >= token_output.BLOCK_IDS:
+            break
+    ids = np.concatenate(found)[: token_output.BLOCK_IDS]
+    shares = np.bincount(ids)[np.unique(ids)] / len(ids)
+    block = encode_block(ids)
+    assert (decode_block(block) == ids).all()
+    assert 8 * len(block) < -(shares * np.log2(shares)).sum() * len(ids)
+
+
+def test_coder_of_ids_far_apart():
+    ids = np.array([1_000_000, 5, 1_000_000, 0, 999_999] * 300, dtype=np.uint32)
+    block = encode_block(ids)
+    assert (decode_block(block) == ids).all()
+    for at in (9, 25, 30, len(block) - 1):
+        broken = block[:at] + bytes([block[at] ^ 1]) + block[at + 1 :]
+        with pytest.raises(ValueError, match="checksum"):
+            decode_block(broken)
+
+
 @pytest.mark.parametrize("count", [1, 2, 255, 256, 1000, 70_000])
 @pytest.mark.parametrize("kind", ["any", "one", "few", "last"])
 def test_coder_round_trip(count, kind):

@@ -10,9 +10,11 @@ prediction, and of any id by its order-0 frequency. The mixed chances drive a
 carry-less range coder with a 64-bit low and 32-bit output words per lane.
 
 Frequencies are refreshed after steps 1, 2, 4, ... and then every ``REFRESH``
-steps, so encoder and decoder see the same tables. Layout of a block, all numbers
-little-endian: magic ``TGC1``, crc32 of the rest, number of ids, lanes, alphabet
-size, words per lane, words.
+steps, so encoder and decoder see the same tables. The model knows the block's own
+ids only, numbered in ascending order, so ids that do not occur take no share of the
+order-0 frequencies. Layout of a block, all numbers little-endian: magic ``TGC2``,
+crc32 of the rest, number of ids, lanes, number of distinct ids, size of their list,
+the list (differences, deflated), words per lane, words.
 """
 
 from __future__ import annotations
@@ -22,13 +24,13 @@ import zlib
 
 import numpy as np
 
-MAGIC = b"TGC1"
-HEADER = struct.Struct("<4sIIII")
+MAGIC = b"TGC2"
+HEADER = struct.Struct("<4sIIIII")
 #: Ids per lane aimed at, and lanes of a block at most.
 LANE, LANES = 256, 4096
 REFRESH = 32
-MIX_BITS, ID_BITS = 12, 18
-CONTEXT_BITS = 18
+MIX_BITS, ID_BITS = 12, 20
+CONTEXT_BITS = 20
 #: Confidence runs from 0 to this; state = 2 confidences and whether they agree.
 SURE = 7
 STATES = 2 * (SURE + 1) ** 2
@@ -116,8 +118,11 @@ def lane_grid(count: int, lanes: int) -> np.ndarray:
 
 def encode_block(ids: np.ndarray) -> bytes:
     """A block of at least one id."""
-    count, lanes, alphabet = len(ids), lanes_for(len(ids)), int(ids.max()) + 1
-    ids = ids.astype(np.int32)
+    present = np.flatnonzero(np.bincount(ids))
+    count, lanes, alphabet = len(ids), lanes_for(len(ids)), len(present)
+    rank = np.zeros(int(present[-1]) + 1, dtype=np.int32)
+    rank[present] = np.arange(alphabet, dtype=np.int32)
+    ids = rank[ids]
     begin = lane_grid(count, lanes)
     model = Model(alphabet)
     low, span = np.zeros(lanes, dtype=np.uint64), np.full(lanes, (1 << 64) - 1, dtype=np.uint64)
@@ -152,7 +157,8 @@ def encode_block(ids: np.ndarray) -> bytes:
     lane, words = np.concatenate(out_lane), np.concatenate(out_word)
     order = np.argsort(lane, kind="stable")
     body = np.bincount(lane, minlength=lanes).astype("<u4").tobytes() + words[order].astype("<u4").tobytes()
-    tail = struct.pack("<III", count, lanes, alphabet) + body
+    listed = zlib.compress(np.diff(present, prepend=0).astype("<u4").tobytes())
+    tail = struct.pack("<IIII", count, lanes, alphabet, len(listed)) + listed + body
     return MAGIC + struct.pack("<I", zlib.crc32(tail)) + tail
 
 
@@ -173,11 +179,14 @@ def decode_block(block: bytes) -> np.ndarray:
     """The ids of a block; raises ValueError where the block is damaged."""
     if len(block) < HEADER.size or block[:4] != MAGIC:
         raise ValueError("not a block of coded ids")
-    _, check, count, lanes, alphabet = HEADER.unpack_from(block)
+    _, check, count, lanes, alphabet, listed = HEADER.unpack_from(block)
     if zlib.crc32(memoryview(block)[8:]) != check:
         raise ValueError("checksum of a block of coded ids does not match")
-    lengths = np.frombuffer(block, "<u4", lanes, HEADER.size).astype(np.int64)
-    words = np.frombuffer(block, "<u4", -1, HEADER.size + 4 * lanes).astype(np.uint64)
+    body = HEADER.size + listed
+    steps = np.frombuffer(zlib.decompress(block[HEADER.size : body]), "<u4")
+    present = np.cumsum(steps, dtype=np.int64)
+    lengths = np.frombuffer(block, "<u4", lanes, body).astype(np.int64)
+    words = np.frombuffer(block, "<u4", -1, body + 4 * lanes).astype(np.uint64)
     at = np.cumsum(lengths) - lengths
     begin = lane_grid(count, lanes)
     model = Model(alphabet)
@@ -214,4 +223,4 @@ def decode_block(block: bytes) -> np.ndarray:
         prev1, prev2 = x, prev1[:n]
         if due(step + 1):
             model.refresh()
-    return ids
+    return present[ids].astype(np.int32)
