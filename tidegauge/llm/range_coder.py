@@ -40,12 +40,18 @@ _LOW32, _S32 = _U((1 << 32) - 1), _U(32)
 _SID, _SALL = _U(ID_BITS), _U(MIX_BITS + ID_BITS)
 
 
+#: What a confidence becomes, at ``confidence + 8 * hit``.
+NEXT = np.array([s >> 2 for s in range(SURE + 1)] + [min(s + 1, SURE) for s in range(SURE + 1)], dtype=np.int32)
+
+
 class Model:
     """Adaptive state of one block.
 
-    ``after1`` and ``after2`` hold id * 8 + confidence by context. ``begin`` and
-    ``width`` hold the mixed interval of each state's three outcomes, in units of
-    the order-0 interval.
+    ``after1`` and ``after2`` hold id * 8 + confidence by context. A case is 4 * state +
+    2 * (the order-2 prediction came true) + (the order-1 prediction did). The interval
+    of an id begins at ``begin`` of its case plus ``share`` times the id's order-0 begin,
+    and is ``width`` plus ``share`` times its order-0 frequency wide; ``share`` is 0
+    where a prediction came true, ``width`` is 0 where none did.
     """
 
     def __init__(self, alphabet: int):
@@ -56,43 +62,60 @@ class Model:
         self.mixed = np.ones((STATES, 3), dtype=np.int64)
         self.mixed[:, 2] = 4
         self.fresh_ids: list[np.ndarray] = []
-        self.fresh_mix: list[np.ndarray] = []
+        self.fresh_cases: list[np.ndarray] = []
         self.refresh()
 
     def refresh(self) -> None:
         if self.fresh_ids:
             self.seen += np.bincount(np.concatenate(self.fresh_ids), minlength=self.alphabet)
-            added = np.bincount(np.concatenate(self.fresh_mix), minlength=3 * STATES).reshape(STATES, 3)
-            self.mixed = self.mixed + added
-            self.fresh_ids, self.fresh_mix = [], []
+            cases = np.bincount(np.concatenate(self.fresh_cases), minlength=4 * STATES).reshape(STATES, 4)
+            # An order-2 prediction that came true counts, whatever the other did.
+            self.mixed += np.stack([cases[:, 2] + cases[:, 3], cases[:, 1], cases[:, 0]], axis=1)
+            self.fresh_ids, self.fresh_cases = [], []
         spare = (1 << ID_BITS) - self.alphabet
         freq = self.seen * spare // max(1, int(self.seen.sum())) + 1
         freq[int(freq.argmax())] += (1 << ID_BITS) - int(freq.sum())
+        self.freq = freq
         self.id_freq = freq.astype(np.uint64)
         self.id_start = (np.cumsum(freq) - freq).astype(np.uint64)
-        self.at_slot = np.repeat(np.arange(self.alphabet, dtype=np.int32), freq)
         shares = self.mixed * ((1 << MIX_BITS) - 3) // self.mixed.sum(axis=1, keepdims=True) + 1
         shares[:, 2] += (1 << MIX_BITS) - shares.sum(axis=1)
-        self.share0 = np.ascontiguousarray(shares[:, 2]).astype(np.uint64)
-        self.width = (shares.ravel() << ID_BITS).astype(np.uint64)
-        self.begin = ((np.cumsum(shares, axis=1) - shares).ravel() << ID_BITS).astype(np.uint64)
-        self.end2, self.end1 = (np.cumsum(shares, axis=1)[:, i].astype(np.uint64) << _SID for i in range(2))
-
-    def predict(self, prev1: np.ndarray, prev2: np.ndarray) -> None:
+        ends = np.cumsum(shares, axis=1)
+        begins = ends - shares
+        none = np.zeros(STATES, dtype=np.int64)
+        self.begin = _table(begins[:, 2], begins[:, 1], begins[:, 0], begins[:, 0]) << _SID
+        self.width = _table(none, shares[:, 1], shares[:, 0], shares[:, 0]) << _SID
+        self.share = _table(shares[:, 2], none, none, none)
+        self.end2, self.end1 = (ends[:, i].astype(np.uint64) << _SID for i in range(2))
+
+    def slots(self) -> np.ndarray:
+        """The id at each order-0 slot."""
+        kind = np.uint16 if self.alphabet <= 1 << 16 else np.int32
+        return np.repeat(np.arange(self.alphabet, dtype=kind), self.freq)
+
+    def predict(self, prev1: np.ndarray, prev2: np.ndarray) -> np.ndarray:
+        """The state of each lane."""
         self.ctx1 = prev1
-        self.ctx2 = (prev2 * np.int32(40503) + prev1 * np.int32(-1640531535)) & np.int32((1 << CONTEXT_BITS) - 1)
-        held1, held2 = self.after1[prev1], self.after2[self.ctx2]
-        self.id1, self.sure1 = held1 >> 3, held1 & 7
-        self.id2, self.sure2 = held2 >> 3, held2 & 7
-        self.state = (self.sure2 << 4) | (self.sure1 << 1) | (self.id1 == self.id2)
-
-    def learn(self, ids: np.ndarray, hit1: np.ndarray, hit2: np.ndarray, mix: np.ndarray) -> None:
-        """Lanes with the same context write in turn; the last one stays."""
-        wide = ids << 3
-        self.after1[self.ctx1] = wide | np.where(hit1, np.minimum(self.sure1 + 1, SURE), self.sure1 >> 2)
-        self.after2[self.ctx2] = wide | np.where(hit2, np.minimum(self.sure2 + 1, SURE), self.sure2 >> 2)
+        self.ctx2 = (prev2 * 40503 + prev1 * -1640531535) & ((1 << CONTEXT_BITS) - 1)
+        self.held1, self.held2 = self.after1.take(prev1), self.after2.take(self.ctx2)
+        self.sure1, self.sure2 = self.held1 & SURE, self.held2 & SURE
+        return (self.sure2 << 4) | (self.sure1 << 1) | ((self.held1 ^ self.held2) <= SURE)
+
+    def learn(self, ids: np.ndarray, state: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Take the ids in; returns begin, width and share of each lane's case. Lanes with
+        the same context write in turn; the last one stays."""
+        wide = ids.astype(np.int32) << 3
+        hit1, hit2 = ((held ^ wide) <= SURE for held in (self.held1, self.held2))
+        case = ((state << 2) | (hit2.view(np.int8) << 1) | hit1).astype(np.intp)
+        self.after1[self.ctx1] = wide | NEXT.take(self.sure1 | (hit1.view(np.int8) << 3))
+        self.after2[self.ctx2] = wide | NEXT.take(self.sure2 | (hit2.view(np.int8) << 3))
         self.fresh_ids.append(ids)
-        self.fresh_mix.append(mix)
+        self.fresh_cases.append(case)
+        return self.begin.take(case), self.width.take(case), self.share.take(case)
+
+
+def _table(*by_case: np.ndarray) -> np.ndarray:
+    return np.stack(by_case, axis=1).ravel().astype(np.uint64)
 
 
 def due(step: int) -> bool:
@@ -110,43 +133,47 @@ def active(count: int, lanes: int, step: int) -> int:
     return lanes if step < size else longer
 
 
-def lane_grid(count: int, lanes: int) -> np.ndarray:
-    """First id of each lane, one more than lanes."""
-    size, longer = divmod(count, lanes)
-    return np.concatenate(([0], np.cumsum(np.full(lanes, size) + (np.arange(lanes) < longer))))
+def by_step(ids: np.ndarray, lanes: int) -> np.ndarray:
+    """The ids of consecutive lanes as a row per step; shorter lanes end in a zero."""
+    size, longer = divmod(len(ids), lanes)
+    grid = np.zeros((size + (longer > 0), lanes), dtype=ids.dtype)
+    cut = longer * (size + 1)
+    grid[:, :longer] = ids[:cut].reshape(longer, -1).T if longer else 0
+    grid[:size, longer:] = ids[cut:].reshape(-1, size).T
+    return grid
+
+
+def by_lane(grid: np.ndarray, count: int) -> np.ndarray:
+    """What :func:`by_step` was given."""
+    size, longer = divmod(count, grid.shape[1])
+    return np.concatenate([grid[:, :longer].T.ravel(), grid[:size, longer:].T.ravel()])
 
 
 def encode_block(ids: np.ndarray) -> bytes:
     """A block of at least one id."""
     present = np.flatnonzero(np.bincount(ids))
     count, lanes, alphabet = len(ids), lanes_for(len(ids)), len(present)
-    rank = np.zeros(int(present[-1]) + 1, dtype=np.int32)
-    rank[present] = np.arange(alphabet, dtype=np.int32)
-    ids = rank[ids]
-    begin = lane_grid(count, lanes)
+    rank = np.zeros(int(present[-1]) + 1, dtype=np.intp)
+    rank[present] = np.arange(alphabet)
+    grid = by_step(rank.take(ids), lanes)
     model = Model(alphabet)
     low, span = np.zeros(lanes, dtype=np.uint64), np.full(lanes, (1 << 64) - 1, dtype=np.uint64)
-    prev1 = prev2 = np.full(lanes, alphabet, dtype=np.int32)
+    prev1 = prev2 = np.full(lanes, alphabet, dtype=np.intp)
     out_lane, out_word = [], []
-    for step in range(-(-count // lanes)):
+    for step in range(len(grid)):
         n = active(count, lanes, step)
-        x = ids[begin[:n] + step]
-        model.predict(prev1[:n], prev2[:n])
-        hit2, hit1 = x == model.id2, x == model.id1
-        mix = model.state * 3 + np.where(hit2, 0, 2 - hit1.astype(np.int32))
-        start, freq = model.begin[mix], model.width[mix]
-        rest = np.flatnonzero(~(hit1 | hit2))
-        other, share0 = x[rest], model.share0[model.state[rest]]
-        start[rest] += share0 * model.id_start[other]
-        freq[rest] = share0 * model.id_freq[other]
+        x = grid[step, :n]
+        begin, width, share = model.learn(x, model.predict(prev1[:n], prev2[:n]))
         unit = span[:n] >> _SALL
-        start *= unit
-        low[:n] += start
-        np.multiply(unit, freq, out=span[:n])
+        begin += share * model.id_start.take(x)
+        begin *= unit
+        low[:n] += begin
+        share *= model.id_freq.take(x)
+        width += share
+        np.multiply(unit, width, out=span[:n])
         settled, words = settle(low, span, n)
         out_lane.append(settled)
         out_word.append(words)
-        model.learn(x, hit1, hit2, mix)
         prev1, prev2 = x, prev1[:n]
         if due(step + 1):
             model.refresh()
@@ -155,7 +182,7 @@ def encode_block(ids: np.ndarray) -> bytes:
         out_word.append(low >> _S32)
         low <<= _S32
     lane, words = np.concatenate(out_lane), np.concatenate(out_word)
-    order = np.argsort(lane, kind="stable")
+    order = np.argsort(lane.astype(np.uint16) if lanes <= 1 << 16 else lane, kind="stable")
     body = np.bincount(lane, minlength=lanes).astype("<u4").tobytes() + words[order].astype("<u4").tobytes()
     listed = zlib.compress(np.diff(present, prepend=0).astype("<u4").tobytes())
     tail = struct.pack("<IIII", count, lanes, alphabet, len(listed)) + listed + body
@@ -168,7 +195,7 @@ def settle(low: np.ndarray, span: np.ndarray, n: int) -> tuple[np.ndarray, np.nd
     A span that crosses into the next word is cut there, so no carry is left.
     """
     lanes = np.flatnonzero(span[:n] <= _LOW32)
-    a, s = low[lanes], span[lanes]
+    a, s = low.take(lanes), span.take(lanes)
     same = ((a ^ (a + s)) >> _S32) == 0
     span[lanes] = np.where(same, s, (~a + _U(1)) & _LOW32) << _S32
     low[lanes] = a << _S32
@@ -186,41 +213,42 @@ def decode_block(block: bytes) -> np.ndarray:
     steps = np.frombuffer(zlib.decompress(block[HEADER.size : body]), "<u4")
     present = np.cumsum(steps, dtype=np.int64)
     lengths = np.frombuffer(block, "<u4", lanes, body).astype(np.int64)
-    words = np.frombuffer(block, "<u4", -1, body + 4 * lanes).astype(np.uint64)
+    words = np.frombuffer(block, "<u4", -1, body + 4 * lanes).astype(np.uint32)
     at = np.cumsum(lengths) - lengths
-    begin = lane_grid(count, lanes)
     model = Model(alphabet)
-    code = (words[at] << _S32) | words[at + 1]
+    at_slot = model.slots()
+    code = (words[at].astype(np.uint64) << _S32) | words[at + 1]
     at += 2
     low, span = np.zeros(lanes, dtype=np.uint64), np.full(lanes, (1 << 64) - 1, dtype=np.uint64)
-    prev1 = prev2 = np.full(lanes, alphabet, dtype=np.int32)
-    ids = np.empty(count, dtype=np.int32)
+    prev1 = prev2 = np.full(lanes, alphabet, dtype=np.intp)
+    grid = np.zeros((-(-count // lanes), lanes), dtype=np.intp)
     most = _U((1 << (MIX_BITS + ID_BITS)) - 1)
-    for step in range(-(-count // lanes)):
+    for step in range(len(grid)):
         n = active(count, lanes, step)
-        model.predict(prev1[:n], prev2[:n])
+        state = model.predict(prev1[:n], prev2[:n])
         unit = span[:n] >> _SALL
         value = np.minimum((code[:n] - low[:n]) // unit, most)
-        in2 = value < model.end2[model.state]
-        past1 = value >= model.end1[model.state]
-        mix = model.state * 3 + np.where(in2, 0, 1 + past1.astype(np.int32))
-        start, freq = model.begin[mix], model.width[mix]
-        x = np.where(in2, model.id2, model.id1)
-        rest = np.flatnonzero(past1)
-        share0 = model.share0[model.state[rest]]
-        other = model.at_slot[(value[rest] - start[rest]) // share0]
-        x[rest] = other
-        start[rest] += share0 * model.id_start[other]
-        freq[rest] = share0 * model.id_freq[other]
-        start *= unit
-        low[:n] += start
-        np.multiply(unit, freq, out=span[:n])
+        end1 = model.end1.take(state)
+        x = grid[step, :n]
+        x[:] = np.where(value < model.end2.take(state), model.held2, model.held1) >> 3
+        rest = np.flatnonzero(value >= end1)
+        # Below 2^32 by below 2^12: the quotient of doubles has the same whole part.
+        past = (value.take(rest) - end1.take(rest)).astype(np.int64)
+        share = model.share.take(state.take(rest) << 2).astype(np.int64)
+        x[rest] = at_slot.take((past / share).astype(np.intp))
+        begin, width, share = model.learn(x, state)
+        begin += share * model.id_start.take(x)
+        begin *= unit
+        low[:n] += begin
+        share *= model.id_freq.take(x)
+        width += share
+        np.multiply(unit, width, out=span[:n])
         settled, _ = settle(low, span, n)
-        code[settled] = (code[settled] << _S32) | words[at[settled]]
-        at[settled] += 1
-        model.learn(x, x == model.id1, x == model.id2, mix)
-        ids[begin[:n] + step] = x
+        place = at.take(settled)
+        code[settled] = (code.take(settled) << _S32) | words.take(place)
+        at[settled] = place + 1
         prev1, prev2 = x, prev1[:n]
         if due(step + 1):
             model.refresh()
-    return present[ids].astype(np.int32)
+            at_slot = model.slots()
+    return present[by_lane(grid, count)].astype(np.int32)

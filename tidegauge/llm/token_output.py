@@ -26,6 +26,7 @@ import os
 import struct
 import zlib
 from collections.abc import Iterator
+from functools import cache
 from itertools import chain
 
 import numpy as np
@@ -54,18 +55,24 @@ class LibraryEncoder:
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
+        # Pre-tokens are in lower case and cut already: the library's rules would leave them
+        # as they are. They go to its model by way of bytes alone.
+        self.pieces = Tokenizer(self.tokenizer.model)
+        self.pieces.pre_tokenizer = pre_tokenizers.Sequence(
+            [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)]
+        )
         self.known = known_words(f"library {path}", self.encode_distinct, KEPT)
 
     def encode_distinct(self, parts: pa.Array) -> Ragged:
         """Many pre-tokens to a call, apart by blanks; the library numbers them."""
         spelled = parts.cast(pa.large_string())
         lines = [" ".join(spelled[i : i + LINE].to_pylist()) for i in range(0, len(spelled), LINE)]
-        found = self.tokenizer.encode_batch(lines, add_special_tokens=False)
+        found = self.pieces.encode_batch(lines, add_special_tokens=False)
         counts = np.array([len(e) for e in found], dtype=np.int64)
         total = int(counts.sum())
         flat = np.fromiter(chain.from_iterable(e.ids for e in found), dtype=np.uint32, count=total)
@@ -86,6 +93,12 @@ class LibraryEncoder:
         return encode_split(words, self.encode_pieces, self.encode_odd)
 
 
+@cache
+def library_encoder(path: str) -> LibraryEncoder:
+    """One for all tasks of a worker: the vocabulary is read once."""
+    return LibraryEncoder(path)
+
+
 def pack_block(documents: list[tuple], ids: np.ndarray) -> bytes:
     """Documents: (key or None, ids in this block, ids ahead of them in the
     document, ids after them in the document)."""
@@ -108,7 +121,7 @@ def unpack_block(payload: bytes) -> tuple[list[tuple], np.ndarray]:
 
 def _write_blocks(path: str, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        library = LibraryEncoder(path)
+        library = library_encoder(path)
         part, block, before = TaskContext.get().partitionId(), 0, 0
         documents: list[tuple] = []
         held: list[np.ndarray] = []
