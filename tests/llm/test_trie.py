@@ -108,3 +108,11 @@ def test_a_long_conversation_is_spread(spark, turns):
 
 def test_trie_of_no_rows(turns):
     assert prefix_trie.prefix_trie(turns.limit(0)).count() == 0
+
+
+def test_last_plan_stays_small(spark):
+    """Plans are held by the driver, whatever the rows: what the last one joins is written."""
+    rows = [(i, t, "user", f"{i % 3} {t}") for i in range(6) for t in range(3)]
+    found = prefix_trie.prefix_trie(spark.createDataFrame(rows, "conv_id bigint, turn int, role string, text string"))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange ") <= 10, plan

@@ -24,6 +24,9 @@ of depth 0, has all.
    but their last 12 bits are at most 4096; each such piece is joined on its own and
    a node's pieces are hashed in order, as a stream.
 
+Places, blocks, nodes, owners and ends are written, so each of the plans is small:
+the driver holds plans and generated code, not rows.
+
 Rows are counted before each shuffle. What meets in one task is a conversation's
 runs, the 4096 ids of a piece, or the stream of pieces of one node.
 
@@ -99,9 +102,12 @@ def rebuilt(turns: DataFrame) -> DataFrame:
     heads = heads.join(first, "source", "left").select(
         "conv", "source", "h", got.alias("got"), (got + F.greatest(F.col("n") - F.col("h"), F.lit(0))).alias("total")
     )
+    # Read back three times below, so the plan of what follows stays small.
+    places = written(parts.join(heads, "conv").drop("n"), "trie-places")
+    heads = places.filter("ahead = 0")
     numbered = (
         turns.withColumn("part", part)
-        .join(parts.join(heads, "conv").drop("n"), ["conv", "part"])
+        .join(places, ["conv", "part"])
         .withColumn("pos", F.col("ahead") + F.col("place") - F.col("start"))
     )
     own = numbered.filter("pos >= h").select("conv", "total", (F.col("pos") - F.col("h") + F.col("got")).alias("pos"), "id", "length")
@@ -184,7 +190,8 @@ def keyed(rows: DataFrame, *columns: str) -> DataFrame:
 
 def owners(nodes: DataFrame, table: DataFrame) -> DataFrame:
     """The blocks with ``shared``, the length of the conversation's path that others
-    own, and ``leaf``, whether it owns a childless node."""
+    own, and ``leaf``, whether it owns a childless node; a row per conversation is
+    written to the shared folder."""
     parents = nodes.select(*[F.col(f"up_{k}").alias(k) for k in KEY]).distinct()
     childless = nodes.join(parents.withColumn("inner", F.lit(True)), KEY, "left")
     own = childless.groupBy("conv_id").agg(F.min("depth").alias("own"), F.max(F.col("inner").isNull()).alias("leaf"))
@@ -195,7 +202,7 @@ def owners(nodes: DataFrame, table: DataFrame) -> DataFrame:
         for i in range(BLOCK)
     ]
     paths = marked.groupBy("conv").agg(F.sum(sum(theirs[1:], theirs[0])).alias("shared"), F.first("leaf").alias("leaf"))
-    return table.join(paths, "conv")
+    return table.join(written(paths, "trie-owners"), "conv")
 
 
 def _hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -219,7 +226,8 @@ def _hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def ends(table: DataFrame) -> DataFrame:
-    """Node key and SHA-256 of the ids of the conversations that end there."""
+    """Node key and SHA-256 of the ids of the conversations that end there. Written to
+    the shared folder."""
     level = F.col("total") - F.col("block") * BLOCK
     last = table.filter((level >= 0) & (level <= BLOCK) & ((level > 0) | (F.col("total") == 0)))
     named = last.select("conv", *[k.alias(n) for n, k in zip(KEY, node_key(level), strict=True)])
@@ -229,7 +237,8 @@ def ends(table: DataFrame) -> DataFrame:
     texts = pieces.select("depth", F.col("ka").cast("string").alias("ka"), F.col("kb").cast("string").alias("kb"), "piece", "ids")
     dealt = texts.repartition(*KEY).sortWithinPartitions(*KEY, "piece")
     hashed = dealt.mapInArrow(_hashed, "depth bigint, ka string, kb string, sha string")
-    return hashed.select("depth", F.col("ka").cast("decimal(38,0)"), F.col("kb").cast("decimal(38,0)"), "sha")
+    keys = [F.col(k).cast("decimal(38,0)").alias(k) for k in KEY[1:]]
+    return written(hashed.select("depth", *keys, "sha"), "trie-ends")
 
 
 def prefix_trie(
