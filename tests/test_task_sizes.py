@@ -10,7 +10,7 @@ from helpers import price_rows, rows
 from tidegauge.plans import jobs
 from tidegauge.plans.market import market_snapshot
 from tidegauge.plans.silver import clean_market
-from tidegauge.session import TASK_BYTES, configure
+from tidegauge.session import PARTS_KEY, SHUFFLE_PARTS, TASK_BYTES, configure
 from tidegauge.sinks import tables, versions
 from tidegauge.sinks.loads import load
 from tidegauge.sinks.tables import bootstrap, loads_of
@@ -62,3 +62,18 @@ def test_each_look_up_of_the_snapshot_runs_once(spark, raw):
     plan = market_snapshot(clean_market(raw))._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("lag(latest_price") == 4
     assert plan.count("lag(_block_high") == 9
+
+
+def test_shuffles_are_cut_finer_than_the_cores(spark):
+    """Parts are then joined up to a size, so a part does not grow with the input."""
+    before = spark.conf.get(PARTS_KEY, None)
+    try:
+        for given, held in (("8", SHUFFLE_PARTS), (str(2 * SHUFFLE_PARTS), 2 * SHUFFLE_PARTS)):
+            spark.conf.set(PARTS_KEY, given)
+            configure(spark)
+            assert spark.conf.get(PARTS_KEY) == str(held)
+        spark.conf.unset(PARTS_KEY)
+        configure(spark)
+        assert spark.conf.get(PARTS_KEY) == str(SHUFFLE_PARTS)
+    finally:
+        spark.conf.unset(PARTS_KEY) if before is None else spark.conf.set(PARTS_KEY, before)
